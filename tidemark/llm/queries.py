@@ -9,8 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.byte_bpe import byte_bpe
+from tidemark.llm.embedding_near_dedup import near_vectors
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.language_id import MixtureModel, id_hash, language_id
+from tidemark.llm.line_dedup import line_dedup
+from tidemark.llm.ngram_jaccard import ngram_jaccard
 from tidemark.llm.quality_rules import learn, score_quality
 from tidemark.llm.secret_scan import scan_digest, secret_scan
 from tidemark.llm.source_mixing import mix_sources
@@ -21,6 +24,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines and removed lines of every document, and a digest of the kept text."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup(docs).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents"))
 
@@ -43,6 +56,10 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op7_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_jaccard(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -56,7 +73,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op3_substring_dedup, op4_quality_rules, op5_exact_dedup, op6_language_id, op8_source_mixing, op9_byte_bpe, op10_secret_scan)}
+    return {f.__name__: f for f in (op1_embedding_near_dedup, op2_line_dedup, op3_substring_dedup, op4_quality_rules, op5_exact_dedup, op6_language_id, op7_ngram_jaccard, op8_source_mixing, op9_byte_bpe, op10_secret_scan)}
 
 
 def oracle_sql() -> dict[str, str]:

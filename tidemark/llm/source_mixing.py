@@ -26,12 +26,12 @@ def word_count(text: Column) -> Column:
 
 def source_targets(sources: DataFrame, weights: tuple[float, ...] = WEIGHTS, share: float = SHARE, most: float = MOST_COPIES) -> DataFrame:
     """Adds target to (source, source_size): shares by weight, held at `most` times a source's size, the excess reshared by
-    weight until none is above. Sources are in code point order, null last, and take the weights in turn."""
-    order = Window.orderBy(F.col("source").isNull(), "source")
+    weight until none is above. Sources ("" is the null one) are in code point order, null last, and take the weights in turn."""
+    order = Window.orderBy(F.col("source") == "", "source")
     weight = F.element_at(F.array(*[F.lit(float(w)) for w in weights]), F.pmod(F.row_number().over(order) - 1, F.lit(len(weights))).cast("int") + 1)
     listed = sources.withColumn("weight", weight).withColumn("cap", most * F.col("source_size").cast("double"))
     # sources reach their cap in order of cap / weight; the level is that of the sources not yet held
-    by_cap = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source").isNull(), "source")
+    by_cap = Window.orderBy(F.col("cap") / F.col("weight"), F.col("source") == "", "source")
     before = by_cap.rowsBetween(Window.unboundedPreceding, -1)
     whole = Window.partitionBy()
     nothing = F.lit(0.0)
@@ -53,11 +53,11 @@ def balanced_rates(classes: DataFrame, targets: DataFrame) -> DataFrame:
     """
     now = staged(targets.withColumn("multiplier", F.lit(0.0)), "multipliers")
     for _ in range(MOST_STEPS):
-        mass = classes.join(now.select("source", "multiplier"), classes["source"].eqNullSafe(now["source"])).groupBy(classes["source"]).agg(F.sum(F.col("size") * F.col("n") * F.exp("multiplier")).alias("mass"))
+        mass = classes.join(now.select("source", "multiplier"), "source").groupBy("source").agg(F.sum(F.col("size") * F.col("n") * F.exp("multiplier")).alias("mass"))
         live = (F.col("mass") > 0) & (F.col("target") > 0)
         # a step to the left is one at most by itself; one to the right could overshoot and is held
-        step = F.least(F.lit(2.0), (F.col("target") - F.col("mass")) / F.col("mass"))
-        moved = now.join(mass.withColumnRenamed("source", "s"), now["source"].eqNullSafe(F.col("s")), "left").select(now["source"], "source_size", "target", (F.col("multiplier") + F.when(live, step).otherwise(0.0)).alias("multiplier"), F.coalesce(F.when(live, F.abs(step)), F.lit(0.0)).alias("moved"))
+        step = F.coalesce(F.when(live, F.least(F.lit(2.0), (F.col("target") - F.col("mass")) / F.col("mass"))), F.lit(0.0))
+        moved = now.join(mass, "source", "left").select("source", "source_size", "target", (F.col("multiplier") + step).alias("multiplier"), F.abs(step).alias("moved"))
         moved = staged(moved, "multipliers")
         now = moved.drop("moved")
         if (moved.agg(F.max("moved")).first()[0] or 0.0) < 1e-10:
@@ -80,32 +80,33 @@ def mix_sources(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Returns id_col, size, source_size long, target double, copies int, taken long (size * copies), and the kept columns.
     """
-    base = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col).cast("string")).alias("size"), *[F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)])
-    part = F.pmod(F.xxhash64("id"), F.lit(PARTS)).cast("int")
-    parts = staged(base.groupBy("source", "size", part.alias("part")).agg(F.count("*").alias("n")), "parts")
+    # sources by a name that is never null, so that windows and joins below share one partitioning; "" is the null source
+    named = F.coalesce(F.concat(F.lit("="), F.col(source_col).cast("string")), F.lit(""))
+    part = F.pmod(F.xxhash64(F.col(id_col)), F.lit(PARTS)).cast("int")
+    base = docs.select(F.col(id_col).alias("id"), named.alias("source"), word_count(F.col(text_col).cast("string")).alias("size"), part.alias("part"), *[F.col(c).alias(f"keep_{i}") for i, c in enumerate(keep)])
+    parts = staged(base.groupBy("source", "size", "part").agg(F.count("*").alias("n")), "parts")
     classes = parts.groupBy("source", "size").agg(F.sum("n").alias("n"))
     sources = classes.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size"))
-    rates = staged(balanced_rates(classes, source_targets(sources)), "rates").withColumnRenamed("source", "s")
+    rates = staged(balanced_rates(classes, source_targets(sources)), "rates")
 
-    # how many rows of a source come before each of its sizes, and the phase that brings it nearest to its target
+    # how many rows of a source come before each of its sizes, and the start and nudge that bring it nearest to its target
     by_size = Window.partitionBy("source").orderBy(F.col("size").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    ranked = classes.filter("size > 0").withColumn("before", F.coalesce(F.sum("n").over(by_size), F.lit(0)).cast("long"))
-    ranked = ranked.join(rates, ranked["source"].eqNullSafe(rates["s"])).drop("s").withColumn("f", F.round(F.col("rate") - F.floor("rate"), 9))
-    ranked = ranked.withColumn("reach", F.max("size").over(Window.partitionBy("source")) / F.col("source_size") / NUDGES)
+    ranked = classes.withColumn("before", F.coalesce(F.sum("n").over(by_size), F.lit(0)).cast("long"))
+    ranked = ranked.join(rates, "source").withColumn("f", F.round(F.col("rate") - F.floor("rate"), 9))
+    ranked = ranked.withColumn("reach", F.max("size").over(Window.partitionBy("source")) / F.greatest(F.col("source_size"), F.lit(1)) / NUDGES)
     choices = [F.struct(F.lit(abs(j)).alias("far"), F.lit((i + 0.5) / PHASES).alias("phase"), F.lit(j).alias("nudge")) for j in range(-NUDGES, NUDGES + 1) for i in range(PHASES)]
-    tried = ranked.withColumn("choice", F.explode(F.array(*choices))).select("*", nudged(F.col("f"), F.col("choice.nudge"), F.col("reach")).alias("g"))
+    tried = ranked.filter("size > 0").withColumn("choice", F.explode(F.array(*choices))).withColumn("g", nudged(F.col("f"), F.col("choice.nudge"), F.col("reach")))
     more = F.floor((F.col("before") + F.col("n")) * F.col("g") + F.col("choice.phase")) - F.floor(F.col("before") * F.col("g") + F.col("choice.phase"))
     sums = tried.groupBy("source", "choice").agg(F.abs(F.sum(F.col("size") * (F.col("n") * F.floor("rate") + more)) - F.first("target")).alias("off"))
-    best = sums.groupBy("source").agg(F.min(F.struct("off", "choice"))["choice"].alias("choice")).withColumnRenamed("source", "s")
-    plan = ranked.join(best, ranked["source"].eqNullSafe(best["s"])).drop("s").withColumn("f", nudged(F.col("f"), F.col("choice.nudge"), F.col("reach"))).withColumn("phase", F.col("choice.phase"))
+    best = sums.groupBy("source").agg(F.min(F.struct("off", "choice"))["choice"].alias("choice"))
+    ranked = ranked.join(best, "source", "left").withColumn("f", nudged(F.col("f"), F.col("choice.nudge"), F.col("reach"))).drop("n")
     by_part = Window.partitionBy("source", "size").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    start = parts.filter("size > 0").withColumn("in_class", F.coalesce(F.sum("n").over(by_part), F.lit(0))).drop("n")
-    plan = start.join(plan.withColumnsRenamed({"source": "s", "size": "z"}), start["source"].eqNullSafe(F.col("s")) & (start["size"] == F.col("z"))).select(start["source"].alias("s"), F.col("z"), F.col("part").alias("p"), (F.col("before") + F.col("in_class")).alias("from"), "f", "rate", "phase", "source_size", "target")
+    start = parts.withColumn("in_class", F.coalesce(F.sum("n").over(by_part), F.lit(0)))
+    plan = start.join(ranked, ["source", "size"]).select("source", "size", "part", (F.col("before") + F.col("in_class")).alias("from"), "f", "rate", F.coalesce("choice.phase", F.lit(0.5)).alias("phase"), "source_size", "target")
 
-    numbered = base.withColumn("part", part).withColumn("k", F.row_number().over(Window.partitionBy("source", "size", "part").orderBy(F.col("id").isNull(), "id")))
-    full = numbered.join(plan, numbered["source"].eqNullSafe(plan["s"]) & (numbered["size"] == plan["z"]) & (numbered["part"] == plan["p"]), "left").drop("source_size", "target")
-    full = full.drop("s").join(rates.select("s", "source_size", "target"), full["source"].eqNullSafe(rates["s"]))
+    numbered = base.withColumn("k", F.row_number().over(Window.partitionBy("source", "size", "part").orderBy(F.col("id").isNull(), "id")))
+    full = numbered.join(staged(plan, "plan"), ["source", "size", "part"])
     place = F.col("from") + F.col("k")
     copies = F.floor("rate") + F.floor(place * F.col("f") + F.col("phase")) - F.floor((place - 1) * F.col("f") + F.col("phase"))
-    copies = F.least(F.lit(MOST_COPIES), F.coalesce(copies, F.lit(0))).cast("int")
+    copies = F.when(F.col("size") == 0, 0).otherwise(F.least(F.lit(MOST_COPIES), copies)).cast("int")
     return full.select(F.col("id").alias(id_col), "size", "source_size", "target", copies.alias("copies"), (F.col("size") * copies).alias("taken"), *[F.col(f"keep_{i}").alias(c) for i, c in enumerate(keep)])
