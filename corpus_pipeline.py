@@ -1,8 +1,74 @@
-"""The corpus pipeline: five stages over documents, each reading what the one before it wrote."""
+"""The corpus pipeline: five stages over documents, each working on what the one before it kept and wrote."""
 
-STAGES = []
+from __future__ import annotations
+
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm.byte_bpe import byte_bpe
+from tidemark.llm.common import fresh, staged
+from tidemark.llm.language_id import UND, MixtureModel, language_id
+from tidemark.llm.line_dedup import line_dedup
+from tidemark.llm.ngram_jaccard import ngram_jaccard
+from tidemark.llm.source_mixing import mix_sources
+
+#: A document goes if no language has this share of it.
+LEAST_SHARE = 0.5
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents without a letter and those of which no learned language has half; with no language to learn, none."""
+    model = MixtureModel.fit(docs)
+    if not model.langs:
+        return docs
+    lang, share = fresh(docs, "predicted"), fresh(docs, "share")
+    found = language_id(docs, model, out=lang, score=share)
+    return found.filter((F.col(lang) != UND) & (F.col(share) >= LEAST_SHARE)).select(docs.columns)
+
+
+def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Takes lines out that match an earlier line; n_chars follows the text."""
+    done = line_dedup(docs).select(docs.columns)
+    if "n_chars" in docs.columns:
+        done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return done
+
+
+def dedup_ngrams(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps one document of each group, the one with the smallest id; rows without an id or words stay."""
+    gone = ngram_jaccard(docs).filter("component_id <> doc_id").select("doc_id")
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it."""
+    row = fresh(docs, "row")
+    whole = docs.withColumn(row, F.struct(*docs.columns))
+    mixed = mix_sources(whole, keep=(row,)).filter("copies > 0")
+    return mixed.select(row, F.explode(F.sequence(F.lit(1), "copies"))).select(f"{row}.*")
+
+
+def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token ids of every document, with digests of the ids and of the bytes that they decode to."""
+    return byte_bpe(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+STAGES = [
+    ("language_id", identify_language),
+    ("line_dedup", dedup_lines),
+    ("ngram_jaccard", dedup_ngrams),
+    ("source_mixing", mix_to_targets),
+    ("byte_bpe", encode_bytes),
+]
+
+#: Mixtures of languages and token ids have no SQL; the tests hold every stage against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the whole documents table, each but the last written as Parquet and read again."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = staged(stage(spark, docs, sf_dir), name)
+    return STAGES[-1][1](spark, docs, sf_dir)
