@@ -46,7 +46,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Returns docs with text_col replaced, and two more columns, n_lines and n_removed long (named so, or with underscores in
     front where docs has such names).
     """
-    row, removed, lines_col = fresh(docs, "row"), fresh(docs, "n_removed"), fresh(docs, "n_lines")
+    row, gone_col, removed, lines_col = (fresh(docs, c) for c in ("row", "gone", "n_removed", "n_lines"))
     text = F.col(text_col).cast("string")
     levels = F.lit(rarity_levels(docs, text))
     # a row number that a retried task can't change: docs with it are written first
@@ -97,8 +97,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     later = both.filter(100 * shared >= percent * (F.size("ta") + F.size("tb") - shared)).select("b.*").distinct().withColumn("late", F.lit(True))
     late = classes.select("k1", "k2", "doc", "row", "line").join(later, ["doc", "row", "line"], "left").select("k1", "k2", me.alias("c"), F.coalesce("late", F.lit(False)).alias("late"))
     gone = lines.select("k1", "k2", me.alias("me")).join(late, ["k1", "k2"]).filter(F.col("late") | (F.col("me") != F.col("c"))).groupBy("me.row").agg(F.sort_array(F.collect_list("me.line")).alias("gone"))
-    out = keyed.join(gone.withColumnRenamed("row", row), row, "left")
+    out = keyed.join(gone.withColumnsRenamed({"row": row, "gone": gone_col}), row, "left")
     all_lines = F.split(text, "\n", -1)
-    kept = F.when(F.col("gone").isNull(), text).otherwise(F.array_join(F.filter(all_lines, lambda x, i: ~F.array_contains("gone", i)), "\n"))
+    kept = F.when(F.col(gone_col).isNull(), text).otherwise(F.array_join(F.filter(all_lines, lambda x, i: ~F.array_contains(gone_col, i)), "\n"))
     cols = [kept.alias(c) if c == text_col else F.col(c) for c in docs.columns]
-    return out.select(*cols, F.coalesce(F.size(all_lines).cast("long"), F.lit(0).cast("long")).alias(lines_col), F.coalesce(F.size("gone").cast("long"), F.lit(0).cast("long")).alias(removed))
+    return out.select(*cols, F.coalesce(F.size(all_lines).cast("long"), F.lit(0).cast("long")).alias(lines_col), F.coalesce(F.size(gone_col).cast("long"), F.lit(0).cast("long")).alias(removed))
