@@ -19,8 +19,8 @@ from tidemark.llm.common import components, staged
 SIMILARITY = 0.98
 #: Vectors of a tile. A task holds two tiles.
 TILE = 2048
-#: Radii are those of unit vectors' chords: 2 covers the sphere.
-ROOT_RADIUS, SLACK = 2.0, 1e-9
+#: Radii are those of unit vectors' chords: 2 covers the sphere. Rounding moves a short chord by some 1e-8.
+ROOT_RADIUS, SLACK = 2.0, 1e-6
 
 
 class Node:
@@ -76,8 +76,8 @@ def dual_pairs(x: np.ndarray, y: np.ndarray | None, similarity: float) -> tuple[
             i, j = np.nonzero(x[p.members] @ other[q.members].T >= similarity)
             i, j = p.members[i], q.members[j]
             keep = i < j if own and p is q else slice(None)
-            out_i.append(i[keep])
-            out_j.append(j[keep])
+            out_i.append(np.minimum(i, j)[keep] if own else i)
+            out_j.append(np.maximum(i, j)[keep] if own else j)
             continue
         ps, qs = p.children or [p], q.children or [q]
         if p is not q and p.children and q.children:  # the wider node is opened first
@@ -132,7 +132,7 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     def dot(a: str, b: str) -> Column:
         return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda s, x: s + x)
 
-    cosine = dot("v", "pivot") / F.sqrt(dot("v", "v")) / F.sqrt(dot("pivot", "pivot"))
+    cosine = F.try_divide(F.try_divide(dot("v", "pivot"), F.sqrt(dot("v", "v"))), F.sqrt(dot("pivot", "pivot")))
     # overflowing or vanishing squares give no cosine: such vectors share the first shell with all others of their label
     shell = F.floor(F.sqrt(F.greatest(F.lit(0.0), 2.0 - 2.0 * cosine)) / t).cast("int")
     shelled = staged(far.select("label", "size", "c", "v", "copies", F.when(cosine.isNotNull() & ~F.isnan(cosine), shell).otherwise(-1).alias("shell")), "shells")
