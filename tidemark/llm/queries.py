@@ -78,6 +78,46 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op1_embedding_near_dedup": r"""
+            WITH RECURSIVE v AS (
+                SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+            ),
+            fine AS (
+                SELECT * FROM v WHERE label IS NOT NULL AND e IS NOT NULL AND len(e) > 0 AND len([x FOR x IN e IF x IS NULL OR NOT isfinite(x)]) = 0 AND len([x FOR x IN e IF x <> 0]) > 0
+            ),
+            links AS (
+                SELECT a.vec_id AS a, b.vec_id AS b FROM fine a JOIN fine b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+            ),
+            reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+            SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = vec_id) AS n_links, min(r.b) AS component_id, vec_id = min(r.b) AS kept
+            FROM embeddings JOIN reach r ON r.a = vec_id GROUP BY vec_id
+        """,
+        "op3_substring_dedup": r"""
+            WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
+            win AS (SELECT doc_id, i, array_to_string(ws[i : i + 12], ' ') AS k FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 12)) AS i FROM w)),
+            starts AS (SELECT k, min(doc_id) AS first_doc FROM win GROUP BY k),
+            hit AS (SELECT doc_id, i FROM win JOIN starts USING (k) WHERE first_doc < doc_id),
+            gone AS (SELECT DISTINCT doc_id, i + j AS p FROM hit, (SELECT unnest(generate_series(0, 12)) AS j)),
+            word AS (SELECT doc_id, unnest(ws) AS x, unnest(generate_series(1, len(ws))) AS p FROM w),
+            kept AS (SELECT doc_id, string_agg(x, ' ' ORDER BY p) AS text FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+            SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+            FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) USING (doc_id)
+        """,
+        "op7_ngram_jaccard": r"""
+            WITH RECURSIVE w AS (
+                SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
+            ),
+            shingle AS (
+                SELECT DISTINCT doc_id, array_to_string(ws[i : i + 4], ' ') AS g FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 4)) AS i FROM w)
+                UNION SELECT doc_id, array_to_string(ws, ' ') FROM w WHERE len(ws) BETWEEN 1 AND 4
+            ),
+            size AS (SELECT doc_id, count(*) AS n FROM shingle GROUP BY doc_id),
+            both_have AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingle a JOIN shingle b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+            links AS (SELECT a, b FROM both_have x JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b WHERE 100 * x.n >= 75 * (p.n + q.n - x.n)),
+            reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+            SELECT w.doc_id, coalesce(size.n, 0) AS n_shingles, min(reach.b) AS component_id
+            FROM w LEFT JOIN size USING (doc_id) JOIN reach ON reach.a = w.doc_id GROUP BY w.doc_id, size.n
+        """,
         "op5_exact_dedup": r"""
             WITH n AS (
                 SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents
