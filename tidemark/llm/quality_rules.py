@@ -195,7 +195,8 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """
     marks = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).filter("y in (0, 1) and id is not null")
     few = marks.orderBy(F.xxhash64("id"), "id", "y").limit(sample)
-    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(few, "id")
+    few = F.broadcast(few)  # `sample` rows at most
+    texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(few.select("id").distinct(), "id", "left_semi")
     rows = with_stats(texts, "id", "text").join(few, "id").select("id", "y", *STATS).collect()
     rows.sort(key=lambda r: (str(r.id), r.y))
     x = np.array([[r[c] for c in STATS] for r in rows], float).reshape(len(rows), len(STATS))
