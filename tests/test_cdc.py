@@ -9,7 +9,9 @@ from tidemark.functions.scalars import row_hash
 from tidemark.operators import cdc
 from tidemark.sources import extractions, sinks
 
-NOW = F.lit("2024-06-15 06:00:00").cast("timestamp_ntz")
+def now():
+    return F.lit("2024-06-15 06:00:00").cast("timestamp_ntz")
+
 SCHEMA = "id long, name string, value long, opdateringsdato timestamp_ntz"
 FILES = {
     "thing_20240101_120000.json": [(1, "Alpha", 10), (2, "Beta", 20)],
@@ -27,7 +29,7 @@ def land(folder, files):
 
 def changes_of(spark, path, **more):
     rows = extractions.read_extractions(spark, path, "DDD", SCHEMA)
-    return cdc.cdc_full_snapshot(rows, extractions.list_extractions(spark, path), ["id"], NOW, "opdateringsdato", ("opdateringsdato", "source_code"))
+    return cdc.cdc_full_snapshot(rows, extractions.list_extractions(spark, path), ["id"], now(), "opdateringsdato", ("opdateringsdato", "source_code"))
 
 
 def ops(df):
@@ -49,7 +51,7 @@ def test_replay_appends_nothing_and_a_new_file_only_its_changes(spark, tmp_path)
     path, out = land(tmp_path / "in", FILES), str(tmp_path / "silver")
     assert sinks.append_new_versions(changes_of(spark, path), out, ["id"]) == 4
     stored = spark.read.parquet(out)
-    mark = cdc.bookmark(extractions.list_extractions(spark, path), NOW).first()
+    mark = cdc.bookmark(extractions.list_extractions(spark, path), now()).first()
     assert (mark.src_file, mark.previous_file) == ("thing_20240301_120000.json", "thing_20240201_120000.json")
     assert cdc.idempotent_append(changes_of(spark, path), stored, ["id"], mark.previous_file).count() == 0
     land(tmp_path / "in", {"thing_20240401_120000.json": [(2, "Beta", 20), (4, "Delta", 1)]})
@@ -91,13 +93,13 @@ def test_random_histories_batch_and_step_by_step(spark, seed):
     history = {f"t_2024{m:02d}01_120000.json": [(k, rng.choice("abc")) for k in range(12) if rng.random() < 0.7] for m in range(1, 7)}
     rows = spark.createDataFrame([(k, v, f, "S") for f, part in history.items() for k, v in part], "id long, name string, src_file string, source_code string")
     every = spark.createDataFrame([(f,) for f in history], "src_file string")
-    log = cdc.cdc_full_snapshot(rows, extractions.timeline(every), ["id"], NOW)
+    log = cdc.cdc_full_snapshot(rows, extractions.timeline(every), ["id"], now())
     assert sorted((r.id, r.op, r.src_file) for r in log.collect()) == by_hand(history)
     stored = None
     for f in sorted(history):  # one extraction after another, as daily runs do
         files = extractions.timeline(every.filter(F.col("src_file") <= f))
-        seen = cdc.cdc_full_snapshot(rows.filter(F.col("src_file") <= f), files, ["id"], NOW)
-        new = seen if stored is None else cdc.idempotent_append(seen, stored, ["id"], cdc.bookmark(files, NOW).first().previous_file)
+        seen = cdc.cdc_full_snapshot(rows.filter(F.col("src_file") <= f), files, ["id"], now())
+        new = seen if stored is None else cdc.idempotent_append(seen, stored, ["id"], cdc.bookmark(files, now()).first().previous_file)
         held = [tuple(r) for r in new.collect()]
         more = spark.createDataFrame(held, log.schema)
         stored = more if stored is None else stored.union(more)
@@ -109,10 +111,10 @@ def test_delta_and_full_refresh(spark):
     data = [(1, "a", files[0]), (2, "b", files[0]), (1, "a", files[1]), (2, "c", files[1]), (3, "d", files[2])]
     rows = spark.createDataFrame([(*r, "S") for r in data], "id long, name string, src_file string, source_code string")
     line = extractions.timeline(spark.createDataFrame([(f,) for f in files], "src_file string"))
-    log = cdc.cdc_delta(rows, line, ["id"], NOW)
+    log = cdc.cdc_delta(rows, line, ["id"], now())
     assert sorted((r.id, r.op, r.src_file) for r in log.collect()) == [(1, "I", files[0]), (2, "I", files[0]), (2, "U", files[1]), (3, "I", files[2])]
     old = log.filter("id < 3").withColumn("op", F.when((F.col("id") == 1), "D").otherwise(F.col("op")))
-    full = cdc.cdc_delta_full_refresh(rows, line, old, spark.createDataFrame([(3,)], "id long"), ["id"], NOW)
+    full = cdc.cdc_delta_full_refresh(rows, line, old, spark.createDataFrame([(3,)], "id long"), ["id"], now())
     assert sorted((r.id, r.op, r.src_file) for r in full.collect() if r.op == "D") == [(1, "D", files[0]), (2, "D", files[2])]
 
 
