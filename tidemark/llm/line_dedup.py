@@ -2,13 +2,13 @@
 
 Tokens of a line are ordered by rarity; two lines with Jaccard 0.75 or more share a token among the first few of either
 (prefix filter), are of similar size (length filter), leave enough tokens after the shared one (positional filter) and
-differ in few bits of a 64-bit signature. What is left is verified on the tokens themselves. Of every pair of matching
+differ in few bits of a 128-bit signature. What is left is verified on the tokens themselves. Of every pair of matching
 lines, the later one goes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import fresh, staged
@@ -16,22 +16,39 @@ from tidemark.llm.common import fresh, staged
 #: Similarity in hundredths, and distinct tokens that a line needs to be compared at all.
 PERCENT, LEAST_TOKENS = 75, 5
 #: Token counts are kept for so many hash cells (a power of two): the rarity order is a table of fixed size.
-CELL_BITS = 20
-WORD = r"[^\x20\x09-\x0D]+"
+CELL_BITS = 17
+#: Documents with lines to remove, and such lines, up to which their table is broadcast (some 40 MB); beyond it the documents
+#: are shuffled to meet it.
+BROADCAST_DOCS, BROADCAST_LINES = 1_000_000, 4_000_000
+#: Candidate lines up to which their places or prefixes are broadcast (24 or some 100 bytes each); beyond it they are shuffled.
+BROADCAST_WANTED = 1_000_000
+SPACE = r"[\x20\x09-\x0D]+"
 
 
-def rarity_levels(docs: DataFrame, text: Column) -> bytes:
-    """A byte for every hash cell of tokens: four times the binary logarithm of their count over all of docs.
+def bounded(table: DataFrame) -> DataFrame:
+    """A staged table, marked for broadcast if it has no more than BROADCAST_WANTED rows."""
+    return F.broadcast(table) if table.count() <= BROADCAST_WANTED else table
 
-    Tokens are counted by cell in every task before they are shuffled; the table has 2 ** CELL_BITS bytes whatever the
+
+def words_of(text: Column) -> Column:
+    """Runs of anything but white space, in order."""
+    return F.array_remove(F.split(text, SPACE, -1), "")
+
+
+def rarity_levels(docs: DataFrame, text: Column) -> Column:
+    """An array literal with a level for every hash cell of tokens: four times the binary logarithm of their count over all
+    of docs, in the seven upper bits of a long.
+
+    Tokens are counted by cell in every task before they are shuffled; the table has 2 ** CELL_BITS entries whatever the
     input. Any order of tokens gives right results; this one puts frequent tokens last.
     """
-    words = docs.select(F.explode(F.regexp_extract_all(text, F.lit(WORD), F.lit(0))).alias("w"))
+    words = docs.select(F.explode(F.split(text, SPACE, -1)).alias("w")).filter("w <> ''")
     counts = words.groupBy(F.shiftrightunsigned(F.xxhash64("w"), 64 - CELL_BITS).cast("int").alias("cell")).count()
     every = docs.sparkSession.range(1 << CELL_BITS).select(F.col("id").cast("int").alias("cell")).join(counts, "cell", "left")
-    level = F.least(F.lit(126), F.floor(4 * F.log2(F.coalesce("count", F.lit(0)) + 1)) + 1).cast("int")
-    listed = F.transform(F.sort_array(F.collect_list(F.struct("cell", level.alias("level")))), lambda x: F.lpad(F.hex(x["level"]), 2, "0"))
-    return bytes(every.agg(F.unhex(F.array_join(listed, "")).alias("levels")).first().levels)
+    level = F.least(F.lit(126), F.floor(4 * F.log2(F.coalesce("count", F.lit(0)) + 1))) - 64
+    shifted = F.shiftleft(level.cast("long"), 57).cast("string")
+    listed = F.transform(F.sort_array(F.collect_list(F.struct("cell", shifted.alias("level")))), lambda x: x["level"])
+    return F.split(F.lit(every.agg(F.array_join(listed, ",").alias("levels")).first().levels), ",").cast("array<bigint>")
 
 
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, least_tokens: int = LEAST_TOKENS) -> DataFrame:
@@ -40,65 +57,86 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Lines end with \\n; tokens are runs of anything but space and \\t..\\r, unchanged; lines match when 100 * shared tokens >=
     percent * all their tokens. Earlier means a smaller id (read as a long; null comes last), then a smaller line number.
     All lines are judged on the input. Lines of fewer than least_tokens distinct tokens stay. A null text stays null and has
-    no lines; an empty text has one empty line. Rows that repeat an id keep apart: of equal lines at one place, one stays.
-    An empty table gives none. Long texts and lines are read whole.
+    no lines; an empty text has one empty line. Rows that repeat an id and its text are one document: they lose the same
+    lines. An empty table gives none. Long texts and lines are read whole.
 
     Returns docs with text_col replaced, and two more columns, n_lines and n_removed long (named so, or with underscores in
     front where docs has such names).
     """
-    row, gone_col, removed, lines_col = (fresh(docs, c) for c in ("row", "gone", "n_removed", "n_lines"))
+    doc_col, mark_col, gone_col, removed, lines_col = (fresh(docs, c) for c in ("doc", "mark", "gone", "n_removed", "n_lines"))
     text = F.col(text_col).cast("string")
-    levels = F.lit(rarity_levels(docs, text))
-    # a row number that a retried task can't change: docs with it are written first
-    keyed = staged(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
-    split = keyed.select(F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)).alias("doc"), F.col(row).alias("row"), F.posexplode(F.split(text, "\n", -1)).alias("line", "text"))
-    tokens = split.withColumn("tokens", F.array_distinct(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))).filter(F.size("tokens") >= least_tokens)
-
-    # a token's place in the order: the level of its cell, then its hash; tokens that share a place only add candidates
-    def place(w: Column) -> Column:
-        h = F.xxhash64(w)
-        cell = F.shiftrightunsigned(h, 64 - CELL_BITS).cast("int")
-        level = F.ascii(F.substring(levels, cell + 1, F.lit(1)).cast("string")).cast("long") - 64
-        return F.shiftleft(level, 57).bitwiseOR(h.bitwiseAND(F.lit((1 << 57) - 1)))
-
-    sets = tokens.select("doc", "row", "line", F.sort_array(F.transform("tokens", place)).alias("places"))
+    levels = rarity_levels(docs, text)
+    doc, mark = F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)), F.hash(text)
+    split = docs.select(doc.alias("doc"), mark.alias("mark"), F.posexplode(F.split(text, "\n", -1)).alias("line", "text"))
+
+    # a token's place in the order: the level of its cell, then 57 bits of its hash (one cell has one level)
+    hashes = F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w))
+    places = F.sort_array(F.array_distinct(F.transform(hashes, lambda h: F.get(levels, F.shiftrightunsigned(h, 64 - CELL_BITS).cast("int")).bitwiseOR(h.bitwiseAND(F.lit((1 << 57) - 1))))))
+    sets = split.select("doc", "line", "mark", places.alias("places")).filter(F.size("places") >= least_tokens)
     n = F.size("places")
-    # the first tokens by which a line finds smaller ones (probe) and is found by larger ones (index)
-    probe = (n - F.ceil(n * percent / 100) + 1).cast("int")
+    # the first tokens by which similar lines find each other; 32 bits of each are enough for candidates
+    prefix = (n - F.ceil(n * percent / 100) + 1).cast("int")
+    # a signature of 128 bits, half of the tokens in either long
+    half = "aggregate(filter(places, x -> (x & 64L) = {}L), 0L, (a, x) -> a | shiftleft(1L, cast(x & 63L as int)))"
     lines = sets.select(
-        "doc", "row", "line", n.alias("n"), F.xxhash64("places").alias("k1"), F.xxhash64(F.lit(7), "places").alias("k2"), F.slice("places", 1, probe).alias("first"),
-        F.expr("aggregate(places, 0L, (a, x) -> a | shiftleft(1L, cast(x & 63L as int)))").alias("sign"),
+        "doc", "line", "mark", F.xxhash64("places").alias("k1"), F.xxhash64(F.lit(7), "places").alias("k2"), n.alias("n"), F.transform(F.slice("places", 1, prefix), lambda x: F.hash(x)).alias("first"), F.get("places", prefix - 1).alias("last"),
+        F.expr(half.format(0)).alias("sa"), F.expr(half.format(64)).alias("sb"),
     )
     lines = staged(lines, "lines")
 
     # lines with one token set are one class, under their earliest line
-    me = F.struct("doc", "row", "line")
-    classes = lines.groupBy("k1", "k2").agg(F.min(F.struct("doc", "row", "line", "n", "sign", "first")).alias("c")).select("k1", "k2", "c.*")
-    classes = staged(classes, "classes")
-    wide = classes.select("doc", "row", "line", "n", "sign", F.posexplode("first").alias("at", "token"))
-    share = 2 * percent / (100 + percent)
-    longer = wide.select("token", F.struct("doc", "row", "line").alias("b"), F.col("n").alias("nb"), F.col("at").alias("ab"), F.col("sign").alias("sb"))
-    shorter = wide.filter(F.col("at") <= F.col("n") - F.ceil(F.col("n") * share - 1e-9)).select("token", F.struct("doc", "row", "line").alias("a"), F.col("n").alias("na"), F.col("at").alias("aa"), F.col("sign").alias("sa"))
-    need = percent * (F.col("na") + F.col("nb")) / (100 + percent) - 1e-9
-    pairs = (
-        shorter.join(longer, "token")
-        .filter(((F.col("na") < F.col("nb")) | (F.col("na") == F.col("nb")) & (F.col("a") < F.col("b"))) & (100 * F.col("na") >= percent * F.col("nb")))
-        .filter(1 + F.least(F.col("na") - F.col("aa") - 1, F.col("nb") - F.col("ab") - 1) >= need)
-        .filter(F.bit_count(F.col("sa").bitwiseXOR(F.col("sb"))) <= F.col("na") + F.col("nb") - 2 * need)
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
-    )
-    pairs = staged(pairs, "pairs")
-    # verified on the tokens: those of the lines in any pair
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("c")).distinct().select("c.*")
-    words = staged(tokens.join(wanted, ["doc", "row", "line"], "left_semi").select(me.alias("c"), "tokens"), "words")
-    both = pairs.join(words.select(F.col("c").alias("a"), F.col("tokens").alias("ta")), "a").join(words.select(F.col("c").alias("b"), F.col("tokens").alias("tb")), "b")
-    shared = F.size(F.array_intersect("ta", "tb"))
-    later = both.filter(100 * shared >= percent * (F.size("ta") + F.size("tb") - shared)).select("b.*").distinct().withColumn("late", F.lit(True))
-    late = classes.select("k1", "k2", "doc", "row", "line").join(later, ["doc", "row", "line"], "left").select("k1", "k2", me.alias("c"), F.coalesce("late", F.lit(False)).alias("late"))
-    gone = lines.select("k1", "k2", me.alias("me")).join(late, ["k1", "k2"]).filter(F.col("late") | (F.col("me") != F.col("c"))).groupBy("me.row").agg(F.sort_array(F.collect_list("me.line")).alias("gone"))
-    out = keyed.join(gone.withColumnsRenamed({"row": row, "gone": gone_col}), row, "left")
+    me = ("doc", "line", "mark")
+    classes = lines.groupBy("k1", "k2").agg(F.min(F.struct(*me, "n", "sa", "sb", "first")).alias("c"))
+    wide = classes.select("c.*").select(*me, "n", "sa", "sb", F.posexplode("first").alias("place", "token"))
+    # both sides of the join read one exchange
+    dealt = wide.select("token", *me, F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("place").cast("long")).alias("size"), "sa", "sb").repartition("token")
+    one, two = (dealt.select("token", *[F.col(c).alias(f"{c}{k}") for c in (*me, "size", "sa", "sb")]) for k in (1, 2))
+    na, nb = (F.shiftright(f"size{k}", 32) for k in (1, 2))
+    rest = F.least(*[F.shiftright(z, 32) - F.col(z).bitwiseAND(F.lit((1 << 32) - 1)) for z in ("size1", "size2")])
+    need = F.ceil(percent * (na + nb) / (100 + percent) - 1e-9)
+    differ = F.bit_count(F.col("sa1").bitwiseXOR(F.col("sa2"))) + F.bit_count(F.col("sb1").bitwiseXOR(F.col("sb2")))
+    alike = (100 * na >= percent * nb) & (100 * nb >= percent * na) & (rest >= need) & (differ <= na + nb - 2 * need)
+    before = "doc1 < doc2 or (doc1 = doc2 and (line1 < line2 or (line1 = line2 and mark1 < mark2)))"
+    found = one.join(two, "token").filter(alike).filter(before).select(*[f"{c}{k}" for k in (1, 2) for c in me]).distinct()
+    pairs = staged(found.select(*[F.struct(*[F.col(f"{c}{k}").alias(c) for c in me]).alias(f"m{k}") for k in (1, 2)]), "pairs")
+
+    # up to the smaller of two last tokens, all that lines share is in both prefixes; what comes after it is bounded by size
+    wanted = bounded(staged(pairs.select(F.explode(F.array("m1", "m2")).alias("me")).distinct(), "wanted"))
+    prefixes = bounded(staged(lines.select(F.struct(*me).alias("me"), "n", "first", "last").join(wanted, "me", "left_semi"), "prefixes"))
+    p1, p2 = (prefixes.select(*[F.col(c).alias(f"{c}{k}") for c in ("n", "first", "last")], F.col("me").alias(f"m{k}")) for k in (1, 2))
+    after = [F.col(f"n{k}") - F.size(f"first{k}") for k in (1, 2)]
+    after = F.when(F.col("last1") < F.col("last2"), after[0]).when(F.col("last1") > F.col("last2"), after[1]).otherwise(F.greatest(*after))
+    doubled = F.size("first1") - F.size(F.array_distinct("first1")) + F.size("first2") - F.size(F.array_distinct("first2"))
+    most = F.size(F.array_intersect("first1", "first2")) + doubled + after
+    close = most >= F.ceil(percent * (F.col("n1") + F.col("n2")) / (100 + percent) - 1e-9)
+    pairs = staged(pairs.join(p1, "m1").join(p2, "m2").filter(close).select("m1", "m2"), "pairs")
+
+    # verified on the tokens themselves, of the lines still in any pair
+    wanted = bounded(staged(pairs.select(F.explode(F.array("m1", "m2")).alias("me")).distinct(), "wanted"))
+    words = split.select(F.struct(*me).alias("me"), "text").join(wanted, "me", "left_semi")
+    words = staged(words.select("me", F.array_distinct(words_of(F.col("text"))).alias("tokens")), "words")
+
+    def matched(some: DataFrame) -> DataFrame:
+        """The later lines of pairs that match."""
+        both = some.join(words.select(F.col("me").alias("m1"), F.col("tokens").alias("t1")), "m1").join(words.select(F.col("me").alias("m2"), F.col("tokens").alias("t2")), "m2")
+        shared = F.size(F.array_intersect("t1", "t2"))
+        return both.filter(100 * shared >= percent * (F.size("t1") + F.size("t2") - shared)).select(F.col("m2").alias("me")).distinct()
+
+    # one match is enough: each line is first held against its earliest candidate, only the lines left against all others
+    once = staged(matched(pairs.groupBy("m2").agg(F.min("m1").alias("m1"))), "late")
+    others = pairs.join(once.select(F.col("me").alias("m2")), "m2", "left_anti")
+    late = once.union(matched(others))
+
+    # of a class whose first line goes all lines go, of another one all but the first
+    keys = lines.select("k1", "k2", F.struct(*me).alias("me"))
+    first = keys.groupBy("k1", "k2").agg(F.min("me").alias("first"), F.count("*").alias("n"))
+    gone_first = first.join(late, F.col("first") == F.col("me"), "left").select("k1", "k2", "first", "n", F.col("me").isNotNull().alias("late")).filter("late or n > 1")
+    gone = keys.join(gone_first, ["k1", "k2"]).filter(F.col("late") | (F.col("me") != F.col("first")))
+    gone = staged(gone.groupBy(F.col("me.doc").alias(doc_col), F.col("me.mark").alias(mark_col)).agg(F.sort_array(F.collect_set("me.line")).alias(gone_col)), "gone")
+    size = gone.agg(F.count("*").alias("n"), F.sum(F.size(gone_col)).alias("lines")).first()
+    small = size.n <= BROADCAST_DOCS and (size.lines or 0) <= BROADCAST_LINES
+    out = docs.withColumns({doc_col: doc, mark_col: mark}).join(F.broadcast(gone) if small else gone, [doc_col, mark_col], "left")
     all_lines = F.split(text, "\n", -1)
-    kept = F.when(F.col(gone_col).isNull(), text).otherwise(F.array_join(F.filter(all_lines, lambda x, i: ~F.array_contains(gone_col, i)), "\n"))
+    kept = F.when(F.col(gone_col).isNull(), text).otherwise(F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), gone_col), lambda i: F.get(all_lines, i)), "\n"))
     cols = [kept.alias(c) if c == text_col else F.col(c) for c in docs.columns]
     return out.select(*cols, F.coalesce(F.size(all_lines).cast("long"), F.lit(0).cast("long")).alias(lines_col), F.coalesce(F.size(gone_col).cast("long"), F.lit(0).cast("long")).alias(removed))
