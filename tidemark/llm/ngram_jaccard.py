@@ -3,11 +3,13 @@
 1. Every text becomes a sorted array of 64-bit shingle hashes; texts with equal sets (a 128-bit digest of the array) are one
    class, under the smallest id.
 2. Two sets that link share a shingle among the first quarter of either, in any one order of all shingles. The order puts
-   shingles of crowded hash cells last, then goes by hash. A tile holds the classes that have one such shingle and lie in two
+   shingles of crowded hash cells last (as a rarity order does), then goes by hash. A tile holds the classes that have one such shingle and lie in two
    adjoining size bands; sets that link are of adjoining bands.
-3. First every class is compared with one leader, the tile mate it meets most often: a group of near copies is joined by as
-   many comparisons as it has members. Then all pairs that share a tile and aren't joined yet are compared.
-4. A comparison first bounds the overlap from above by the bits in which two signatures differ, then intersects the arrays.
+3. First every class is compared with one leader, the tile mate it meets most often, and, while tiles hold several groups,
+   with a leader of another group: a group of near copies is joined by a few comparisons a member. Then all pairs that share a
+   tile and aren't joined yet are compared.
+4. A comparison first bounds the overlap from above by the bits in which two signatures differ; only the texts of pairs that
+   are left are moved, and their sorted arrays intersected.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ CELL_BITS, CELL_BLOCKS = 22, 64
 BROADCAST_ROWS = 1_000_000
 #: Members that one task compares with a leader before its group is dealt out to more.
 GROUP_MEMBERS = 512
+#: Times that classes of tiles with several groups get a leader of another group before all remaining pairs are compared.
+LEADER_TURNS = 1
 _HASH = WordHasher(7)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -81,7 +85,7 @@ def linked(a: np.ndarray, b: np.ndarray, sign_a: dict[int, np.ndarray], percent:
 
 
 def crowded_levels(docs: DataFrame) -> np.ndarray:
-    """A level for every hash cell of shingles: 0 up to four times the mean count, then by powers of two.
+    """A level for every hash cell of shingles: eight times the binary logarithm of its count.
 
     Every task sums dense counts and sends them in blocks; blocks are added by key. It only orders shingles, so it decides
     about speed, never about results.
@@ -115,8 +119,41 @@ def crowded_levels(docs: DataFrame) -> np.ndarray:
     counts = np.zeros(1 << CELL_BITS, np.int64)
     for row in summed.toLocalIterator():
         counts[row.block * size : (row.block + 1) * size] = np.frombuffer(row.counts, "<i8")
-    over = counts / (4 * max(1.0, counts.mean()) + 8)
-    return np.where(over <= 1, 0, np.ceil(np.log2(np.maximum(over, 1)))).astype(np.uint8)
+    return np.minimum(255, np.round(8 * np.log2(1.0 + counts))).astype(np.uint8)
+
+
+def bounded(table: DataFrame) -> DataFrame:
+    """A staged table of ids, marked for broadcast if it has no more than BROADCAST_ROWS rows."""
+    return F.broadcast(table) if table.count() <= BROADCAST_ROWS else table
+
+
+def folded(sign: np.ndarray, words: int) -> np.ndarray:
+    """A signature cut to fewer words (a power of two): what signature() gives for so many bits."""
+    return np.bitwise_or.reduce(sign.reshape(-1, words), axis=0) if len(sign) > words else sign
+
+
+def may_link(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose signatures leave room for the overlap that a link needs. signs: id, n, sign.
+
+    The bits in which two signatures differ are no more than the shingles that one set has and the other lacks.
+    """
+    ids = bounded(staged(pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct(), "ids"))
+    some = bounded(staged(signs.join(ids, "id", "left_semi"), "signs"))
+    one, two = (some.select(F.col("id").alias(i), F.col("n").alias(f"n{i}"), F.col("sign").alias(f"s{i}")) for i in ("a", "b"))
+
+    def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
+            room = na + nb - 2 * -(-percent * (na + nb) // (100 + percent))
+            keep = []
+            for x, y, most in zip(batch.column("sa").to_pylist(), batch.column("sb").to_pylist(), room.tolist(), strict=True):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                words = min(len(x), len(y))
+                keep.append(int(np.bitwise_count(folded(x, words) ^ folded(y, words)).sum()) <= most)
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(pa.array(keep, pa.bool_())) for c in ("a", "b")], names=["a", "b"])
+
+    met = pairs.join(one, "a").join(two, "b").select("a", "b", "na", "nb", "sa", "sb")
+    return met.mapInArrow(test, "a long, b long").distinct()
 
 
 def compare(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
@@ -126,8 +163,7 @@ def compare(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     members = pairs.join(parts, "a").select("a", F.pmod(F.xxhash64("b"), "parts").alias("part"), F.col("b").alias("id"), F.lit(False).alias("lead"))
     leads = parts.select("a", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"), F.col("a").alias("id"), F.lit(True).alias("lead"))
     roles = staged(members.union(leads), "roles")
-    n = roles.count()
-    met = docs.select("id", "text").join(F.broadcast(roles) if n <= BROADCAST_ROWS else roles, "id")
+    met = docs.select("id", "text").join(bounded(roles), "id")
 
     def test(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, leaders = None, []
@@ -168,45 +204,69 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
             for batch in slices(whole, "text"):
                 sets = shingle_sets(batch.column("text"))
                 digest, first = [], []
+                signs = [signature(s, signature_bits(len(s))).tobytes() for s in sets]
                 for s in sets:
                     digest.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest())
                     n = len(s)
                     k = n - -(-percent * n // 100) + 1 if n else 0
                     level = levels.value[(s >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
                     # sets are sorted, so a stable sort by level orders by (level, hash)
-                    first.append(s[np.argsort(level, kind="stable")[:k]].view(np.int64) if level.any() else s[:k].view(np.int64))
+                    first.append(s[np.argsort(level, kind="stable")[:k]].view(np.int64))
                 sizes = np.fromiter(map(len, first), np.int64, len(first))
                 flat = np.concatenate(first) if first else np.zeros(0, np.int64)
                 lists = pa.LargeListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes)))), pa.array(flat)).cast(pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()), lists], names=["id", "n", "digest", "first"])
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()), pa.array(signs, pa.binary()), lists], names=["id", "n", "digest", "sign", "first"])
 
-    summary = staged(base.mapInArrow(summarise, "id long, n long, digest binary, first array<long>"), "summary")
+    summary = staged(base.mapInArrow(summarise, "id long, n long, digest binary, sign binary, first array<long>"), "summary")
     classes = staged(summary.filter("id is not null and n > 0").groupBy("digest").agg(F.min("id").alias("class")), "classes")
     # links join bands that differ by one at most: the base is a little over 4 / 3
     band = F.floor(F.log("n") / F.log(F.lit(100.0 / percent + 0.01))).cast("int")
-    kept = summary.join(classes.withColumnRenamed("class", "id"), ["id", "digest"], "left_semi")
-    rows = kept.select(F.col("id").alias("c"), "n", band.alias("band"), F.explode("first").alias("key"))
-    shared = rows.withColumn("sharers", F.count("*").over(Window.partitionBy("key"))).filter("sharers > 1").drop("sharers")
-    shared = staged(shared, "shared")
-    tiles = shared.select("key", "c", "n", F.col("band"), F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("tile"))
-
-    # one leader a class: the tile mate of the smallest id that it meets most often
-    led = tiles.groupBy("key", "tile").agg(F.min("c").alias("a"), F.count("*").alias("m")).filter("m > 1")
-    met = tiles.join(led, ["key", "tile"]).filter("a <> c").groupBy("c", "a").agg(F.count("*").alias("times"))
+    kept = summary.join(bounded(classes.withColumnRenamed("class", "id")), ["id", "digest"], "left_semi")
+    rows = kept.select(F.col("id").alias("c"), "n", F.explode("first").alias("key"))
+    by_key = Window.partitionBy("key")
+    shared = rows.select("*", F.count("*").over(by_key).alias("sharers"), F.min("c").over(by_key).alias("any")).filter("sharers > 1").withColumn("band", band)
+    # windows by key and by key and band read one exchange
+    shared = staged(shared.select("key", "c", "n", "any", F.min("c").over(Window.partitionBy("key", "band")).alias("lead")), "shared")
+
+    # one leader a class: the mate of the smallest id, of its own band if it can be, that it meets most often
+    lead = F.when(F.col("lead") != F.col("c"), F.col("lead")).otherwise(F.col("any"))
+    met = shared.select("c", lead.alias("a")).filter("a <> c").groupBy("c", "a").agg(F.count("*").alias("times"))
     stars = met.groupBy("c").agg(F.max(F.struct("times", (-F.col("a")).alias("a")))["a"].alias("a")).select((-F.col("a")).alias("a"), F.col("c").alias("b"))
     stars = staged(stars, "stars")
-    links = staged(compare(base, stars, percent), "links")
-
-    joined = staged(components(links), "joined")
-    comp = F.coalesce("component", "c")
-    known = tiles.join(joined.withColumnRenamed("id", "c"), "c", "left").select("key", "tile", "band", "c", "n", comp.alias("comp"))
-    open_tiles = known.groupBy("key", "tile").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo <> hi").select("key", "tile")
-    left = staged(known.join(open_tiles, ["key", "tile"], "left_semi"), "open")
-    x, y = (left.select("key", "tile", *[F.col(c).alias(c + s) for c in ("band", "c", "n", "comp")]) for s in ("1", "2"))
-    close = (F.col("c1") < F.col("c2")) & (F.col("comp1") != F.col("comp2")) & (100 * F.least("n1", "n2") >= percent * F.greatest("n1", "n2")) & (F.greatest("band1", "band2") == F.col("tile"))
-    pairs = x.join(y, ["key", "tile"]).filter(close).select(F.col("c1").alias("a"), F.col("c2").alias("b")).distinct()
+    signs = summary.select("id", "n", "sign").filter("id is not null and n > 0")
+    links = staged(compare(base, staged(may_link(stars, signs, percent), "close"), percent), "links")
+
     tested = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = compare(base, staged(pairs.join(tested, ["a", "b"], "left_anti"), "pairs"), percent)
+
+    def still_open(rows: DataFrame) -> DataFrame:
+        """Rows of the keys whose classes aren't all in one group by now."""
+        joined = bounded(staged(components(links), "joined"))
+        mine, theirs = (joined.select(F.col("id").alias(i), F.col("component").alias(c)) for i, c in (("c", "comp"), ("any", "first")))
+        known = rows.select("key", "c", "n", "any").join(mine, "c", "left").join(theirs, "any", "left")
+        known = known.select("key", "c", "n", "any", F.coalesce("comp", "c").alias("comp"), F.coalesce("first", "any").alias("first"))
+        keys = bounded(staged(known.filter("comp <> first").select("key").distinct(), "keys"))
+        return staged(known.drop("first").join(keys, "key", "left_semi"), "open")
+
+    left = still_open(shared)
+    for turn in range(LEADER_TURNS):
+        # another leader of every key, and a class's most frequent one of another group
+        led = left.groupBy("key").agg(F.min(F.struct(F.xxhash64("comp", F.lit(turn)).alias("h"), F.xxhash64("c", F.lit(turn)).alias("g"), "c", "comp")).alias("l"))
+        met = left.join(led, "key").filter((F.col("comp") != F.col("l.comp")) & (F.col("c") != F.col("l.c"))).groupBy("c", F.col("l.c").alias("a")).agg(F.count("*").alias("times"))
+        near = met.groupBy("c").agg(F.max(F.struct("times", "a"))["a"].alias("a")).select(F.least("a", "c").alias("a"), F.greatest("a", "c").alias("b")).distinct()
+        near = staged(near.join(tested, ["a", "b"], "left_anti"), "stars")
+        if near.isEmpty():
+            break
+        links = staged(links.union(compare(base, staged(may_link(near, signs, percent), "close"), percent)), "links")
+        tested = tested.union(near)
+        left = still_open(left)
+    left = left.withColumn("band", band)
+    x = left.select("key", F.col("band").alias("tile"), F.col("c").alias("c1"), F.col("n").alias("n1"), F.col("comp").alias("g1"))
+    y = left.select("key", F.explode(F.array("band", F.col("band") + 1)).alias("tile"), F.col("c").alias("c2"), F.col("n").alias("n2"), F.col("comp").alias("g2"))
+    smaller = (F.col("n2") < F.col("n1")) | (F.col("n2") == F.col("n1")) & (F.col("c2") < F.col("c1"))
+    pairs = x.join(y, ["key", "tile"]).filter(smaller & (F.col("g1") != F.col("g2")) & (100 * F.col("n2") >= percent * F.col("n1")))
+    pairs = pairs.select(F.least("c1", "c2").alias("a"), F.greatest("c1", "c2").alias("b")).distinct()
+    pairs = staged(pairs.join(tested, ["a", "b"], "left_anti"), "pairs")
+    more = compare(base, staged(may_link(pairs, signs, percent), "close"), percent)
     found = components(links.union(more))
 
     out = summary.join(classes, "digest", "left").withColumn("class", F.when(F.col("n") > 0, F.col("class")).otherwise(F.col("id")))
