@@ -29,7 +29,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Takes lines out that match an earlier line; n_chars follows the text."""
-    done = line_dedup(docs).select(docs.columns)
+    done = line_dedup(docs, least_tokens=1).select(docs.columns)
     if "n_chars" in docs.columns:
         done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return done

@@ -1,0 +1,43 @@
+"""Line dedup of lines of any length, in the query and in the pipeline."""
+
+import test_pipeline
+from test_deduplication import WORD, sha
+
+from tidemark.llm import line_dedup as ld
+from tidemark.llm import queries
+
+
+def every_line(rows):
+    """Every line but blank ones against all earlier ones, by brute force."""
+    seen, out = {}, {}
+    for i, t, *_ in sorted(rows, key=lambda r: r[0]):
+        if t is None:
+            out[i] = (None, 0)
+            continue
+        kept = []
+        for line in t.split("\n"):
+            s = frozenset(WORD.findall(line))
+            if not s or not (s in seen or any(100 * len(s & o) >= 75 * len(s | o) for o in seen)):
+                kept.append(line)
+            if s:
+                seen[s] = True
+        out[i] = ("\n".join(kept), len(t.split("\n")) - len(kept))
+    return out
+
+
+def test_short_lines_go(spark):
+    texts = ["All rights reserved.\n\nRead more", "Read more\n\n版权所有不得转载", "版权所有不得转载\nreserved. All rights now", "a b c d", "a b c", "a b x", "more"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.n_removed) for r in ld.line_dedup(df, least_tokens=1).collect()}
+    assert got == every_line(enumerate(texts)) and [got[i][1] for i in range(7)] == [0, 1, 2, 0, 1, 0, 0]
+
+
+def test_query_removes_short_lines(spark, data):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{data}/documents.parquet").collect()]
+    want = {i: (n, None if t is None else sha(t)) for i, (t, n) in every_line(rows).items()}
+    assert {r.doc_id: (r.n_removed, r.kept_sha256) for r in queries.op2_line_dedup(spark, data).collect()} == want
+
+
+def test_stages_without_a_floor(spark, data, monkeypatch):
+    monkeypatch.setattr(test_pipeline, "brute_lines", every_line)
+    test_pipeline.test_stages(spark, data)

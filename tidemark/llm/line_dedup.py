@@ -56,7 +56,7 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     Lines end with \\n; tokens are runs of anything but space and \\t..\\r, unchanged; lines match when 100 * shared tokens >=
     percent * all their tokens. Earlier means a smaller id (read as a long; null comes last), then a smaller line number.
-    All lines are judged on the input. Lines of fewer than least_tokens distinct tokens stay. A null text stays null and has
+    All lines are judged on the input. Lines of fewer than least_tokens distinct tokens stay; at 1 only blank lines do. A null text stays null and has
     no lines; an empty text has one empty line. Rows that repeat an id and its text are one document: they lose the same
     lines. An empty table gives none. Long texts and lines are read whole.
 
@@ -87,7 +87,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # lines with one token set are one class, under their earliest line
     me = ("doc", "line", "mark")
     classes = lines.groupBy("k1", "k2").agg(F.min(F.struct(*me, "n", "sa", "sb", "first")).alias("c"))
-    wide = classes.select("c.*").select(*me, "n", "sa", "sb", F.posexplode("first").alias("place", "token"))
+    # a set too small to match any but its equal is settled by its class
+    others = F.col("n") * 100 >= percent * (F.col("n") + 1)
+    wide = classes.select("c.*").filter(others).select(*me, "n", "sa", "sb", F.posexplode("first").alias("place", "token"))
     # both sides of the join read one exchange
     dealt = wide.select("token", *me, F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("place").cast("long")).alias("size"), "sa", "sb").repartition("token")
     one, two = (dealt.select("token", *[F.col(c).alias(f"{c}{k}") for c in (*me, "size", "sa", "sb")]) for k in (1, 2))
@@ -124,8 +126,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     # one match is enough: each line is first held against its earliest candidate, only the lines left against all others
     once = staged(matched(pairs.groupBy("m2").agg(F.min("m1").alias("m1"))), "late")
-    others = pairs.join(once.select(F.col("me").alias("m2")), "m2", "left_anti")
-    late = once.union(matched(others))
+    left = pairs.join(once.select(F.col("me").alias("m2")), "m2", "left_anti")
+    late = once.union(matched(left))
 
     # of a class whose first line goes all lines go, of another one all but the first
     keys = lines.select("k1", "k2", F.struct(*me).alias("me"))

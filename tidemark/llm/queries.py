@@ -31,7 +31,7 @@ def op1_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Lines and removed lines of every document, and a digest of the kept text."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return line_dedup(docs).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+    return line_dedup(docs, least_tokens=1).select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
