@@ -2,7 +2,8 @@
 
 A language is a distribution over hashed letter trigrams, counted over all learning rows. A document is a mixture of
 languages: expectation-maximisation estimates its proportions, and a penalised likelihood (half a log of the number of its
-trigrams for each further language) selects the set of languages, grown from the best single one.
+trigrams for each further language) selects the set of languages, grown from the best single one: each step takes the
+language that adds most, of all that are learned, until none adds more than its penalty.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ CELLS = 1 << 14
 #: More languages than this are refused: the model that is sent to the tasks stays below 64 MB.
 MOST_LANGUAGES = 512
 UND = "und"
-#: Documents whose keys are sorted together (keys fit 31 bits), and rounds that only rank the candidates for a set.
-MOST_SORTED, SCREEN_ROUNDS = (1 << 31) // CELLS - 1, 4
+#: Documents whose keys are sorted together (keys fit 31 bits).
+MOST_SORTED = (1 << 31) // CELLS - 1
 _LETTER: np.ndarray | None = None
 
 
@@ -92,9 +93,8 @@ class MixtureModel:
         share = (counts + 0.5) / (counts.sum(0) + 0.5 * CELLS)
         return cls([r.lang for r in rows], np.log(share))
 
-    def _em(self, p: np.ndarray, n: np.ndarray, first: np.ndarray, doc: np.ndarray, allowed: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-        """Proportions (documents x languages, zero where not allowed) and log-likelihoods, for all documents side by side."""
-        pi = allowed / np.maximum(allowed.sum(1, keepdims=True), 1)
+    def _em(self, p: np.ndarray, n: np.ndarray, first: np.ndarray, doc: np.ndarray, pi: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+        """Proportions (documents x columns of p) from a start pi and log-likelihoods, for all documents side by side."""
         total = np.maximum(np.add.reduceat(n, first), 1)[:, None]
         for _ in range(rounds):
             part = p * pi[doc]
@@ -117,36 +117,42 @@ class MixtureModel:
         size = np.diff(np.append(first, len(doc)))
         p = self.p[cell]
         single = np.add.reduceat(n[:, None] * self.log_p[cell], first)
-        k, rows = len(self.langs), np.arange(len(some))
-        chosen = np.zeros((len(some), k), bool)
-        chosen[rows, single.argmax(1)] = True
-        like = single.max(1)
-        pi = chosen.astype(float)
-        full, _ = self._em(p, n, first, doc, np.ones((len(some), k)), SCREEN_ROUNDS)
-        penalty = 0.5 * np.log(np.maximum(np.add.reduceat(n, first), 2))
-        order = np.argsort(-full, axis=1, kind="stable")
-        growing = np.ones(len(some), bool)
-        for j in range(min(k, 8)):
-            # the next candidate by its share in the mixture of all languages
-            lang = order[:, j]
-            growing &= full[rows, lang] > 0.01
-            tried = growing & ~chosen[rows, lang]
-            if not tried.any():
-                continue
-            sub = np.flatnonzero(tried)
-            keep = tried[doc]
-            part_first = np.concatenate(([0], np.cumsum(size[sub])[:-1]))
-            allowed = chosen[sub].copy()
-            allowed[np.arange(len(sub)), lang[sub]] = True
-            new, value = self._em(p[keep], n[keep], part_first, np.repeat(np.arange(len(sub)), size[sub]), allowed.astype(float), rounds)
-            better = value - penalty[sub] > like[sub]
-            won = sub[better]
-            chosen[won], pi[won], like[won] = allowed[better], new[better], value[better] - penalty[won]
-            growing[sub[~better]] = False
+        k, total = len(self.langs), np.add.reduceat(n, first)
+        penalty = 0.5 * np.log(np.maximum(total, 2))
+        like, held = single.max(1), single.argmax(1)[:, None]
+        pi = np.zeros((len(some), k))
+        pi[np.arange(len(some)), held[:, 0]] = 1
+        # documents whose set still grows, with as many languages each (held), and their rows
+        live, q, m = np.arange(len(some)), p, n
+        while len(live) and held.shape[1] < k:
+            start, at = np.cumsum(size[live]) - size[live], np.repeat(np.arange(len(live)), size[live])
+            now, mine = np.take_along_axis(pi[live], held, 1), np.take_along_axis(q, held[at], 1)
+            # the likelihood is concave: with one language more it cannot rise by more than the steepest slope towards the set
+            slope = np.add.reduceat(q * (m / np.maximum((mine * now[at]).sum(1), 1e-300))[:, None], start) - total[live, None]
+            most = np.maximum(slope, np.take_along_axis(slope, held, 1).max(1, keepdims=True))
+            np.put_along_axis(most, held, -np.inf, 1)
+            added, gain = np.full(len(live), -1), np.zeros(len(live))
+            grown = np.zeros((len(live), held.shape[1] + 1))
+            for lang in range(k):
+                sub = np.flatnonzero(most[:, lang] > penalty[live])
+                if not len(sub):
+                    continue
+                keep = (most[:, lang] > penalty[live])[at]
+                sizes = size[live[sub]]
+                begin = np.hstack([now[sub] * (1 - 1 / grown.shape[1]), np.full((len(sub), 1), 1 / grown.shape[1])])
+                new, value = self._em(np.hstack([mine[keep], q[keep, lang : lang + 1]]), m[keep], np.cumsum(sizes) - sizes, np.repeat(np.arange(len(sub)), sizes), begin, rounds)
+                more = value - penalty[live[sub]] - like[live[sub]]
+                up = more > gain[sub]
+                added[sub[up]], gain[sub[up]], grown[sub[up]] = lang, more[up], new[up]
+            won = np.flatnonzero(added >= 0)
+            keep = (added >= 0)[at]
+            live, held, q, m = live[won], np.hstack([held[won], added[won, None]]), q[keep], m[keep]
+            like[live] += gain[won] + penalty[live]
+            pi[live[:, None], held] = grown[won]
         best = pi.argmax(1)
-        for i, b, share, on in zip(some, best, pi, chosen, strict=True):
+        for i, b, share in zip(some, best, pi, strict=True):
             names[i], scores[i] = self.langs[b], float(min(1.0, max(0.0, share[b])))
-            sets[i] = {self.langs[x]: float(share[x]) for x in np.flatnonzero(on)}
+            sets[i] = {self.langs[x]: float(share[x]) for x in np.flatnonzero(share)}
         return names, scores, sets
 
 
