@@ -1,8 +1,9 @@
 """Secret scans with structural confirmation.
 
-Three plain patterns give the base spans. Candidates for encoded secrets (runs of base64 or hex digits, dotted tokens) are
-decoded and reported only if their content has the structure of a secret: a DER key whose nested lengths fit, or a signed
-token whose header names an algorithm.
+Three plain patterns give the base spans. Candidates for encoded secrets (runs of base64, base64url or hex digits, dotted
+tokens) are decoded and reported only if their content has the structure of a secret: a DER key whose nested lengths fit, an
+OpenSSH key whose fields fit, or a signed token whose header names an algorithm. Runs go on over real and escaped line ends,
+with indentation, quote marks and the like around them; tokens and PEM texts are also found in one more coat of base64 or hex.
 """
 
 from __future__ import annotations
@@ -19,18 +20,24 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import slices
 
 #: The base kinds in the order in which spans with one start are listed, then the confirmed kinds.
-KINDS = ("assign", "access", "hex", "key_der", "key_hex", "signed_token")
+KINDS = ("assign", "access", "hex", "key_der", "key_hex", "signed_token", "key_openssh")
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 VALUE_CHARS, ACCESS_CHARS = 6, 20
-#: The first hex digits of a DER sequence (0x30), or the first base64 digit of one (M), and enough digits for a small key.
-#: Possessive runs: a run that fails is not tried again from inside, so the scan stays linear in the text.
-BASE64_RUN = re.compile(r"M[A-Za-z0-9+/]{39}(?:[A-Za-z0-9+/]|\r?\n(?=[A-Za-z0-9+/=]))*+={0,2}")
-HEX_RUN = re.compile(r"30[0-9A-Fa-f]{62}[0-9A-Fa-f]*+")
+#: Digits of a run by base64 (either alphabet) or hex, and what may lie between two lines of one.
+DIGITS = {64: re.compile(r"[A-Za-z0-9+/_-]++"), 16: re.compile(r"[0-9A-Fa-f]++")}
+JOINT = re.compile(r"""[\x20\t\r"',;]*+(?:\+[\x20\t\r]*+)?+\n(?:[\x20\t\r\n"',;>|*\#]|\+(?=[\x20\t\r]*+\n))*+""")
+ESCAPED, MARK = re.compile(r"(?<!\\)\\++[nrt]"), re.compile(r"-----[A-Z0-9\x20]++-----")
+#: How a DER sequence (0x30), an OpenSSH key, a signed token and a PEM mark begin in base64 and in hex.
+MAGIC = b"openssh-key-v1\0"
+START = {
+    64: re.compile(r"(?<![A-Za-z0-9+/])(?:(M)[A-Za-z0-9+/_-]{7}|b3BlbnNzaC1rZXktdjE(?=A)|ZXlK|LS0tLS1C)"),
+    16: re.compile(r"(?<![0-9A-Fa-f])(?:(30)[0-9A-Fa-f]{10}|6[Ff]70656[Ee]7373682[Dd]6[Bb]65792[Dd]763100|65794[Aa]|2[Dd]2[Dd]2[Dd]2[Dd]2[Dd]42)"),
+}
 SIGNED = re.compile(r"(eyJ[A-Za-z0-9_-]{8,}+)\.([A-Za-z0-9_-]++)\.([A-Za-z0-9_-]*+)")
 #: What may not stand before a candidate: it would be the middle of a longer run.
-BEFORE_BASE64, BEFORE_HEX, BEFORE_SIGNED = (re.compile(x) for x in ("[A-Za-z0-9+/]", "[0-9A-Fa-f]", "[A-Za-z0-9_.-]"))
+BEFORE_SIGNED = re.compile("[A-Za-z0-9_.-]")
 
 
 def _runs(chars: bytes, n: int) -> tuple[bytes, bytes]:
@@ -40,8 +47,6 @@ def _runs(chars: bytes, n: int) -> tuple[bytes, bytes]:
 
 #: A text without such a run can hold no match; the test is a byte translation and a search, far cheaper than a pattern.
 HEX_TEST = _runs(b"0123456789abcdef", 24)
-ANY_HEX_TEST = _runs(b"0123456789abcdefABCDEF", 64)
-BASE64_TEST = _runs(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/", 40)
 WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 
 
@@ -106,6 +111,100 @@ def is_signed_token(header: str) -> bool:
     return isinstance(found, dict) and isinstance(found.get("alg"), str)
 
 
+def openssh_end(data: bytes) -> int | None:
+    """Where an OpenSSH private key ends: names of cipher and derivation, options, public keys and the private part, each
+    after its length. None unless all lengths fit."""
+    if not data.startswith(MAGIC):
+        return None
+    at, left = len(MAGIC), 3
+    fields = []
+    while left:
+        size = int.from_bytes(data[at : at + 4], "big")
+        if at + 4 + size > len(data):
+            return None
+        fields.append(data[at + 4 : at + 4 + size])
+        at, left = at + 4 + size, left - 1
+        if len(fields) == 3:
+            left = int.from_bytes(data[at : at + 4], "big") + 1
+            at += 4
+            if left < 2 or 4 * left > len(data) - at:
+                return None
+    named = all(re.fullmatch(rb"[\x21-\x7E]+", x) for x in fields[:2])
+    typed = all(0 < int.from_bytes(x[:4], "big") <= len(x) - 4 for x in fields[3:-1])
+    return at if named and typed and fields[-1] else None
+
+
+def decoded(digits: str, base: int) -> bytes:
+    """The bytes of base64 digits of either alphabet, or of hex digits; digits over at the end are left out."""
+    if base == 16:
+        return bytes.fromhex(digits[: len(digits) & ~1])
+    digits = digits[: len(digits) - (len(digits) % 4 == 1)]
+    return base64.b64decode(digits.replace("-", "+").replace("_", "/") + "=" * (-len(digits) % 4))
+
+
+def pieces(text: str, at: int, base: int, need: int | None, start: str) -> list[tuple[int, int]]:
+    """Bounds of the lines of a run from `at` on: as many as hold `need` digits, or, without such a number, all up to one
+    that begins with `start`."""
+    out, have = [], 0
+    while m := DIGITS[base].match(text, at):
+        if out and need is None and m[0].startswith(start):
+            break
+        out.append(m.span())
+        have += m.end() - m.start()
+        gap = JOINT.match(text, m.end())
+        if (need is not None and have >= need) or not gap:
+            break
+        at = gap.end()
+    return out
+
+
+def encoded_spans(text: str, base: int, nested: bool) -> list[tuple[int, int, int]]:
+    """Spans of keys in base64 or hex and, unless this is such a text already, of tokens and PEM texts in it."""
+    out, past = [], 0
+
+    def digits_of(count: int) -> int:
+        return 2 * count if base == 16 else -(-4 * count // 3)
+
+    for m in START[base].finditer(text):
+        if m.start() < past:
+            continue
+        need = None
+        if m[1]:
+            head = decoded(m[0], base)
+            # a short length, or one of so many bytes; what follows it, if it is here, is a version or a sequence
+            skip = 2 + (head[1] & 0x7F if head[1] >= 0x80 else 0)
+            if not 2 <= skip <= 6 or head[1] == 0x80 or head[skip : skip + 1] not in (b"", b"\x02", b"\x30"):
+                continue
+            need = digits_of(skip + (int.from_bytes(head[2:skip], "big") if skip > 2 else head[1]))
+            if need > len(text) - m.start():
+                continue
+        lines = pieces(text, m.start(), base, need, m[0])
+        data, kind, count = decoded("".join(text[s:e] for s, e in lines), base), None, None
+        if m[1]:
+            kind, count = (3 if base == 64 else 4) if is_key(data) else None, need
+        elif data.startswith(MAGIC[:-1]):
+            end = openssh_end(data)
+            kind, count = (None, None) if end is None else (6, digits_of(end))
+        elif not nested:
+            inner = data.decode("latin-1")
+            token = SIGNED.match(inner)
+            if token:
+                kind, count = (5 if is_signed_token(token[1]) else None), digits_of(token.end())
+            elif inner.startswith("-----B"):
+                found = confirmed_spans(inner, True)
+                kind, count = (found[0][1], digits_of(len(inner))) if found else (None, None)
+        if kind is None:
+            continue
+        for s, e in lines:
+            past, count = e, count - (e - s)
+            if count <= 0:
+                break
+        while base == 64 and text[past : past + 1] == "=":
+            past += 1
+        out.append((m.start(), kind, past))
+    return out
+
+
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """(start, kind number, end) of the base spans, kind by kind."""
     out, low = [], text.lower()
@@ -118,23 +217,14 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def confirmed_spans(text: str) -> list[tuple[int, int, int]]:
+def confirmed_spans(text: str, nested: bool = False) -> list[tuple[int, int, int]]:
     """Spans whose decoded content has a secret's structure."""
-    out, raw = [], text.encode("utf-8", "surrogatepass")
-
-    def free(m: re.Match, before: re.Pattern) -> bool:
-        return not m.start() or not before.match(text[m.start() - 1])
-
-    if _has(raw, BASE64_TEST):
-        for m in BASE64_RUN.finditer(text):
-            digits = re.sub(r"\s", "", m[0]).rstrip("=")
-            digits = digits[: len(digits) - (len(digits) % 4 == 1)]
-            if free(m, BEFORE_BASE64) and is_key(base64.b64decode(digits + "=" * (-len(digits) % 4))):
-                out.append((m.start(), 3, m.end()))
-    if _has(raw, ANY_HEX_TEST):
-        out += [(m.start(), 4, m.end()) for m in HEX_RUN.finditer(text) if free(m, BEFORE_HEX) and is_key(bytes.fromhex(m[0][: len(m[0]) & ~1]))]
+    # line ends that are written as escapes become real ones, and PEM marks spaces, in the same places
+    plain = ESCAPED.sub(lambda m: " " * (len(m[0]) - 1) + (" " if m[0][-1] == "t" else "\n"), text) if "\\" in text else text
+    plain = MARK.sub(lambda m: " " * len(m[0]), plain) if "-----" in plain else plain
+    out = encoded_spans(plain, 64, nested) + encoded_spans(plain, 16, nested)
     if "eyJ" in text:
-        out += [(m.start(), 5, m.end()) for m in SIGNED.finditer(text) if free(m, BEFORE_SIGNED) and is_signed_token(m[1])]
+        out += [(m.start(), 5, m.end()) for m in SIGNED.finditer(plain) if not (m.start() and BEFORE_SIGNED.match(plain[m.start() - 1])) and is_signed_token(m[1])]
     return out
 
 
@@ -147,7 +237,7 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     docs: any table with id_col (any type, null allowed) and text_col; other columns are ignored, whatever their names. A
     null text counts as empty and has no spans. Repeated rows each give a row; an empty table gives none. Long texts are
-    scanned whole, in time linear in their length.
+    scanned whole, in time linear in their length, but for texts with many lines that each claim to begin a long key.
 
     Returns id_col, spans array<struct<kind, start, end>> (code points, end exclusive; by start, then kind as listed in
     KINDS) and base array of the same type without the confirmed kinds.
