@@ -13,18 +13,18 @@ from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.ngram_jaccard import ngram_jaccard
 from tidemark.llm.source_mixing import mix_sources
 
-#: A document goes if no language has this share of it.
-LEAST_SHARE = 0.5
+#: A document goes if its languages explain its trigrams no better than this, in nats a trigram above no language at all.
+LEAST_FIT = 0.0
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a letter and those of which no learned language has half; with no language to learn, none."""
+    """Rejects documents without a letter and those that no mixture of learned languages explains; with no language to learn, none."""
     model = MixtureModel.fit(docs)
     if not model.langs:
         return docs
-    lang, share = fresh(docs, "predicted"), fresh(docs, "share")
-    found = language_id(docs, model, out=lang, score=share)
-    return found.filter((F.col(lang) != UND) & (F.col(share) >= LEAST_SHARE)).select(docs.columns)
+    lang, share, fit = fresh(docs, "predicted"), fresh(docs, "share"), fresh(docs, "fit")
+    found = language_id(docs, model, out=lang, score=share, fit=fit)
+    return found.filter((F.col(lang) != UND) & (F.col(fit) > LEAST_FIT)).select(docs.columns)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

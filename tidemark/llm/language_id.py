@@ -105,11 +105,16 @@ class MixtureModel:
 
     def infer(self, texts: list[str | None], rounds: int = 12) -> tuple[list[str], list[float], list[dict[str, float]]]:
         """(language with the largest share, that share, shares of the selected set) of each text."""
+        return self.infer_fit(texts, rounds)[:3]
+
+    def infer_fit(self, texts: list[str | None], rounds: int = 12) -> tuple[list[str], list[float], list[dict[str, float]], list[float]]:
+        """What infer gives, and the fit of each text: by how much the mean log-likelihood of its trigrams under the selected
+        set is above that under no language, where all cells are equally likely; 0 where there is nothing to fit."""
         cells = [trigram_cells(t) if t else np.zeros(0, np.int64) for t in texts]
-        names, scores, sets = [UND] * len(texts), [0.0] * len(texts), [{} for _ in texts]
+        names, scores, sets, fits = [UND] * len(texts), [0.0] * len(texts), [{} for _ in texts], [0.0] * len(texts)
         some = [i for i, c in enumerate(cells) if len(c)]
         if not some or not self.langs:
-            return names, scores, sets
+            return names, scores, sets, fits
         # one sort of (document, cell) keys counts the cells of all documents; runs of documents keep the keys in 31 bits
         keys = [np.concatenate([cells[i].astype(np.int32) + CELLS * j for j, i in enumerate(some[k : k + MOST_SORTED])]) for k in range(0, len(some), MOST_SORTED)]
         doc, cell, n = (np.concatenate(x) for x in zip(*(_counted(x, k * MOST_SORTED) for k, x in enumerate(keys)), strict=True))
@@ -149,11 +154,12 @@ class MixtureModel:
             live, held, q, m = live[won], np.hstack([held[won], added[won, None]]), q[keep], m[keep]
             like[live] += gain[won] + penalty[live]
             pi[live[:, None], held] = grown[won]
-        best = pi.argmax(1)
-        for i, b, share in zip(some, best, pi, strict=True):
+        best, fit = pi.argmax(1), like / total + np.log(CELLS)
+        for i, b, share, f in zip(some, best, pi, fit, strict=True):
             names[i], scores[i] = self.langs[b], float(min(1.0, max(0.0, share[b])))
+            fits[i] = float(f)
             sets[i] = {self.langs[x]: float(share[x]) for x in np.flatnonzero(share)}
-        return names, scores, sets
+        return names, scores, sets, fits
 
 
 def _counted(keys: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -163,15 +169,16 @@ def _counted(keys: np.ndarray, first: int) -> tuple[np.ndarray, np.ndarray, np.n
     return first + keys[at] // CELLS, keys[at] % CELLS, np.diff(np.append(at, len(keys))).astype(float)
 
 
-def language_id(docs: DataFrame, model: MixtureModel, text_col: str = "text", out: str = "lang_pred", score: str = "score", shares: str | None = None) -> DataFrame:
-    """docs with the predicted language of every row, its share of the document and, if asked for, all selected shares.
+def language_id(docs: DataFrame, model: MixtureModel, text_col: str = "text", out: str = "lang_pred", score: str = "score", shares: str | None = None, fit: str | None = None) -> DataFrame:
+    """docs with the predicted language of every row, its share of the document and, if asked for, all selected shares
+    and the fit (see infer_fit).
 
     Only text_col is read. A null text or one without a letter gets `und` and 0. Ties go to the language whose name is
     first. Repeated rows each get the same answer; an empty table stays empty; with nothing learned all rows are `und`.
     Columns of docs that are named like an output are replaced; all others are kept. Texts of any length are read whole.
     """
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    keep = [c for c in docs.columns if c.lower() not in {x.lower() for x in (out, score, shares) if x}]
+    keep = [c for c in docs.columns if c.lower() not in {x.lower() for x in (out, score, shares, fit) if x}]
     text = docs[text_col].cast("string")
     struct = F.struct(*[docs[c].alias(f"c{i}") for i, c in enumerate(keep)]) if keep else F.struct(F.lit(0).alias("c0"))
     kind = docs.select(struct.alias("rest")).schema["rest"].dataType.simpleString()
@@ -179,15 +186,15 @@ def language_id(docs: DataFrame, model: MixtureModel, text_col: str = "text", ou
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text"):
-                names, scores, sets = sent.value.infer(batch.column("text").to_pylist())
+                names, scores, sets, fits = sent.value.infer_fit(batch.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("rest"), pa.array(names), pa.array(scores, pa.float64()), pa.array([list(s.items()) for s in sets], pa.map_(pa.string(), pa.float64()))],
-                    names=["rest", "lang", "score", "shares"],
+                    [batch.column("rest"), pa.array(names), pa.array(scores, pa.float64()), pa.array([list(s.items()) for s in sets], pa.map_(pa.string(), pa.float64())), pa.array(fits, pa.float64())],
+                    names=["rest", "lang", "score", "shares", "fit"],
                 )
 
-    done = docs.select(struct.alias("rest"), text.alias("text")).mapInArrow(run, f"rest {kind}, lang string, score double, shares map<string,double>")
+    done = docs.select(struct.alias("rest"), text.alias("text")).mapInArrow(run, f"rest {kind}, lang string, score double, shares map<string,double>, fit double")
     cols = [F.col(f"rest.c{i}").alias(c) for i, c in enumerate(keep)] + [F.col("lang").alias(out), F.col("score").alias(score)]
-    return done.select(*cols, *([F.col("shares").alias(shares)] if shares else []))
+    return done.select(*cols, *([F.col("shares").alias(shares)] if shares else []), *([F.col("fit").alias(fit)] if fit else []))
 
 
 def crc_mod(value: object, m: int) -> int:
