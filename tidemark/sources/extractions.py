@@ -7,7 +7,7 @@ import re
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tidemark.functions.scalars import extraction_name, extraction_time
 
@@ -114,8 +114,11 @@ def after_watermark(df: DataFrame, col: str, cursor: dt.datetime | None) -> Data
 
 
 def read_event_files(spark: SparkSession, path: str, schema: StructType | str, skip: str = "index.*") -> DataFrame:
-    """Events of many per-run files: files named like `skip` are left out, unreadable ones too."""
-    df = spark.read.schema(schema).option("ignoreCorruptFiles", "true").option("mode", "DROPMALFORMED").json(path)
+    """Events of many per-run files: files named like `skip` are left out, unreadable ones too. A malformed row of a file that
+    can be read stays, with its text in one more column, `_corrupt_record`, which is null in all other rows."""
+    fields = (StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    whole = StructType([*fields, StructField("_corrupt_record", StringType())])
+    df = spark.read.schema(whole).option("ignoreCorruptFiles", "true").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
     return df.filter(~F.col("_metadata.file_name").rlike(f"^{skip}$"))
 
 
