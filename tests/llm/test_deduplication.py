@@ -1,12 +1,15 @@
 """Exact, substring and line dedup and the n-gram join against brute force."""
 
 import hashlib
+import random
 import re
 from collections import defaultdict
 
+import pyarrow as pa
 from conftest_llm import roots
 from oracle import check
 
+from tidemark.llm import common
 from tidemark.llm import line_dedup as ld
 from tidemark.llm import ngram_jaccard as nj
 from tidemark.llm import queries
@@ -132,3 +135,52 @@ def test_ngram_jaccard_chain_and_shuffled_texts(spark, monkeypatch):
     rows = [(k, " ".join(w[10 * k : 10 * k + 100])) for k in range(12)] + [(50 + k, " ".join([*w[:99], f"tail{k}"])) for k in range(9)]
     got = {r.doc_id: r.component_id for r in nj.ngram_jaccard(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {i: brute_jaccard(rows)[0][i][1] for i, _ in rows} and set(got.values()) == {0}
+
+
+def spread_copies(n, seed):
+    """Copies of one text with up to a third of the words changed: many pairs lie near the threshold; lengths differ as well."""
+    rng = random.Random(seed)
+    base = [f"b{i}" for i in range(150)]
+    rows = []
+    for k in range(n):
+        words = [rng.choice("xyz") + str(rng.randrange(10**6)) if rng.random() < 0.02 * (k % 9) / 2 else x for x in base]
+        rows.append((k, " ".join(words[: len(words) - rng.choice([0, 0, 10, 40])])))
+    return rows
+
+
+def test_ngram_jaccard_cuts_groups_into_blocks(spark, monkeypatch):
+    monkeypatch.setattr(nj, "BLOCK", 8)
+    monkeypatch.setattr(common, "EDGES_A_TASK", 10)
+    rows = spread_copies(160, 0) + [(1000 + k, t) for k, t in spread_copies(20, 1)] + [(2000 + k, " ".join(f"u{k}x{j}" for j in range(30))) for k in range(5)]
+    want, links = brute_jaccard(rows)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in nj.ngram_jaccard(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)).collect()}
+    assert got == want and len(links) > 500 and len({c for _, c in want.values()}) > 20
+
+
+def thue_morse(n):
+    word = [0]
+    while len(word) < n:
+        word += [1 - x for x in word]
+    return "".join("ab"[x] for x in word), "".join("ba"[x] for x in word)
+
+
+def test_structured_words_differ(spark):
+    """Words that any polynomial modulo a power of two confuses are told apart."""
+    one, other = thue_morse(1024)
+    hashed = common.WordHasher(7)
+    buf, offsets = common.text_buffer(pa.array([one, other, one + "\n" + other, "x" * (3 << 20) + " y"]))
+    starts, ends, _ = common.word_bounds(buf, offsets)
+    h = hashed(buf, starts, ends).tolist()
+    assert len(set(h)) == 4 and h[0] == h[2] and h[1] == h[3]
+    rows = [(1, f"{one} w x y z"), (2, f"{other} w x y z"), (3, f"q {one} w x y z"), (4, f"q {other} w x y z"), (5, f"q  {one.upper()} w x\ty z")]
+    got = {r.doc_id: r.component_id for r in nj.ngram_jaccard(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 3}
+
+
+def test_components_of_many_tasks(spark, monkeypatch):
+    monkeypatch.setattr(common, "EDGES_A_TASK", 3)
+    edges = [(i, i + 1) for i in range(0, 40)] + [(100, x) for x in range(101, 120)] + [(7, 7), (300, 200), (200, 300)]
+    got = {r.id: r.component for r in common.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    want = {i: 0 for i in range(41)} | {i: 100 for i in range(100, 120)} | {200: 200, 300: 200}
+    assert got == want
+    assert common.components(spark.createDataFrame([], "a long, b long")).count() == 0

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -18,16 +19,20 @@ SPACES = " \t\n\x0b\x0c\r"
 #: Bytes of text that are hashed at a time, so that the work arrays stay small whatever the Arrow batch holds.
 SLICE_BYTES = 1 << 20
 
+#: Edges that one task contracts by itself.
+EDGES_A_TASK = 1 << 18
+
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder for staged tables: spark.checkpoint.dir, or a new local one where that is unset (as in tests)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.sparkContext.getCheckpointDir()
+    """The shared folder for staged tables: spark.checkpoint.dir. Where that is unset, a new one if all of Spark runs in this
+    process (as in tests); on a cluster that is an error, as no folder of one machine will do."""
+    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = tempfile.mkdtemp(prefix="spark-checkpoint-")
         spark.sparkContext.setCheckpointDir(found)
     return found
@@ -58,21 +63,33 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+#: Two primes below 2 ** 31.
+PRIMES = (2147483647, 2147483629)
+#: Bytes up to which sums of (byte + 1) * power can't pass 2 ** 63; longer words are reduced byte by byte.
+SAFE_SUM = 1 << 22
+
+
 class WordHasher:
-    """64-bit hashes of all words of a text buffer from prefix sums of a polynomial in an odd base; no loop over words."""
+    """Hashes of all words of a text buffer from prefix sums; no loop over words.
+
+    A word is a polynomial in its bytes, taken at one secret point of each of two prime fields: two different words of n
+    bytes agree in both with a chance of at most (n / 2 ** 31) ** 2, whatever their structure.
+    """
 
     def __init__(self, seed: int):
-        self._table = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
-        self._base = int(mix(np.array([seed + 77], np.uint64))[0]) | 1
-        self._inverse = pow(self._base, -1, 1 << 64)
-        self._powers = self._inverses = np.ones(1, np.uint64)
+        drawn = mix(np.arange(1, 3, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed)).tolist()
+        self._points = [2 + x % (p - 2) for x, p in zip(drawn, PRIMES, strict=True)]
+        self._powers = [(np.ones(1, np.uint64), np.ones(1, np.uint64)) for _ in PRIMES]
 
     def _grow(self, n: int) -> None:
-        if len(self._powers) < n:
-            for name, base in (("_powers", self._base), ("_inverses", self._inverse)):
-                steps = np.full(n, base, np.uint64)
-                steps[0] = 1
-                setattr(self, name, np.multiply.accumulate(steps))
+        """Powers of the points and of their inverses up to n of them."""
+        for k, (p, x) in enumerate(zip(PRIMES, self._points, strict=True)):
+            both = []
+            for have, base in zip(self._powers[k], (x, pow(x, -1, p)), strict=True):
+                while len(have) < n:
+                    have = np.concatenate([have, have * np.uint64(pow(base, len(have), p)) % np.uint64(p)])
+                both.append(have)
+            self._powers[k] = (both[0], both[1])
 
     def __call__(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         out = np.empty(len(starts), np.uint64)
@@ -81,10 +98,15 @@ class WordHasher:
             k = max(i + 1, int(np.searchsorted(ends, starts[i] + SLICE_BYTES, "right")))
             a, b = int(starts[i]), int(ends[k - 1])
             self._grow(b - a + 1)
-            sums = np.zeros(b - a + 1, np.uint64)
-            np.cumsum(self._table[buf[a:b]] * self._powers[: b - a], out=sums[1:])
             s, e = starts[i:k] - a, ends[i:k] - a
-            out[i:k] = mix((sums[e] - sums[s]) * self._inverses[s] + (e - s).astype(np.uint64))
+            digits = buf[a:b].astype(np.uint64) + np.uint64(1)
+            sums = np.zeros(b - a + 1, np.uint64)
+            values = []
+            for p, (powers, inverses) in zip(PRIMES, self._powers, strict=True):
+                terms = digits * powers[: b - a]
+                np.cumsum(terms if b - a <= SAFE_SUM else terms % np.uint64(p), out=sums[1:])
+                values.append((sums[e] - sums[s]) % np.uint64(p) * inverses[s] % np.uint64(p))
+            out[i:k] = mix((values[0] << np.uint64(31) | values[1]) + (e - s).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
             i = k
         return out
 
@@ -136,26 +158,48 @@ def rolled(h: np.ndarray, k: int, base: int) -> np.ndarray:
     return mix(out)
 
 
-def components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
+def forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Stars (u, v) that join what a task's edges (u, v) join; v is the smallest id reachable over them."""
+    us, vs = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for batch in batches:
+        us.append(batch.column("u").to_numpy())
+        vs.append(batch.column("v").to_numpy())
+    ids, place = np.unique(np.concatenate([*us, *vs]), return_inverse=True)
+    i, j = place[: len(place) // 2], place[len(place) // 2 :]
+    root = np.arange(len(ids))
+    while True:
+        new = root.copy()
+        np.minimum.at(new, root[i], root[j])
+        np.minimum.at(new, root[j], root[i])
+        new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    some = root != np.arange(len(ids))
+    yield pa.RecordBatch.from_arrays([pa.array(ids[some]), pa.array(ids[root[some]])], names=["u", "v"])
+
+
+def components(edges: DataFrame) -> DataFrame:
     """(id, component): the smallest id reachable over undirected edges (a, b), for every id that has an edge to another.
 
-    Alternates large-star and small-star contractions until nothing changes. Every step is an aggregation with map-side
-    combine and a join, so no component is ever gathered in a task; each round's table is staged in the shared folder.
+    Every task first contracts EDGES_A_TASK of the edges to stars. While there is more than one such task, large-star and
+    small-star contractions alternate until nothing changes: every step is an aggregation with map-side combine and a join
+    of staged tables, so no component is ever gathered in a task.
     """
     pairs = staged(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u > v").distinct(), "edges")
+    tasks = max(1, -(-pairs.count() // EDGES_A_TASK))
+    pairs = staged(pairs.repartition(tasks).mapInArrow(forest, "u long, v long"), "edges")
     sums = None
-    for _ in range(most_rounds):
+    while tasks > 1:
         both = pairs.select("u", "v").union(pairs.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = staged(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
+        large = staged(both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u > v").distinct(), "edges")
+        low = staged(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").filter("u > v").distinct()
         pairs = staged(small, "edges")
         now = pairs.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == sums:
             break
         sums = now
-    else:
-        raise RuntimeError(f"components did not settle in {most_rounds} rounds")
     stars = pairs.select(F.col("u").alias("id"), F.col("v").alias("component"))
     return stars.union(stars.select(F.col("component").alias("id"), "component").distinct())
