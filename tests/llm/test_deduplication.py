@@ -74,37 +74,76 @@ def test_substring_sketch_never_loses_a_window():
 
 
 def brute_lines(rows):
-    seen, out = [], {}
+    """Every line with a token against all earlier ones."""
+    seen, out = {}, {}
     for i, t, *_ in sorted(rows, key=lambda r: r[0]):
         if t is None:
             out[i] = (None, 0)
             continue
         kept = []
         for line in t.split("\n"):
-            s = set(WORD.findall(line))
-            hit = len(s) >= 5 and any(100 * len(s & o) >= 75 * len(s | o) for o in seen)
-            if len(s) >= 5:
-                seen.append(s)
-            if not hit:
+            s = frozenset(WORD.findall(line))
+            if not s or not (s in seen or any(100 * len(s & o) >= 75 * len(s | o) for o in seen)):
                 kept.append(line)
+            if s:
+                seen[s] = True
         out[i] = ("\n".join(kept), len(t.split("\n")) - len(kept))
     return out
 
 
-def test_line_dedup(docs, rows, null_ids, empty):
+def test_line_dedup(docs, rows, null_ids, empty, monkeypatch):
     done = ld.line_dedup(docs)
     assert done.columns == [*docs.columns, "n_lines", "_n_removed"]  # docs has an n_removed of its own
     want = brute_lines(rows)
     assert {r.doc_id: (r.text, r["_n_removed"]) for r in done.collect()} == want
+    assert {r.doc_id: r.n_lines for r in done.collect()} == {i: 0 if t is None else t.count("\n") + 1 for i, t, *_ in rows}
     assert sum(w[1] for w in want.values()) > 10
     got = ld.line_dedup(null_ids).collect()
     assert [r["_n_removed"] for r in got] == [0] * 5  # rows of one id and text are one document
     assert ld.line_dedup(empty).count() == 0
+    monkeypatch.setattr(ld, "BROADCAST_ROWS", -1)  # every table is shuffled
+    assert {r.doc_id: (r.text, r["_n_removed"]) for r in ld.line_dedup(docs).collect()} == want
 
 
-def test_line_dedup_keeps_unlike_lines(spark):
-    df = spark.createDataFrame([(1, "a b c d e f g h\nshort line"), (2, "a b c d e f x y\nshort line"), (3, "h g f e d c b z")], "doc_id long, text string")
-    assert {r.doc_id: r.n_removed for r in ld.line_dedup(df).collect()} == {1: 0, 2: 0, 3: 1}
+def near_lines(n, seed):
+    """Lines that are copies of a few, with words changed, added, left out, repeated or in another order; short and long ones."""
+    rng = random.Random(seed)
+    bases = [[f"t{rng.randrange(80)}" for _ in range(k)] for k in (1, 2, 3, 4, 5, 7, 12, 20, 50, 90)]
+    out = []
+    for k in range(n):
+        words = [w for w in rng.choice(bases) if rng.random() > 0.06 * (k % 4)]
+        words = [f"t{rng.randrange(80)}" if rng.random() < 0.05 * (k % 3) else w for w in words]
+        words += [rng.choice(words)] * (k % 2) if words else []
+        if k % 5 == 0:
+            rng.shuffle(words)
+        out.append(rng.choice(["", " "]) + rng.choice([" ", "  ", "\t", "\x0b"]).join(words) + rng.choice(["", "\r"]))
+    return out
+
+
+def test_line_dedup_near_the_threshold(spark):
+    lines = near_lines(400, 3)
+    rows = [(k // 4 if k < 200 else 1000 - k, "\n".join(lines[k : k + 4])) for k in range(0, 400, 4)]
+    got = {r.doc_id: (r.text, r.n_removed) for r in ld.line_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert got == brute_lines(rows) and 50 < sum(n for _, n in got.values()) < 395
+
+
+def test_line_dedup_short_lines(spark):
+    texts = ["All rights reserved.\n\nRead more", "Read more\n\n版权所有不得转载", "版权所有不得转载\nreserved. All rights now", "a b c d", "a b c", "a b x", "more", "x\u00a0y", "x y"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: (r.text, r.n_removed) for r in ld.line_dedup(df).collect()}
+    assert got == brute_lines(enumerate(texts)) and [got[i][1] for i in range(9)] == [0, 1, 2, 0, 1, 0, 0, 0, 0]
+
+
+def test_line_dedup_tells_texts_of_one_id_apart(spark):
+    df = spark.createDataFrame([(1, "a b c\nd e f"), (1, "q r s\na b c"), (1, "a b c\nd e f")], "doc_id long, text string")
+    got = sorted((r.text, r.n_removed) for r in ld.line_dedup(df).collect())
+    assert got in ([("a b c\nd e f", 0), ("a b c\nd e f", 0), ("q r s", 1)], [("d e f", 1), ("d e f", 1), ("q r s\na b c", 0)])
+
+
+def test_line_dedup_query(spark, data):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{data}/documents.parquet").collect()]
+    want = {i: (n, None if t is None else sha(t)) for i, (t, n) in brute_lines(rows).items()}
+    assert {r.doc_id: (r.n_removed, r.kept_sha256) for r in queries.op2_line_dedup(spark, data).collect()} == want
 
 
 def brute_jaccard(rows):

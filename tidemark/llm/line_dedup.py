@@ -2,143 +2,224 @@
 
 Tokens of a line are ordered by rarity; two lines with Jaccard 0.75 or more share a token among the first few of either
 (prefix filter), are of similar size (length filter), leave enough tokens after the shared one (positional filter) and
-differ in few bits of a 128-bit signature. What is left is verified on the tokens themselves. Of every pair of matching
-lines, the later one goes.
+differ in few bits of a signature. What is left is verified on the tokens themselves. Of every pair of matching lines, the
+later one goes.
+
+Lines with one text (a 128-bit digest of it) are one class, under the earliest of them. One match is enough to remove a line, so
+every class is first held against the earliest classes that have two tokens drawn from its prefix: that settles groups of near copies
+with a few comparisons a member. Only pairs whose later class is still open are then looked for by whole prefixes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import math
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from itertools import combinations
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import fresh, staged
 
-#: Similarity in hundredths, and distinct tokens that a line needs to be compared at all.
-PERCENT, LEAST_TOKENS = 75, 5
+#: Similarity in hundredths.
+PERCENT = 75
 #: Token counts are kept for so many hash cells (a power of two): the rarity order is a table of fixed size.
-CELL_BITS = 17
-#: Documents with lines to remove, and such lines, up to which their table is broadcast (some 40 MB); beyond it the documents
-#: are shuffled to meet it.
-BROADCAST_DOCS, BROADCAST_LINES = 1_000_000, 4_000_000
-#: Candidate lines up to which their places or prefixes are broadcast (24 or some 100 bytes each); beyond it they are shuffled.
-BROADCAST_WANTED = 1_000_000
-SPACE = r"[\x20\x09-\x0D]+"
+CELL_BITS = 16
+#: Tokens of a prefix with the lowest hashes, and with the highest, any two of which find an earlier class to be held against at first.
+DRAWN = 4
+#: Rows of fixed width (16 to 40 bytes), and lines listed in them (4 bytes each), up to which a table is broadcast; beyond that
+#: the same join is shuffled.
+BROADCAST_ROWS, BROADCAST_LINES = 1_000_000, 4_000_000
+#: The white space but \n and space that separates words.
+OTHER_SPACES = ("\t", "\x0b", "\x0c", "\r")
+
+
+def spaced(text: Column) -> Column:
+    """The text with a space for every white space but \\n. Few texts hold any other; those alone are rewritten."""
+    odd = text.contains(OTHER_SPACES[0])
+    for c in OTHER_SPACES[1:]:
+        odd = odd | text.contains(c)
+    return F.when(odd, F.translate(text, "".join(OTHER_SPACES), " " * len(OTHER_SPACES))).otherwise(text)
+
+
+def token_set(line: Column) -> Column:
+    """Distinct words of a line that spaced() made."""
+    return F.array_remove(F.array_distinct(F.split(line, " ", -1)), "")
 
 
-def bounded(table: DataFrame) -> DataFrame:
-    """A staged table, marked for broadcast if it has no more than BROADCAST_WANTED rows."""
-    return F.broadcast(table) if table.count() <= BROADCAST_WANTED else table
+def token_hashes(line: Column) -> Column:
+    """Distinct 64-bit hashes of the words of a line that spaced() made. They only choose what is compared on the words."""
+    return F.array_distinct(F.transform(F.array_remove(F.split(line, " ", -1), ""), lambda w: F.xxhash64(w)))
 
 
-def words_of(text: Column) -> Column:
-    """Runs of anything but white space, in order."""
-    return F.array_remove(F.split(text, SPACE, -1), "")
+@contextmanager
+def joins_by_part_of_keys(spark: SparkSession) -> Iterator[None]:
+    """While it holds, two sides that are dealt by some of a join's keys aren't dealt anew by all of them."""
+    name = "spark.sql.requireAllClusterKeysForCoPartition"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
 
 
-def rarity_levels(docs: DataFrame, text: Column) -> Column:
-    """An array literal with a level for every hash cell of tokens: four times the binary logarithm of their count over all
-    of docs, in the seven upper bits of a long.
+def rarity_levels(texts: DataFrame) -> Column:
+    """An array literal with a level for every hash cell of tokens: twice the binary logarithm of their count over all texts.
 
     Tokens are counted by cell in every task before they are shuffled; the table has 2 ** CELL_BITS entries whatever the
     input. Any order of tokens gives right results; this one puts frequent tokens last.
     """
-    words = docs.select(F.explode(F.split(text, SPACE, -1)).alias("w")).filter("w <> ''")
-    counts = words.groupBy(F.shiftrightunsigned(F.xxhash64("w"), 64 - CELL_BITS).cast("int").alias("cell")).count()
-    every = docs.sparkSession.range(1 << CELL_BITS).select(F.col("id").cast("int").alias("cell")).join(counts, "cell", "left")
-    level = F.least(F.lit(126), F.floor(4 * F.log2(F.coalesce("count", F.lit(0)) + 1))) - 64
-    shifted = F.shiftleft(level.cast("long"), 57).cast("string")
-    listed = F.transform(F.sort_array(F.collect_list(F.struct("cell", shifted.alias("level")))), lambda x: x["level"])
+    words = texts.select(F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ", -1)).alias("w"))
+    counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit((1 << CELL_BITS) - 1)).cast("int").alias("cell")).count()
+    every = texts.sparkSession.range(1 << CELL_BITS).select(F.col("id").cast("int").alias("cell")).join(counts, "cell", "left")
+    level = F.least(F.lit(63), F.floor(2 * F.log2(F.coalesce("count", F.lit(0)) + 1))).cast("string")
+    listed = F.transform(F.sort_array(F.collect_list(F.struct("cell", level.alias("level")))), lambda x: x["level"])
     return F.split(F.lit(every.agg(F.array_join(listed, ",").alias("levels")).first().levels), ",").cast("array<bigint>")
 
 
-def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT, least_tokens: int = LEAST_TOKENS) -> DataFrame:
+def bounded(table: DataFrame, lines: str | None = None) -> DataFrame:
+    """A staged table, marked for broadcast if its rows and the lines that it lists are few enough."""
+    size = table.agg(F.count("*").alias("rows"), F.sum(F.size(lines) if lines else F.lit(0)).alias("lines")).first()
+    return F.broadcast(table) if size.rows <= BROADCAST_ROWS and (size.lines or 0) <= BROADCAST_LINES else table
+
+
+def line_classes(lines: DataFrame, levels: Column, percent: int) -> DataFrame:
+    """digest, doc, at (the earliest line), copies, n (distinct tokens), first (hashes of the prefix), all_bits and high_bits."""
+    some = lines.select("doc", "at", line_digest(F.col("text")).alias("digest"), token_hashes(F.col("text")).alias("hashes")).filter("digest is not null")
+    cell = F.lit((1 << CELL_BITS) - 1)
+    # a token's place in the order: the level of its cell, then 57 bits of its hash
+    places = F.transform("hashes", lambda h: F.shiftleft(F.coalesce(F.get(levels, h.bitwiseAND(cell).cast("int")), F.lit(0)), 57).bitwiseOR(F.shiftrightunsigned(h, 7)))
+    placed = some.select("doc", "at", "digest", F.size("hashes").alias("n"), F.sort_array(places).alias("places"))
+    # bits of the parity of tokens: two of these differ in no more bits than there are tokens in one set only
+    parity = "aggregate(places, 0L, (a, x) -> a ^ shiftleft({}, cast(x & 63L as int)))"
+    every, high = (F.expr(parity.format(one)) for one in ("1L", "shiftrightunsigned(x, 6) & 1L"))
+    prefix = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
+    first = F.transform(F.slice("places", 1, prefix), lambda x: F.hash(x))
+    lines = placed.select("digest", F.struct("doc", "at", "n", first.alias("first"), every.alias("all_bits"), high.alias("high_bits")).alias("c"))
+    return lines.groupBy("digest").agg(F.min("c").alias("c"), F.count("*").alias("copies")).select("digest", "c.*", "copies")
+
+
+def line_digest(line: Column) -> Column:
+    """128 bits of the SHA-256 of a line; null for one without a token."""
+    return F.when(F.trim(line) != "", F.unhex(F.left(F.sha2(line, 256), F.lit(32))))
+
+
+def differing() -> Column:
+    """Tokens that are in one of two sets only, at least: the bits in which their signatures differ."""
+    every = F.col("all_bits1").bitwiseXOR(F.col("all_bits2"))
+    high = F.col("high_bits1").bitwiseXOR(F.col("high_bits2"))
+    return F.bit_count(every.bitwiseXOR(high)) + F.bit_count(high)
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with value computed once a row wherever use names it."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def matching(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+    """(doc, at): the later lines (doc2, at2) of staged pairs of lines whose token sets match. texts has one row a (doc, mark); those
+    without a line in any pair are passed over."""
+    ends = pairs.select(F.explode(F.array(*[F.struct(F.col(f"doc{k}").alias("doc"), F.col(f"at{k}").alias("at")) for k in (1, 2)])).alias("e")).select("e.*").distinct()
+    wanted = ends.groupBy("doc", F.shiftright("at", 32).cast("int").alias("mark")).agg(F.collect_set(F.col("at").bitwiseAND(F.lit((1 << 32) - 1)).cast("int")).alias("lines"))
+    listed = texts.join(bounded(staged(wanted, "wanted"), "lines"), ["doc", "mark"])
+    split = listed.select("doc", "mark", F.explode(let(F.split("text", "\n", -1), lambda every: F.transform("lines", lambda i: F.struct(i.alias("line"), F.get(every, i).alias("text"))))).alias("x"))
+    tokens = split.select("doc", line_place(F.col("mark"), F.col("x.line")).alias("at"), token_set(F.col("x.text")).alias("tokens"))
+    words = staged(tokens, "words")
+    one, two = (words.select(F.col("doc").alias(f"doc{k}"), F.col("at").alias(f"at{k}"), F.col("tokens").alias(f"tokens{k}")) for k in (1, 2))
+    shared = F.size(F.array_intersect("tokens1", "tokens2"))
+    both = pairs.join(one, ["doc1", "at1"]).join(two, ["doc2", "at2"]).filter(100 * shared >= percent * (F.size("tokens1") + F.size("tokens2") - shared))
+    return both.select(F.col("doc2").alias("doc"), F.col("at2").alias("at")).distinct()
+
+
+def line_place(mark: Column, line: Column) -> Column:
+    """One number for a line's place among the lines of all rows with one id."""
+    return F.shiftleft(mark.cast("long"), 32).bitwiseOR(line.cast("long"))
+
+
+def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """Removes every line whose token set matches that of an earlier line.
 
     Lines end with \\n; tokens are runs of anything but space and \\t..\\r, unchanged; lines match when 100 * shared tokens >=
-    percent * all their tokens. Earlier means a smaller id (read as a long; null comes last), then a smaller line number.
-    All lines are judged on the input. Lines of fewer than least_tokens distinct tokens stay; at 1 only blank lines do. A null text stays null and has
-    no lines; an empty text has one empty line. Rows that repeat an id and its text are one document: they lose the same
-    lines. An empty table gives none. Long texts and lines are read whole.
+    percent * all their tokens. Earlier means a smaller id (read as a long; null comes last), then a smaller line number; rows
+    that repeat an id with another text come in the order of a hash of their texts. All lines are judged on the input. Lines
+    without a token stay. A null text stays null and has no lines; an empty text has one empty line. Rows that repeat an id and
+    its text are one document: they lose the same lines. An empty table gives none. Long texts and lines are read whole.
 
     Returns docs with text_col replaced, and two more columns, n_lines and n_removed long (named so, or with underscores in
     front where docs has such names).
     """
     doc_col, mark_col, gone_col, removed, lines_col = (fresh(docs, c) for c in ("doc", "mark", "gone", "n_removed", "n_lines"))
     text = F.col(text_col).cast("string")
-    levels = rarity_levels(docs, text)
-    doc, mark = F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1)), F.hash(text)
-    split = docs.select(doc.alias("doc"), mark.alias("mark"), F.posexplode(F.split(text, "\n", -1)).alias("line", "text"))
-
-    # a token's place in the order: the level of its cell, then 57 bits of its hash (one cell has one level)
-    hashes = F.transform(words_of(F.col("text")), lambda w: F.xxhash64(w))
-    places = F.sort_array(F.array_distinct(F.transform(hashes, lambda h: F.get(levels, F.shiftrightunsigned(h, 64 - CELL_BITS).cast("int")).bitwiseOR(h.bitwiseAND(F.lit((1 << 57) - 1))))))
-    sets = split.select("doc", "line", "mark", places.alias("places")).filter(F.size("places") >= least_tokens)
-    n = F.size("places")
-    # the first tokens by which similar lines find each other; 32 bits of each are enough for candidates
-    prefix = (n - F.ceil(n * percent / 100) + 1).cast("int")
-    # a signature of 128 bits, half of the tokens in either long
-    half = "aggregate(filter(places, x -> (x & 64L) = {}L), 0L, (a, x) -> a | shiftleft(1L, cast(x & 63L as int)))"
-    lines = sets.select(
-        "doc", "line", "mark", F.xxhash64("places").alias("k1"), F.xxhash64(F.lit(7), "places").alias("k2"), n.alias("n"), F.transform(F.slice("places", 1, prefix), lambda x: F.hash(x)).alias("first"), F.get("places", prefix - 1).alias("last"),
-        F.expr(half.format(0)).alias("sa"), F.expr(half.format(64)).alias("sb"),
-    )
-    lines = staged(lines, "lines")
-
-    # lines with one token set are one class, under their earliest line
-    me = ("doc", "line", "mark")
-    classes = lines.groupBy("k1", "k2").agg(F.min(F.struct(*me, "n", "sa", "sb", "first")).alias("c"))
-    # a set too small to match any but its equal is settled by its class
-    others = F.col("n") * 100 >= percent * (F.col("n") + 1)
-    wide = classes.select("c.*").filter(others).select(*me, "n", "sa", "sb", F.posexplode("first").alias("place", "token"))
-    # both sides of the join read one exchange
-    dealt = wide.select("token", *me, F.shiftleft(F.col("n").cast("long"), 32).bitwiseOR(F.col("place").cast("long")).alias("size"), "sa", "sb").repartition("token")
-    one, two = (dealt.select("token", *[F.col(c).alias(f"{c}{k}") for c in (*me, "size", "sa", "sb")]) for k in (1, 2))
-    na, nb = (F.shiftright(f"size{k}", 32) for k in (1, 2))
-    rest = F.least(*[F.shiftright(z, 32) - F.col(z).bitwiseAND(F.lit((1 << 32) - 1)) for z in ("size1", "size2")])
-    need = F.ceil(percent * (na + nb) / (100 + percent) - 1e-9)
-    differ = F.bit_count(F.col("sa1").bitwiseXOR(F.col("sa2"))) + F.bit_count(F.col("sb1").bitwiseXOR(F.col("sb2")))
-    alike = (100 * na >= percent * nb) & (100 * nb >= percent * na) & (rest >= need) & (differ <= na + nb - 2 * need)
-    before = "doc1 < doc2 or (doc1 = doc2 and (line1 < line2 or (line1 = line2 and mark1 < mark2)))"
-    found = one.join(two, "token").filter(alike).filter(before).select(*[f"{c}{k}" for k in (1, 2) for c in me]).distinct()
-    pairs = staged(found.select(*[F.struct(*[F.col(f"{c}{k}").alias(c) for c in me]).alias(f"m{k}") for k in (1, 2)]), "pairs")
-
-    # up to the smaller of two last tokens, all that lines share is in both prefixes; what comes after it is bounded by size
-    wanted = bounded(staged(pairs.select(F.explode(F.array("m1", "m2")).alias("me")).distinct(), "wanted"))
-    prefixes = bounded(staged(lines.select(F.struct(*me).alias("me"), "n", "first", "last").join(wanted, "me", "left_semi"), "prefixes"))
-    p1, p2 = (prefixes.select(*[F.col(c).alias(f"{c}{k}") for c in ("n", "first", "last")], F.col("me").alias(f"m{k}")) for k in (1, 2))
-    after = [F.col(f"n{k}") - F.size(f"first{k}") for k in (1, 2)]
-    after = F.when(F.col("last1") < F.col("last2"), after[0]).when(F.col("last1") > F.col("last2"), after[1]).otherwise(F.greatest(*after))
-    doubled = F.size("first1") - F.size(F.array_distinct("first1")) + F.size("first2") - F.size(F.array_distinct("first2"))
-    most = F.size(F.array_intersect("first1", "first2")) + doubled + after
-    close = most >= F.ceil(percent * (F.col("n1") + F.col("n2")) / (100 + percent) - 1e-9)
-    pairs = staged(pairs.join(p1, "m1").join(p2, "m2").filter(close).select("m1", "m2"), "pairs")
-
-    # verified on the tokens themselves, of the lines still in any pair
-    wanted = bounded(staged(pairs.select(F.explode(F.array("m1", "m2")).alias("me")).distinct(), "wanted"))
-    words = split.select(F.struct(*me).alias("me"), "text").join(wanted, "me", "left_semi")
-    words = staged(words.select("me", F.array_distinct(words_of(F.col("text"))).alias("tokens")), "words")
-
-    def matched(some: DataFrame) -> DataFrame:
-        """The later lines of pairs that match."""
-        both = some.join(words.select(F.col("me").alias("m1"), F.col("tokens").alias("t1")), "m1").join(words.select(F.col("me").alias("m2"), F.col("tokens").alias("t2")), "m2")
-        shared = F.size(F.array_intersect("t1", "t2"))
-        return both.filter(100 * shared >= percent * (F.size("t1") + F.size("t2") - shared)).select(F.col("m2").alias("me")).distinct()
-
-    # one match is enough: each line is first held against its earliest candidate, only the lines left against all others
-    once = staged(matched(pairs.groupBy("m2").agg(F.min("m1").alias("m1"))), "late")
-    left = pairs.join(once.select(F.col("me").alias("m2")), "m2", "left_anti")
-    late = once.union(matched(left))
-
-    # of a class whose first line goes all lines go, of another one all but the first
-    keys = lines.select("k1", "k2", F.struct(*me).alias("me"))
-    first = keys.groupBy("k1", "k2").agg(F.min("me").alias("first"), F.count("*").alias("n"))
-    gone_first = first.join(late, F.col("first") == F.col("me"), "left").select("k1", "k2", "first", "n", F.col("me").isNotNull().alias("late")).filter("late or n > 1")
-    gone = keys.join(gone_first, ["k1", "k2"]).filter(F.col("late") | (F.col("me") != F.col("first")))
-    gone = staged(gone.groupBy(F.col("me.doc").alias(doc_col), F.col("me.mark").alias(mark_col)).agg(F.sort_array(F.collect_set("me.line")).alias(gone_col)), "gone")
-    size = gone.agg(F.count("*").alias("n"), F.sum(F.size(gone_col)).alias("lines")).first()
-    small = size.n <= BROADCAST_DOCS and (size.lines or 0) <= BROADCAST_LINES
-    out = docs.withColumns({doc_col: doc, mark_col: mark}).join(F.broadcast(gone) if small else gone, [doc_col, mark_col], "left")
-    all_lines = F.split(text, "\n", -1)
-    kept = F.when(F.col(gone_col).isNull(), text).otherwise(F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(all_lines) - 1), gone_col), lambda i: F.get(all_lines, i)), "\n"))
+    doc = F.coalesce(F.col(id_col).cast("long"), F.lit((1 << 63) - 1))
+    # texts need telling apart by more than their id only if an id repeats
+    repeats = not docs.groupBy(doc.alias("doc")).count().filter("count > 1").isEmpty()
+    mark = F.hash(text) if repeats else F.lit(0)
+    texts = docs.select(doc.alias("doc"), mark.alias("mark"), spaced(text).alias("text")).filter("text is not null")
+    lines = texts.select("doc", "mark", F.posexplode(F.split("text", "\n", -1)).alias("line", "text")).select("doc", line_place(F.col("mark"), F.col("line")).alias("at"), "text")
+    classes = staged(line_classes(lines, rarity_levels(texts), percent), "classes")
+
+    once = texts.dropDuplicates(["doc", "mark"]) if repeats else texts
+
+    # each class against the earliest classes that have two tokens drawn from its prefix
+    who = ("doc", "at", "n", "all_bits", "high_bits")
+    drawn = classes.select("doc", "at", F.sort_array("first").alias("drawn"), F.size("first").alias("m"))
+    ends = [(F.lit(i), F.lit(j)) for i, j in combinations(range(DRAWN), 2)]
+    ends += [(F.col("m") - 1 - j, F.col("m") - 1 - i) for i, j in ends]
+    two_of = [F.when(F.greatest(i, j) < F.col("m"), F.hash(F.get("drawn", i), F.get("drawn", j))) for i, j in ends]
+    rare = drawn.select("doc", "at", F.explode(F.array_distinct(F.array_compact(F.array(*two_of)))).alias("key"))
+    lead = rare.groupBy("key").agg(F.min(F.struct("doc", "at")).alias("lead"), F.count("*").alias("sharers")).filter("sharers > 1")
+    lead = bounded(staged(lead.select("key", F.col("lead.doc").alias("doc1"), F.col("lead.at").alias("at1")), "leads"))
+    led = rare.select("key", F.col("doc").alias("doc2"), F.col("at").alias("at2")).join(lead, "key").filter("doc1 <> doc2 or at1 <> at2")
+    led = staged(led.select("doc1", "at1", "doc2", "at2").distinct(), "led")
+    for k in (1, 2):
+        led = led.join(classes.select(*[F.col(c).alias(f"{c}{k}") for c in who]), [f"doc{k}", f"at{k}"])
+    n1, n2 = F.col("n1"), F.col("n2")
+    alike = (100 * n1 >= percent * n2) & (100 * n2 >= percent * n1) & ((100 + percent) * differing() <= (100 - percent) * (n1 + n2))
+    led = staged(led.filter(alike).select("doc1", "at1", "doc2", "at2"), "led")
+    settled = staged(matching(once, led, percent), "settled")
+
+    # every pair of a class and one that is not longer, with a shared token in the prefix of either; the two sides read one exchange
+    state = classes.join(bounded(settled).withColumn("settled", F.lit(0)), ["doc", "at"], "left").select(*who, "first", F.coalesce("settled", F.lit(1)).alias("open"))
+    places = state.select("doc", "at", "n", "open", "all_bits", "high_bits", F.posexplode("first").alias("place", "token"))
+    size = F.shiftleft(F.shiftleft(F.col("n").cast("long"), 1).bitwiseOR(F.col("open").cast("long")), 32).bitwiseOR(F.col("place").cast("long"))
+    dealt = places.select("token", "doc", "at", size.alias("size"), "all_bits", "high_bits").repartition("token")
+    n, rest = (e.cast("long") for e in (F.shiftright("size", 33), F.shiftright("size", 33) - F.col("size").bitwiseAND(F.lit((1 << 32) - 1))))
+    one, two = (dealt.select("token", *[F.col(c).alias(f"{c}{k}") for c in ("doc", "at", "all_bits", "high_bits")], n.alias(f"n{k}"), rest.alias(f"rest{k}"), F.shiftright("size", 32).bitwiseAND(F.lit(1)).alias(f"open{k}")) for k in (1, 2))
+
+    def band(size: Column) -> Column:
+        return F.floor(F.log(size) / math.log(100 / percent + 0.01)).cast("int")
+
+    # the shorter side is looked up in the size band of its own, the longer one in those of all sizes that it can match from its place
+    # on; -1 and -2 meet nothing (a filter would be moved below the exchange, and either side get one of its own)
+    n1, n2 = F.col("n1"), F.col("n2")
+    one = one.withColumn("band", F.when((100 + percent) * F.col("rest1") >= 2 * percent * n1, F.coalesce(band(n1), F.lit(-1))).otherwise(-1))
+    least, most = F.ceil(percent * n2 / 100), F.least(n2, F.floor((100 + percent) * F.col("rest2") / percent) - n2)
+    two = two.withColumn("bands", F.explode_outer(F.when(most >= least, F.sequence(band(least), band(most))))).withColumn("band", F.coalesce("bands", F.lit(-2)))
+    before = (F.col("doc1") < F.col("doc2")) | (F.col("doc1") == F.col("doc2")) & (F.col("at1") < F.col("at2"))
+    alike = (100 * n1 >= percent * n2) & ((100 + percent) * F.least("rest1", "rest2") >= percent * (n1 + n2)) & ((100 + percent) * differing() <= (100 - percent) * (n1 + n2))
+    later_open = F.when(before, F.col("open2")).otherwise(F.col("open1")) == 1
+    found = one.join(two, ["token", "band"]).filter(((n1 < n2) | (n1 == n2) & before) & alike & later_open)
+    ends = [F.when(before, F.col(f"{c}{k}")).otherwise(F.col(f"{c}{3 - k}")).alias(f"{c}{k}") for k in (1, 2) for c in ("doc", "at")]
+    with joins_by_part_of_keys(docs.sparkSession):
+        pairs = staged(found.select(*ends).distinct(), "pairs")
+    late = settled.union(matching(once, pairs, percent))
+
+    # of a class whose earliest line goes all lines go, of another one all but that
+    late = staged(late, "late").withColumn("late", F.lit(True))
+    told = classes.select("digest", "doc", "at", "copies").join(late, ["doc", "at"], "left").filter("late or copies > 1")
+    told = bounded(staged(told.select("digest", F.when(F.col("late").isNull(), F.col("doc")).alias("kept_doc"), F.when(F.col("late").isNull(), F.col("at")).alias("kept_at")), "told"))
+    members = lines.select("doc", "at", line_digest(F.col("text")).alias("digest")).join(told, "digest")
+    gone = members.filter(~(F.col("doc").eqNullSafe(F.col("kept_doc")) & F.col("at").eqNullSafe(F.col("kept_at"))))
+    gone = gone.groupBy(F.col("doc").alias(doc_col), F.shiftright("at", 32).cast("int").alias(mark_col)).agg(F.sort_array(F.collect_set(F.col("at").bitwiseAND(F.lit((1 << 32) - 1)).cast("int"))).alias(gone_col))
+    out = docs.withColumns({doc_col: doc, mark_col: mark}).join(bounded(staged(gone, "gone"), gone_col), [doc_col, mark_col], "left")
+    kept = F.when(F.col(gone_col).isNull(), text).otherwise(let(F.split(text, "\n", -1), lambda every: kept_lines(every, F.col(gone_col))))
+    count = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
     cols = [kept.alias(c) if c == text_col else F.col(c) for c in docs.columns]
-    return out.select(*cols, F.coalesce(F.size(all_lines).cast("long"), F.lit(0).cast("long")).alias(lines_col), F.coalesce(F.size(gone_col).cast("long"), F.lit(0).cast("long")).alias(removed))
+    return out.select(*cols, F.coalesce(count.cast("long"), F.lit(0).cast("long")).alias(lines_col), F.coalesce(F.size(gone_col).cast("long"), F.lit(0).cast("long")).alias(removed))
+
+
+def kept_lines(lines: Column, gone: Column) -> Column:
+    """The lines whose numbers are not in gone, joined."""
+    return F.array_join(F.transform(F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone), lambda i: F.get(lines, i)), "\n")

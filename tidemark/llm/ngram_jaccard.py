@@ -8,7 +8,7 @@
 3. Every class is compared with one leader, the mate that it meets under most keys: a group of near copies is joined by one
    comparison a member. Classes with one leader are a cluster, whether they link with it or not.
 4. Clusters that share a key and aren't of one group yet are compared by tiles: a cluster is cut by size bands into blocks of a
-   few hundred classes, blocks of fitting sizes meet, and of a pair of blocks only the classes are compared that no link joins
+   thousand classes, blocks of fitting sizes meet, and of a pair of blocks only the classes are compared that no link joins
    so far. Signatures bound the overlap from above: bits in which two signatures differ are no more than the shingles that one
    set has and the other lacks. Only for classes that some signature leaves a partner are the sorted arrays moved and
    intersected.
@@ -34,7 +34,7 @@ CELL_BITS, CELL_BLOCKS = 22, 64
 #: Rows up to which a table of ids is broadcast (32 bytes each at most); beyond it the texts are shuffled to meet them.
 BROADCAST_ROWS = 1_000_000
 #: Members that one task compares with a leader before its group is dealt out to more; classes and shingles of a block.
-GROUP_MEMBERS, BLOCK, BLOCK_SHINGLES = 512, 256, 1 << 20
+GROUP_MEMBERS, BLOCK, BLOCK_SHINGLES = 512, 1024, 1 << 20
 _HASH = WordHasher(7)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
