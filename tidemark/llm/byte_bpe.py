@@ -24,6 +24,8 @@ INF = 1 << 62
 FOREST_BYTES = 128
 #: Entries of a forest, and pieces that a worker remembers before it starts anew.
 FOREST_CELLS, MEMORY = 1 << 17, 250_000
+#: Bytes of text whose pieces are encoded together.
+BATCH_BYTES = 1 << 20
 
 
 class ByteBPE:
@@ -189,7 +191,7 @@ def byte_bpe(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_i
             _LOADED[key, pattern] = ByteBPE.load(data.value, pattern), {}
         bpe, memory = _LOADED[key, pattern]
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", BATCH_BYTES):
                 split = [bpe.split(t or "") for t in batch.column("text").to_pylist()]
                 new = {p for pieces in split for p in pieces}
                 if len(memory) + len(new) > MEMORY:

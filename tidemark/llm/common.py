@@ -16,8 +16,8 @@ from pyspark.sql import functions as F
 SPACE_CLASS = r"[\x20\x09-\x0D]"
 SPACES = " \t\n\x0b\x0c\r"
 
-#: Bytes of text that are hashed at a time, so that the work arrays stay small whatever the Arrow batch holds.
-SLICE_BYTES = 1 << 20
+#: Bytes of text that are worked on at a time, so that the work arrays stay small whatever the Arrow batch holds.
+SLICE_BYTES = 1 << 18
 
 #: Edges that one task contracts by itself.
 EDGES_A_TASK = 1 << 18

@@ -124,7 +124,7 @@ def crowded_levels(docs: DataFrame) -> np.ndarray:
             for batch in slices(whole, "text"):
                 sets = shingle_sets(batch.column("text"))
                 if sets:
-                    held += np.bincount((np.concatenate(sets) >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=1 << CELL_BITS).astype(np.int32)
+                    np.add.at(held, (np.concatenate(sets) >> np.uint64(64 - CELL_BITS)).astype(np.int64), 1)
         blocks = [held[i * size : (i + 1) * size] for i in range(CELL_BLOCKS)]
         some = [i for i, b in enumerate(blocks) if b.any()]
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array([np.ascontiguousarray(blocks[i].astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes() for i in some], pa.binary())], names=["block", "counts"])
