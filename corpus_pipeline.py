@@ -1,4 +1,8 @@
-"""The corpus pipeline: five stages over documents, each working on what the one before it kept and wrote."""
+"""The corpus pipeline: five stages over documents, each working on what the one before it kept and wrote.
+
+All stages take nulls in any column, empty and very long texts, repeated rows, empty tables and further columns of any name.
+Null ids never match each other; what repeated rows and ties give is said at each stage.
+"""
 
 from __future__ import annotations
 
@@ -18,7 +22,10 @@ LEAST_FIT = 0.0
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without a letter and those that no mixture of learned languages explains; with no language to learn, none."""
+    """Rejects documents without a letter and those that no mixture of learned languages explains; with no language to learn, none.
+
+    A null or empty text has no letter and goes. Equal rows go or stay together.
+    """
     model = MixtureModel.fit(docs)
     if not model.langs:
         return docs
@@ -28,21 +35,31 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes lines out that match an earlier line; n_chars follows the text."""
-    done = line_dedup(docs, least_tokens=1).select(docs.columns)
+    """Takes lines out that match an earlier line; n_chars follows the text.
+
+    Every document stays, at the worst with an empty text; a null text stays null. Rows with one id and text lose the same lines.
+    """
+    done = line_dedup(docs).select(docs.columns)
     if "n_chars" in docs.columns:
         done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return done
 
 
 def dedup_ngrams(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group, the one with the smallest id; rows without an id or words stay."""
+    """Keeps one document of each group, the one with the smallest id; rows without an id or words stay.
+
+    Rows that repeat an id go or stay together.
+    """
     gone = ngram_jaccard(docs).filter("component_id <> doc_id").select("doc_id")
     return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
 
 
 def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes it."""
+    """Each document as often as the mix takes it.
+
+    A null source is a source of its own; rows without words are taken 0 times. Which of several equal rows is taken twice can't
+    be told apart.
+    """
     row = fresh(docs, "row")
     whole = docs.withColumn(row, F.struct(*docs.columns))
     mixed = mix_sources(whole, keep=(row,)).filter("copies > 0")
@@ -50,7 +67,8 @@ def mix_to_targets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encode_bytes(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The token ids of every document, with digests of the ids and of the bytes that they decode to."""
+    """The token ids of every document, with digests of the ids and of the bytes that they decode to. Each row gives a row; a null
+    text has no ids."""
     return byte_bpe(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
 
 

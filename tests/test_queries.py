@@ -21,5 +21,5 @@ def test_entry_has_a_stable_schema(spark, data):
 def test_registered_names():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     assert set(QUERIES) <= set(entry.queries())
-    if importlib.util.find_spec("corpus_pipeline"):
-        assert "pipeline" in entry.queries()
+    both = importlib.util.find_spec("corpus_pipeline") and importlib.util.find_spec("tidemark.llm")
+    assert ("pipeline" in entry.queries()) == bool(both)

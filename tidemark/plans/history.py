@@ -6,6 +6,7 @@ The *_SQL texts are common table expressions of the same inputs, for the SQL tha
 from __future__ import annotations
 
 import datetime as dt
+import re
 import tempfile
 import uuid
 
@@ -29,8 +30,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; below a temporary one where that is unset, as in tests."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="spark-tables-")
+    """A new folder below spark.checkpoint.dir; where that is unset, below a temporary one if all of Spark runs in this process
+    (as in tests). On a cluster no folder of one machine will do, so that is an error."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        base = tempfile.mkdtemp(prefix="spark-tables-")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
