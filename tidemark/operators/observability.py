@@ -6,7 +6,7 @@ pipeline_name, status, created_at, start_time, end_time (epoch seconds). Paths i
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import hhmm_key
@@ -97,6 +97,30 @@ def step_failures(events: DataFrame, runs: DataFrame, key, error_class: str = "$
     return all_.select(key(F.concat("run_id", "step_key")).alias("failure_sk"), key(F.col("asset_key")).alias("asset_sk"), key(F.col("run_id")).alias("run_sk"), key(F.col("job_name")).alias("job_sk"), F.to_date("failed_at").alias("date_sk"), hhmm_key("failed_at").alias("time_sk"), "run_id", "step_key", "asset_key", "error_class", "error_message", "failed_at")
 
 
+def asset_durations(facts: DataFrame) -> DataFrame:
+    """The assets of every run by their slowest materialisation, slowest first (a null duration last, ties by name)."""
+    slowest = facts.groupBy("run_id", "asset_key").agg(F.max("duration_seconds").alias("slowest_seconds"), F.count("*").alias("n_materialized"))
+    by_time = Window.partitionBy("run_id").orderBy(F.desc_nulls_last("slowest_seconds"), "asset_key")
+    return slowest.withColumn("place", F.row_number().over(by_time))
+
+
+def layer_rows(facts: DataFrame, runs: DataFrame, last: int, layer: str = "$[1]") -> DataFrame:
+    """Rows and materialisations of each layer over the last runs by their creation. layer: where an asset's key names it."""
+    recent = runs.orderBy(F.desc_nulls_last("created_at"), "run_id").limit(last).select("run_id")
+    some = facts.join(recent, "run_id").groupBy(F.get_json_object("asset_key", layer).alias("asset_layer"))
+    return some.agg(F.coalesce(F.sum("rows_processed"), F.lit(0)).cast("long").alias("n_rows"), F.count("*").alias("n_materialized"), F.countDistinct("run_id").alias("n_runs"))
+
+
+def unmet_assets(events: DataFrame, runs: DataFrame) -> DataFrame:
+    """Runs that materialised fewer assets than were planned for them: how many were planned and how many are missing."""
+    def assets(kind: str) -> DataFrame:
+        return events.filter((F.col("kind") == kind) & F.col("asset_key").isNotNull()).select("run_id", "asset_key").distinct()
+
+    state = assets(PLANNED).join(assets(DONE).withColumn("done", F.lit(1)), ["run_id", "asset_key"], "left")
+    short = state.groupBy("run_id").agg(F.count("*").alias("n_planned"), F.count("done").alias("n_done")).filter("n_done < n_planned")
+    return short.join(runs.select("run_id", "run_status"), "run_id", "left").select("run_id", "run_status", "n_planned", (F.col("n_planned") - F.col("n_done")).alias("n_missing"))
+
+
 def run_summary(events: DataFrame) -> DataFrame:
     """Steps of every run: how many, how many failed, and their names with seconds, in order of name."""
     step = events.filter(F.col("step_key").isNotNull()).groupBy("run_id", "step_key").agg(F.max((F.col("kind") == FAILED).cast("int")).alias("failed"), F.min("ts").alias("first"), F.max("ts").alias("last"))

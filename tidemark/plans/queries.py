@@ -485,6 +485,34 @@ def obs_questions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.join(failed, "asset_key", "full_outer").select("asset_key", "slowest_seconds", *[F.coalesce(c, zero).alias(c) for c in ("n_rows", "n_materialized", "n_failures")])
 
 
+@query(
+    f"""WITH {MATERIALIZATION_SQL}, slow AS (SELECT run_id, asset_key, max(duration_seconds) AS slowest_seconds, count(*) AS n_materialized FROM fact GROUP BY 1, 2)
+    SELECT *, CAST(row_number() OVER (PARTITION BY run_id ORDER BY slowest_seconds DESC NULLS LAST, asset_key) AS INTEGER) AS place FROM slow"""
+)
+def obs_asset_durations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return observability.asset_durations(obs_materialization(spark, sf_dir))
+
+
+@query(
+    f"""WITH {MATERIALIZATION_SQL}, recent AS (SELECT run_id FROM pipeline_runs ORDER BY created_at DESC NULLS LAST, run_id LIMIT 100)
+    SELECT json_extract_string(asset_key, '$[1]') AS asset_layer, CAST(coalesce(sum(rows_processed), 0) AS BIGINT) AS n_rows, count(*) AS n_materialized, count(DISTINCT run_id) AS n_runs FROM fact JOIN recent USING (run_id) GROUP BY 1"""
+)
+def obs_layer_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of each layer over the last 100 runs."""
+    runs = observability.pipeline_runs(h.run_table(h.event_log(spark, sf_dir)))
+    return observability.layer_rows(obs_materialization(spark, sf_dir), runs, 100)
+
+
+@query(
+    f"""WITH {EVENTS_SQL}, planned AS (SELECT DISTINCT run_id, asset_key FROM log WHERE kind = 'PLANNED'), made AS (SELECT DISTINCT run_id, asset_key, 1 AS done FROM log WHERE kind = 'MATERIALIZATION'),
+    short AS (SELECT run_id, count(*) AS n_planned, count(*) - count(done) AS n_missing FROM planned LEFT JOIN made USING (run_id, asset_key) GROUP BY 1)
+    SELECT run_id, run_status, n_planned, n_missing FROM short LEFT JOIN runs USING (run_id) WHERE n_missing > 0"""
+)
+def obs_unmet_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = h.event_log(spark, sf_dir)
+    return observability.unmet_assets(events, observability.pipeline_runs(h.run_table(events)))
+
+
 @query(
     f"""WITH {EVENTS_SQL}, step AS (SELECT run_id, step_key, CAST(max(CASE WHEN kind = 'STEP_FAILURE' THEN 1 ELSE 0 END) AS BIGINT) AS failed, step_key || ':' || ((epoch_us(max(ts)) - epoch_us(min(ts))) // 1000000) AS text FROM log GROUP BY 1, 2)
     SELECT run_id, count(*) AS steps_total, CAST(sum(1 - failed) AS BIGINT) AS steps_succeeded, CAST(sum(failed) AS BIGINT) AS steps_failed, string_agg(text, ',' ORDER BY text) AS steps FROM step GROUP BY 1"""
