@@ -6,7 +6,7 @@
    sets after it. The order puts shingles of crowded hash cells last (as a rarity order does), then goes by hash. A key is one
    such shingle that more than one class has.
 3. Every class is compared with one leader, the mate that it meets under most keys: a group of near copies is joined by one
-   comparison a member. Classes with one leader are a cluster, whether they link with it or not.
+   comparison a member. Classes whose leaders, or theirs, are the same are a cluster, whether they link with them or not.
 4. Clusters that share a key and aren't of one group yet are compared by tiles: a cluster is cut by size bands into blocks of a
    thousand classes, blocks of fitting sizes meet, and of a pair of blocks only the classes are compared that no link joins
    so far. Signatures bound the overlap from above: bits in which two signatures differ are no more than the shingles that one
@@ -35,6 +35,8 @@ CELL_BITS, CELL_BLOCKS = 22, 64
 BROADCAST_ROWS = 1_000_000
 #: Members that one task compares with a leader before its group is dealt out to more; classes and shingles of a block.
 GROUP_MEMBERS, BLOCK, BLOCK_SHINGLES = 512, 1024, 1 << 20
+#: Leaders of leaders that are followed to name a cluster; few, so that chains of unlike texts stay short.
+LEADERS_UP = 3
 _HASH = WordHasher(7)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -413,7 +415,10 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     stars = staged(met.groupBy("c").agg(F.max(F.struct("times", (-F.col("lead")).alias("a")))["a"].alias("a")).select((-F.col("a")).alias("a"), F.col("c").alias("b")), "stars")
     links = compare(base, may_link(stars, signs, percent), percent)
     joined = staged(components(links), "joined")
-    about = stars.select(F.col("b").alias("c"), F.col("a").alias("cluster")).join(joined.select(F.col("id").alias("c"), "component"), "c", "full")
+    cluster = stars.select(F.col("b").alias("c"), F.least("a", "b").alias("cluster"))
+    for _ in range(LEADERS_UP):
+        cluster = cluster.join(stars.select(F.col("b").alias("cluster"), F.col("a").alias("next")), "cluster", "left").select("c", F.least("cluster", "next").alias("cluster"))
+    about = cluster.join(joined.select(F.col("id").alias("c"), "component"), "c", "full")
     placed = shared.drop("lead").join(about, "c", "left").select("key", "c", "n", "rest", F.coalesce("component", "c").alias("comp"), F.coalesce("cluster", "c").alias("cluster"))
     placed = staged(placed, "placed")
     several = placed.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1").select("key")
