@@ -13,14 +13,13 @@ with a few comparisons a member. Only pairs whose later class is still open are
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import fresh, staged
+from tidemark.llm.common import fresh, setting, staged
 
 #: Similarity in hundredths.
 PERCENT = 75
@@ -53,18 +52,6 @@ def token_hashes(line: Column) -> Column:
     return F.array_distinct(F.transform(F.array_remove(F.split(line, " ", -1), ""), lambda w: F.xxhash64(w)))
 
 
-@contextmanager
-def joins_by_part_of_keys(spark: SparkSession) -> Iterator[None]:
-    """While it holds, two sides that are dealt by some of a join's keys aren't dealt anew by all of them."""
-    name = "spark.sql.requireAllClusterKeysForCoPartition"
-    before = spark.conf.get(name)
-    spark.conf.set(name, "false")
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
-
-
 def rarity_levels(texts: DataFrame) -> Column:
     """An array literal with a level for every hash cell of tokens: twice the binary logarithm of their count over all texts.
 
@@ -202,7 +189,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     later_open = F.when(before, F.col("open2")).otherwise(F.col("open1")) == 1
     found = one.join(two, ["token", "band"]).filter(((n1 < n2) | (n1 == n2) & before) & alike & later_open)
     ends = [F.when(before, F.col(f"{c}{k}")).otherwise(F.col(f"{c}{3 - k}")).alias(f"{c}{k}") for k in (1, 2) for c in ("doc", "at")]
-    with joins_by_part_of_keys(docs.sparkSession):
+    # two sides that are dealt by one of the join's keys aren't dealt anew by both
+    with setting(docs.sparkSession, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
         pairs = staged(found.select(*ends).distinct(), "pairs")
     late = settled.union(matching(once, pairs, percent))
 
