@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType
 
 #: Fixed values of the row hash: what stands for a null and what closes every column's text.
 NULL_TEXT, CLOSE = "<NULL>", "]##["
@@ -30,6 +31,14 @@ def row_hash(df: DataFrame, key: list[str], exclude: tuple[str, ...] = ()) -> Co
     return F.sha2(F.concat(*[F.concat(F.coalesce(F.col(c).cast("string"), F.lit(NULL_TEXT)), F.lit(CLOSE)) for c in cols]), 256)
 
 
+def iso_text(df: DataFrame, name: str) -> Column:
+    """A date or timestamp column in ISO 8601; a fraction of six digits only where it isn't zero. Null stays null."""
+    if isinstance(df.schema[name].dataType, DateType):
+        return F.date_format(name, "yyyy-MM-dd")
+    fraction = F.date_format(name, ".SSSSSS")
+    return F.concat(F.date_format(name, "yyyy-MM-dd'T'HH:mm:ss"), F.when(fraction == ".000000", "").otherwise(fraction))
+
+
 def surrogate_key(*cols: Column | str) -> Column:
     """Deterministic 64-bit key of the parts; the fast one, whose values are Spark's own."""
     return F.xxhash64(*cols)

@@ -28,6 +28,21 @@ def latest_by_group_join(df: DataFrame, key: list[str], order: str) -> DataFrame
     return df.join(df.groupBy(*key).agg(F.max(order).alias(order)), [*key, order], "left_semi")
 
 
+def row_ids(df: DataFrame, order: list[str], path: str, name: str = "row_id") -> DataFrame:
+    """Numbers all rows from 1 by `order` (whose values must be unique) without a single task for all of them.
+
+    Rows are dealt out by range and written to path; each range is numbered by itself, and starts after the rows of the ranges
+    before it: a sum over one row a range.
+    """
+    df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    dealt = df.sparkSession.read.parquet(path)
+    counts = dealt.groupBy("_range").agg(F.count("*").alias("n"))
+    before = F.sum("n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select("_range", F.coalesce(before, F.lit(0)).alias("_start"))
+    own = F.row_number().over(Window.partitionBy("_range").orderBy(*order))
+    return dealt.withColumn("_own", own).join(F.broadcast(starts), "_range").select(*df.columns, (F.col("_start") + F.col("_own")).alias(name))
+
+
 def select_where(df: DataFrame, keep) -> DataFrame:
     """The columns whose name satisfies a predicate."""
     return df.select([c for c in df.columns if keep(c)])

@@ -85,21 +85,21 @@ SNAPSHOTS_SQL = f"""
     )
 """
 
-#: The self-join form of the full-snapshot algorithm: a second derivation of what cdc_full_snapshot does with windows.
+#: Changes as set differences of each extraction and the one before it: a second derivation of what cdc_full_snapshot does with windows.
 CHANGES_SQL = f"""{SNAPSHOTS_SQL},
-    hashed AS (
-        SELECT n.*, f.valid_from, f.previous_file, f.next_file, f.next_from, {_HASH} AS row_hash, min(n.updated) OVER (PARTITION BY o_orderkey) AS first_seen
-        FROM snap n JOIN files f USING (src_file)
+    hashed AS (SELECT snap.*, valid_from, {_HASH} AS row_hash, min(updated) OVER (PARTITION BY o_orderkey) AS first_seen FROM snap JOIN files USING (src_file)),
+    extraction AS (SELECT DISTINCT s, src_file, valid_from FROM hashed),
+    there AS (SELECT s + 1 AS s, o_orderkey FROM hashed),
+    differs AS (SELECT s, o_orderkey, row_hash FROM hashed EXCEPT SELECT s + 1, o_orderkey, row_hash FROM hashed),
+    appears AS (SELECT s, o_orderkey FROM differs EXCEPT FROM there),
+    marked AS (
+        SELECT s, o_orderkey, s AS values_of, 'I' AS op FROM appears
+        UNION ALL SELECT s, o_orderkey, s, 'U' FROM (SELECT s, o_orderkey FROM differs EXCEPT FROM appears)
+        UNION ALL SELECT s, o_orderkey, s - 1, 'D' FROM (SELECT s, o_orderkey FROM there WHERE s <= {SNAPSHOTS} EXCEPT SELECT s, o_orderkey FROM hashed)
     ),
     changes AS (
-        SELECT a.o_orderkey, a.o_custkey, a.status, a.priority, a.updated, a.source_code, a.row_hash, a.first_seen, a.src_file, a.valid_from,
-               TIMESTAMP '{LOADED_AT}' AS loaded_at, CASE WHEN b.o_orderkey IS NULL THEN 'I' ELSE 'U' END AS op
-        FROM hashed a LEFT JOIN hashed b ON a.previous_file = b.src_file AND a.o_orderkey = b.o_orderkey
-        WHERE b.o_orderkey IS NULL OR a.row_hash <> b.row_hash
-        UNION ALL
-        SELECT a.o_orderkey, a.o_custkey, a.status, a.priority, a.updated, a.source_code, a.row_hash, a.first_seen, a.next_file, a.next_from, TIMESTAMP '{LOADED_AT}', 'D'
-        FROM hashed a LEFT JOIN hashed b ON a.next_file = b.src_file AND a.o_orderkey = b.o_orderkey
-        WHERE b.o_orderkey IS NULL AND a.next_file IS NOT NULL
+        SELECT o_orderkey, o_custkey, status, priority, updated, source_code, row_hash, first_seen, e.src_file, e.valid_from, TIMESTAMP '{LOADED_AT}' AS loaded_at, op
+        FROM marked m JOIN extraction e ON e.s = m.s JOIN hashed v USING (o_orderkey) WHERE v.s = m.values_of
     ),
     current_rows AS (SELECT * FROM changes QUALIFY row_number() OVER (PARTITION BY source_code, o_orderkey ORDER BY valid_from DESC) = 1)
 """

@@ -18,8 +18,8 @@ class Entity:
 
 
 #: Entity names, keys and date columns of the two known sources.
-_DDD_DELTA = "aktoer moede sag sagstrin sagstrinaktoer stemme".split()
-_DDD_FULL = "afstemning afstemningstype aktoertype moedestatus moedetype periode sagskategori sagsstatus sagstrinsstatus sagstrinstype sagstype stemmetype".split()
+_DDD_DELTA = ("aktoer", "moede", "sag", "sagstrin", "sagstrinaktoer", "stemme")
+_DDD_FULL = ("afstemning", "afstemningstype", "aktoertype", "moedestatus", "moedetype", "periode", "sagskategori", "sagsstatus", "sagstrinsstatus", "sagstrinstype", "sagstype", "stemmetype")
 _RFAM = (
     ("family", "rfam_acc", True, "updated"), ("genome", "upid", True, "updated"), ("clan", "clan_acc", False, "updated"),
     ("clan_membership", "rfam_acc", False, None), ("author", "author_id", False, None), ("literature_reference", "pmid", False, None), ("dead_family", "rfam_acc", False, None),

@@ -30,11 +30,13 @@ def new_versions(df: DataFrame, stored: DataFrame, key: list[str], valid_from: s
 
 
 def append_new_versions(df: DataFrame, path: str, key: list[str], valid_from: str = "valid_from", fmt: str = "parquet") -> int:
-    """Appends what is new, with new columns; creates the table if there is none; writes nothing if nothing is new."""
+    """Appends what is new, with new columns; creates the table if there is none; writes nothing if nothing is new.
+
+    Parquet has no transactions: two writers at once may both append a version. Read it back with read_table."""
     spark = df.sparkSession
     if not exists(spark, path):
         return overwrite_table(df, path, fmt)
-    fresh = new_versions(df, spark.read.format(fmt).option("mergeSchema", "true").load(path), key, valid_from)
+    fresh = new_versions(df, read_table(spark, path, fmt), key, valid_from)
     if fresh.isEmpty():
         return 0
     seen = Observation()
@@ -49,6 +51,26 @@ def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet") -> int:
     return seen.get["n"]
 
 
+def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """A stored table with the columns of all its generations; one that a row's generation lacked is null there."""
+    return spark.read.format(fmt).option("mergeSchema", "true").load(path)
+
+
+def read_bookmark(spark: SparkSession, path: str, fmt: str = "parquet") -> str | None:
+    """The extraction before the newest one of the last run; None before the first run."""
+    row = read_table(spark, path, fmt).select("previous_file").first() if exists(spark, path) else None
+    return row.previous_file if row else None
+
+
+def publish(df: DataFrame, name: str, path: str | None = None, fmt: str = "parquet") -> DataFrame:
+    """Gives a layer its name: as a view, or with a path as a table written there. Returns it as later layers read it."""
+    if path is not None:
+        overwrite_table(df, path, fmt)
+        df = read_table(df.sparkSession, path, fmt)
+    df.createOrReplaceTempView(name)
+    return df.sparkSession.table(name)
+
+
 def append_evolving(stored: DataFrame, new: DataFrame) -> DataFrame:
     """Stored and new rows with the union of their columns; a column that one side lacks is null there."""
     return stored.unionByName(new, allowMissingColumns=True)
