@@ -23,6 +23,13 @@ def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
 
 
+def test_exact_dedup_deals_out_large_groups(docs, monkeypatch):
+    want = sorted(map(tuple, exact_dedup(docs).collect()), key=repr)
+    monkeypatch.setattr("tidemark.llm.exact_dedup.HOT_COPIES", 1)
+    monkeypatch.setattr("tidemark.llm.exact_dedup.PART", 2)
+    assert sorted(map(tuple, exact_dedup(docs).collect()), key=repr) == want and max(r[2] for r in want) > 1
+
+
 def test_exact_dedup(spark, data, docs, rows, null_ids, empty):
     groups = defaultdict(list)
     for i, t, *_ in rows:

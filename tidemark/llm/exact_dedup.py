@@ -16,6 +16,8 @@ from tidemark.llm.common import SPACE_CLASS, staged
 #: A chunk has this many characters at least (but for a text's last) and at most, and ends with a mark if one comes in time.
 LEAST, MOST = 256, 1024
 CUT = r"[.!?:;|。।]"
+#: Copies of one text from which they are dealt out to several tasks, PART to each; at most so many texts are dealt out.
+HOT_COPIES, PART, MOST_HOT = 1000, 256, 100_000
 
 
 def chunks(text: F.Column) -> F.Column:
@@ -30,7 +32,8 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     Of a group the row with the most code points in its original text stays, then the one with the smallest id (a null id
     comes last). A null text counts as empty; empty texts are equal to each other. Rows that repeat an id with a text of one
     length are one document here: they share `kept`. An empty table gives no rows. Other columns are ignored, whatever their
-    names. Long texts are chunked whole; a group of any size is counted in parts before it is shuffled.
+    names. Long texts are chunked whole; a group of any size is counted in parts before it is
+    shuffled, and its copies are told of it in parts too.
 
     Returns id_col, keep_id, group_size long, kept boolean, text_sha256 string (of the normalised text).
     """
@@ -53,7 +56,16 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     else:
         recipes = recipes.withColumn("wide", F.array().cast("array<string>"))
     recipes = staged(recipes, "recipes")
-    groups = recipes.groupBy("recipe", "wide").agg(F.min(F.struct((-F.col("points")).alias("points"), F.col("id").isNull().alias("none"), F.col("id").alias("id"))).alias("first"), F.count("*").alias("group_size"))
-    joined = recipes.join(groups, ["recipe", "wide"])
+    first = F.min(F.struct((-F.col("points")).alias("points"), F.col("id").isNull().alias("none"), F.col("id").alias("id")))
+    groups = staged(recipes.groupBy("recipe", "wide").agg(first.alias("first"), F.count("*").alias("group_size")), "groups")
+    # a large group's row is repeated for each part of its copies; at most MOST_HOT groups can have more copies than the bound, whatever
+    # the input, so that their table is safe to broadcast
+    bound, h = max(HOT_COPIES, recipes.count() // MOST_HOT), F.xxhash64("recipe", "wide")
+    hot = groups.filter(F.col("group_size") > bound).groupBy(h.alias("h")).agg(F.max(F.ceil(F.col("group_size") / PART)).alias("parts"))
+    hot = F.broadcast(staged(hot, "hot"))
+    parts = F.coalesce("parts", F.lit(1))
+    dealt = recipes.withColumn("h", h).join(hot, "h", "left").withColumn("part", F.pmod(F.xxhash64("id", "points"), parts)).drop("h", "parts")
+    repeated = groups.withColumn("h", h).join(hot, "h", "left").withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("h", "parts")
+    joined = dealt.join(repeated, ["recipe", "wide", "part"])
     kept = F.col("id").eqNullSafe(F.col("first.id")) & (F.col("points") == -F.col("first.points"))
     return joined.select(F.col("id").alias(id_col), F.col("first.id").alias("keep_id"), "group_size", kept.alias("kept"), "text_sha256")
