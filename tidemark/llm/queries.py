@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.byte_bpe import byte_bpe
+from tidemark.llm.conversation_repair import damaged, repair_reports
 from tidemark.llm.embedding_near_dedup import near_vectors
 from tidemark.llm.exact_dedup import exact_dedup
 from tidemark.llm.language_id import MixtureModel, id_hash, language_id
@@ -72,8 +73,12 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_digest(secret_scan(table(spark, sf_dir, "documents")))
 
 
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_reports(damaged(table(spark, sf_dir, "conversations")), gone=F.col("gone"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_embedding_near_dedup, op2_line_dedup, op3_substring_dedup, op4_quality_rules, op5_exact_dedup, op6_language_id, op7_ngram_jaccard, op8_source_mixing, op9_byte_bpe, op10_secret_scan)}
+    return {f.__name__: f for f in (op1_embedding_near_dedup, op2_line_dedup, op3_substring_dedup, op4_quality_rules, op5_exact_dedup, op6_language_id, op7_ngram_jaccard, op8_source_mixing, op9_byte_bpe, op10_secret_scan, op13_conversation_repair)}
 
 
 def oracle_sql() -> dict[str, str]:
