@@ -12,6 +12,7 @@ from tidemark.llm.byte_bpe import byte_bpe
 from tidemark.llm.conversation_repair import damaged, repair_reports
 from tidemark.llm.embedding_near_dedup import near_vectors
 from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.hard_negatives import mine_hard_negatives
 from tidemark.llm.language_id import MixtureModel, id_hash, language_id
 from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.ngram_jaccard import ngram_jaccard
@@ -73,12 +74,17 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_digest(secret_scan(table(spark, sf_dir, "documents")))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label_col=moved)
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_reports(damaged(table(spark, sf_dir, "conversations")), gone=F.col("gone"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_embedding_near_dedup, op2_line_dedup, op3_substring_dedup, op4_quality_rules, op5_exact_dedup, op6_language_id, op7_ngram_jaccard, op8_source_mixing, op9_byte_bpe, op10_secret_scan, op13_conversation_repair)}
+    return {f.__name__: f for f in (op1_embedding_near_dedup, op2_line_dedup, op3_substring_dedup, op4_quality_rules, op5_exact_dedup, op6_language_id, op7_ngram_jaccard, op8_source_mixing, op9_byte_bpe, op10_secret_scan, op11_hard_negatives, op13_conversation_repair)}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -123,6 +129,19 @@ def oracle_sql() -> dict[str, str]:
             SELECT w.doc_id, coalesce(size.n, 0) AS n_shingles, min(reach.b) AS component_id
             FROM w LEFT JOIN size USING (doc_id) JOIN reach ON reach.a = w.doc_id GROUP BY w.doc_id, size.n
         """,
+        "op11_hard_negatives": r"""
+            WITH v AS (
+                SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x) FOR x IN CAST(embedding AS DOUBLE[])] AS e FROM embeddings
+                WHERE label IS NOT NULL AND embedding IS NOT NULL AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+            ),
+            s AS (
+                SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+                FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 50 = 0
+            ),
+            p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+            SELECT p.anchor_id, p.id AS positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) AS INTEGER) AS rank, n.id AS negative_id, p.score AS positive_score, n.score AS negative_score
+            FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score QUALIFY rank <= 3
+        """,
         "op5_exact_dedup": r"""
             WITH n AS (
                 SELECT doc_id, length(coalesce(text, '')) AS points, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm FROM documents
