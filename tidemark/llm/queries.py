@@ -16,6 +16,7 @@ from tidemark.llm.hard_negatives import mine_hard_negatives
 from tidemark.llm.language_id import MixtureModel, id_hash, language_id
 from tidemark.llm.line_dedup import line_dedup
 from tidemark.llm.ngram_jaccard import ngram_jaccard
+from tidemark.llm.personal_data import KINDS, personal_data, spans_text
 from tidemark.llm.quality_rules import learn, score_quality
 from tidemark.llm.secret_scan import scan_digest, secret_scan
 from tidemark.llm.source_mixing import mix_sources
@@ -79,12 +80,18 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mine_hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, label_col=moved)
 
 
+def op12_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_data(table(spark, sf_dir, "documents"))
+    counts = [F.expr(f"cast(size(filter(base, s -> s.kind = {i})) as bigint)").alias(f"n_{k}") for i, k in enumerate(KINDS)]
+    return found.select("doc_id", *counts, F.sha2(spans_text(F.col("base")), 256).alias("base_sha256"), spans_text(F.col("spans")).alias("spans"))
+
+
 def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair_reports(damaged(table(spark, sf_dir, "conversations")), gone=F.col("gone"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_embedding_near_dedup, op2_line_dedup, op3_substring_dedup, op4_quality_rules, op5_exact_dedup, op6_language_id, op7_ngram_jaccard, op8_source_mixing, op9_byte_bpe, op10_secret_scan, op11_hard_negatives, op13_conversation_repair)}
+    return {f.__name__: f for f in (op1_embedding_near_dedup, op2_line_dedup, op3_substring_dedup, op4_quality_rules, op5_exact_dedup, op6_language_id, op7_ngram_jaccard, op8_source_mixing, op9_byte_bpe, op10_secret_scan, op11_hard_negatives, op12_personal_data, op13_conversation_repair)}
 
 
 def oracle_sql() -> dict[str, str]:
