@@ -18,47 +18,85 @@ OWN = ("src_file", "row_hash", "first_seen", "valid_from", "loaded_at", "op", "d
 
 def first_seen(key: list[str], date_col: str | None) -> Column:
     """Earliest source date of a key over the whole history, or earliest extraction time if the source has no date."""
-    return F.min(F.col(date_col or "valid_from").cast("timestamp_ntz")).over(Window.partitionBy(*key))
+    return F.min(seen_at(date_col)).over(Window.partitionBy(*key))
 
 
-def hashed(bronze: DataFrame, files: DataFrame, key: list[str], date_col: str | None, exclude: tuple[str, ...]) -> DataFrame:
-    """Bronze with its hash and its extraction's place in the timeline; the timeline has a row an extraction and is broadcast."""
-    out = bronze.withColumn("row_hash", row_hash(bronze, key, (*OWN, *exclude)))
-    return out.join(F.broadcast(files), "src_file").withColumn("first_seen", first_seen(key, date_col))
+def seen_at(date_col: str | None) -> Column:
+    return F.col(date_col or "valid_from").cast("timestamp_ntz")
+
+
+def placed(bronze: DataFrame, files: DataFrame, key: list[str], date_col: str | None, exclude: tuple[str, ...], before: DataFrame | None) -> DataFrame:
+    """Bronze with its extraction's place in the timeline (which has a row an extraction and is broadcast), its hash and the date at
+    which it was seen; with `before`, the state of the keys at the extraction before the first of `files`, at ordinal 0.
+
+    The hash is taken of both in one, over the columns of either, so that a column that only new rows have counts as null in old ones.
+    """
+    rows = bronze.join(F.broadcast(files), "src_file").withColumns({"_seen": seen_at(date_col), "_present": F.lit(True)})
+    if before is not None:
+        first = files.filter("ordinal = 1").select(F.col("src_file").alias("next_file"), F.col("valid_from").alias("next_from"), "last_ordinal")
+        held = before.drop("src_file").withColumnsRenamed({"first_seen": "_seen", "present": "_present"})
+        rows = rows.unionByName(held.join(F.broadcast(first)).withColumn("ordinal", F.lit(0)), allowMissingColumns=True)  # one row
+    data = [c for c in rows.columns if c in bronze.columns or (before is not None and c in before.columns)]
+    return rows.withColumn("row_hash", row_hash(rows.select(data), key, (*OWN, *exclude)))
 
 
 def change_columns(bronze: DataFrame) -> list[str]:
+    """What a change log's rows have, in order."""
     return [c for c in bronze.columns if c not in OWN] + ["row_hash", "first_seen", "src_file", "valid_from", "loaded_at", "op"]
 
 
-def cdc_full_snapshot(bronze: DataFrame, files: DataFrame, key: list[str], loaded_at: Column, date_col: str | None = None, exclude: tuple[str, ...] = ()) -> DataFrame:
-    """Changes of complete extractions, with one shuffle by key: each row looks at the key's row before and after it.
+def over_key(key: list[str]) -> dict[str, Column]:
+    """What a row sees of its key's rows, all in one order and so in one window: the earliest date, the row before and the next."""
+    w = Window.partitionBy(*key).orderBy("ordinal")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return {
+        "first_seen": F.min("_seen").over(whole), "_before": F.lag("ordinal").over(w), "_there": F.lag("_present").over(w), "_hash": F.lag("row_hash").over(w), "_after": F.lead("ordinal").over(w),
+    }
+
+
+def cdc_full_snapshot(bronze: DataFrame, files: DataFrame, key: list[str], loaded_at: Column, date_col: str | None = None, exclude: tuple[str, ...] = (), before: DataFrame | None = None) -> DataFrame:
+    """Changes of complete extractions, with one shuffle by key and one sort: each row looks at the key's row before and after it.
 
     A row is an insert if the key isn't in the extraction before, an update if its hash differs there; a key that is not in
     the next extraction is deleted there, with its last values. A key that returns is inserted again. `files` must come from
     the folder listing: an empty extraction deletes every key.
+
+    before: the keys' state (cdc_state) at the extraction before the first of `files`; older extractions aren't needed then.
     """
-    w = Window.partitionBy(*key).orderBy("ordinal")
-    rows = hashed(bronze, files, key, date_col, exclude)
-    seen = rows.select("*", F.lag("ordinal").over(w).alias("_before"), F.lag("row_hash").over(w).alias("_hash"), F.lead("ordinal").over(w).alias("_after"))
-    there = F.col("_before") == F.col("ordinal") - 1
-    kind = F.when(F.coalesce(there, F.lit(False)), F.when(F.col("row_hash") != F.col("_hash"), "U")).otherwise("I")
-    gone = (F.col("ordinal") < F.col("last_ordinal")) & (F.col("_after").isNull() | (F.col("_after") > F.col("ordinal") + 1))
+    seen = placed(bronze, files, key, date_col, exclude, before).withColumns(over_key(key))
+    there = F.coalesce((F.col("_before") == F.col("ordinal") - 1) & F.col("_there"), F.lit(False))
+    kind = F.when(F.col("ordinal") == 0, None).when(~there, "I").when(F.col("row_hash") != F.col("_hash"), "U")
+    gone = F.col("_present") & (F.col("ordinal") < F.col("last_ordinal")) & (F.col("_after").isNull() | (F.col("_after") > F.col("ordinal") + 1))
     change = F.when(kind.isNotNull(), F.struct(kind.alias("op"), F.col("src_file").alias("src_file"), F.col("valid_from").alias("valid_from")))
     delete = F.when(gone, F.struct(F.lit("D").alias("op"), F.col("next_file").alias("src_file"), F.col("next_from").alias("valid_from")))
     # at most two changes a row, without a second pass over the rows
     found = seen.withColumn("_change", F.explode(F.array_compact(F.array(change, delete)))).drop("src_file", "valid_from")
-    return found.select("*", "_change.*").withColumn("loaded_at", loaded_at).select(change_columns(bronze))
+    return found.select("*", "_change.*").withColumn("loaded_at", loaded_at).select(change_columns(bronze if before is None else seen.select(data_columns(bronze, before))))
 
 
-def cdc_delta(bronze: DataFrame, files: DataFrame, key: list[str], loaded_at: Column, date_col: str | None = None, exclude: tuple[str, ...] = ()) -> DataFrame:
+def data_columns(bronze: DataFrame, before: DataFrame | None) -> list[str]:
+    """The columns of new rows, then those that only the state has."""
+    return bronze.columns + [c for c in (before.columns if before is not None else []) if c not in bronze.columns and c not in ("first_seen", "present")]
+
+
+def cdc_delta(bronze: DataFrame, files: DataFrame, key: list[str], loaded_at: Column, date_col: str | None = None, exclude: tuple[str, ...] = (), before: DataFrame | None = None) -> DataFrame:
     """Changes of extractions that hold changed rows only: a key's first row is an insert, one whose hash differs from the
     key's last is an update, others are dropped. Deletes can't be seen. A key that was deleted by a refresh and returns with
-    unchanged values gives no row."""
-    w = Window.partitionBy(*key).orderBy("ordinal")
-    seen = hashed(bronze, files, key, date_col, exclude).withColumn("_hash", F.lag("row_hash").over(w))
+    unchanged values gives no row. before: as in cdc_full_snapshot."""
+    seen = placed(bronze, files, key, date_col, exclude, before).withColumns(over_key(key))
     op = F.when(F.col("_hash").isNull(), "I").when(F.col("row_hash") != F.col("_hash"), "U")
-    return seen.withColumn("op", op).filter("op is not null").withColumn("loaded_at", loaded_at).select(change_columns(bronze))
+    changed = seen.withColumn("op", op).filter("op is not null and ordinal > 0").withColumn("loaded_at", loaded_at)
+    return changed.select(change_columns(seen.select(data_columns(bronze, before))))
+
+
+def cdc_state(bronze: DataFrame, files: DataFrame, key: list[str], upto: str, date_col: str | None = None, before: DataFrame | None = None) -> DataFrame:
+    """One row a key ever seen up to an extraction: its last values, src_file, first_seen, and whether that extraction has it (present;
+    of no meaning for extractions of changed rows only). It is what the next changes need of all extractions so far."""
+    rows = placed(bronze, files, key, date_col, (), before).filter(F.coalesce(F.col("src_file") <= upto, F.lit(True)))
+    w = Window.partitionBy(*key).orderBy(F.desc("ordinal"))
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    last = rows.withColumns({"_n": F.row_number().over(w), "first_seen": F.min("_seen").over(whole)}).filter("_n = 1")
+    return last.select(*data_columns(bronze, before), "first_seen", F.coalesce(F.col("src_file") == upto, F.lit(False)).alias("present"))
 
 
 def cdc_delta_full_refresh(bronze: DataFrame, files: DataFrame, stored: DataFrame, latest_rows: DataFrame, key: list[str], loaded_at: Column, date_col: str | None = None, exclude: tuple[str, ...] = ()) -> DataFrame:

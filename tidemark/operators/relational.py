@@ -7,20 +7,23 @@ from pyspark.sql import functions as F
 
 
 def latest(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """The last row of every key by `order`. An aggregation, so that map-side combine thins the rows before the shuffle.
+    """The last row of every key by `order`: a row number with a limit, which Spark applies to each partition's keys before the shuffle
+    too, so that at most a row a key and partition is moved.
 
-    Ties are broken by the values of the remaining columns, so the answer doesn't depend on the partitioning. Columns that
-    can't be compared (maps) need latest_by_window.
+    A null in `order` comes first. Ties are broken by the values of the remaining columns, so the answer doesn't depend on the
+    partitioning; columns that can't be compared (maps) don't break ties.
     """
-    rest = [c for c in df.columns if c not in key and c not in order]
-    picked = df.groupBy(*key).agg(F.max(F.struct(*order, *rest)).alias("_row"))
-    return picked.select(*[F.col(c) if c in key else F.col(f"_row.{c}").alias(c) for c in df.columns])
+    rest = [f.name for f in df.schema if f.name not in key and f.name not in order and "map<" not in f.dataType.simpleString()]
+    n = _own("n", df)
+    w = Window.partitionBy(*key).orderBy(*[F.desc(c) for c in (*order, *rest)])
+    return df.withColumn(n, F.row_number().over(w)).filter(F.col(n) == 1).drop(n)
 
 
-def latest_by_window(df: DataFrame, key: list[str], order: list[str]) -> DataFrame:
-    """The last row of every key by `order`, one of several on ties."""
-    w = Window.partitionBy(*key).orderBy(*[F.desc(c) for c in order])
-    return df.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+def _own(name: str, df: DataFrame) -> str:
+    """A column name that df doesn't have."""
+    while name in df.columns:
+        name = "_" + name
+    return name
 
 
 def latest_by_group_join(df: DataFrame, key: list[str], order: str) -> DataFrame:

@@ -40,6 +40,15 @@ def scratch(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def embedded_database(spark: SparkSession) -> str:
+    """JDBC address of a new database that lives in Spark's own process, in a scratch folder if that is a local one."""
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise ValueError("an embedded database is seen by one process only: use local mode")
+    spark.sparkContext._jvm.java.lang.System.setProperty("derby.stream.error.field", "java.lang.System.err")
+    folder = re.sub("^file:/*", "/", scratch(spark))
+    return f"jdbc:derby:directory:{folder}/database;create=true" if folder.startswith("/") else f"jdbc:derby:memory:{uuid.uuid4().hex};create=true"
+
+
 def order_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Four complete extractions of orders: some keys are missing from each, some statuses change."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate")
@@ -54,8 +63,13 @@ def order_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def files_of(rows: DataFrame) -> DataFrame:
-    return timeline(rows.select("src_file").distinct())
+def snapshot_name(s: int) -> str:
+    return f"orders_2024{s:02d}01_120000.json"
+
+
+def files_of(spark: SparkSession, newest: int = SNAPSHOTS) -> DataFrame:
+    """The timeline of the order snapshots: a list of names, as a folder listing gives it, without a look at the rows."""
+    return timeline(spark.createDataFrame([(snapshot_name(s),) for s in range(1, newest + 1)], "src_file string"))
 
 
 def order_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +79,7 @@ def order_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = order_snapshots(spark, sf_dir).drop("s")
-    return cdc_full_snapshot(rows, files_of(rows), ["o_orderkey"], loaded_at(), "updated", ("updated", "source_code"))
+    return cdc_full_snapshot(rows, files_of(spark), ["o_orderkey"], loaded_at(), "updated", ("updated", "source_code"))
 
 
 _HASH = "sha256(coalesce(CAST(o_custkey AS VARCHAR), '<NULL>') || ']##[' || coalesce(status, '<NULL>') || ']##[' || coalesce(priority, '<NULL>') || ']##[')"

@@ -3,15 +3,19 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import business_key, iso_text, lenient_date, markup_field, portable_key, redacted, row_hash, translated
 from tidemark.operators import cdc, dimensions, facts, observability, quality, relational
+from tidemark.operators.incremental import ChangeTable
 from tidemark.plans import history as h
 from tidemark.plans.history import AS_OF, CHANGES_SQL, DELTAS_SQL, EVENTS_SQL, LOADED_AT, SNAPSHOTS_SQL, key_sql, loaded_at, table
+from tidemark.registry import Entity
 from tidemark.sources import extractions, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -42,15 +46,17 @@ HOLIDAYS_SQL = "holidays(holiday_date, holiday_name, holiday_type, is_global_hol
 # Bronze ---------------------------------------------------------------------------------------------------------------
 
 
-def landed(spark: SparkSession, sf_dir: str) -> str:
-    """Writes the order snapshots as NDJSON extractions and returns the glob that finds them."""
-    folder = h.scratch(spark)
-    rows = h.order_snapshots(spark, sf_dir).withColumn("_dlt_load_id", F.col("s"))
-    for s in range(1, h.SNAPSHOTS + 1):
-        sinks.land_snapshot(rows.filter(F.col("s") == s).drop("s", "src_file", "source_code"), folder, "orders", dt.datetime(2024, s, 1, 12))
+def land(spark: SparkSession, sf_dir: str, folder: str, first: int = 1, last: int = h.SNAPSHOTS) -> str:
+    """Writes order snapshots as NDJSON extractions, in one job, and returns the glob that finds them."""
+    rows = h.order_snapshots(spark, sf_dir).filter(F.col("s").between(first, last)).withColumn("_dlt_load_id", F.col("s"))
+    sinks.land_snapshots(rows.drop("s", "source_code"), folder, "orders")
     return f"{folder}/orders/orders_*.json*"
 
 
+def landed(spark: SparkSession, sf_dir: str) -> str:
+    return land(spark, sf_dir, h.scratch(spark))
+
+
 ORDER_SCHEMA = "o_orderkey long, o_custkey long, status string, priority string, updated timestamp_ntz, _dlt_load_id int"
 
 
@@ -102,6 +108,17 @@ def incremental_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extractions.updated_since(table(spark, sf_dir, "events"), "ts", "2024-01-10").select("event_id", "user_id", "event_type")
 
 
+@query("SELECT event_id, user_id, event_type, ts FROM events WHERE ts >= TIMESTAMP '2024-01-10'")
+def jdbc_incremental_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events through a database: written to it, then read back from a date on, in ranges of their id side by side. The database is
+    embedded in Spark's own process, so this query is for local mode; the reader isn't."""
+    url = h.embedded_database(spark)
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", F.col("ts").cast("timestamp_ntz").alias("ts"))
+    types = "event_id BIGINT, user_id BIGINT, event_type VARCHAR(64), ts TIMESTAMP"
+    events.write.format("jdbc").options(url=url, dbtable="events", createTableColumnTypes=types).mode("overwrite").save()
+    return extractions.read_jdbc_incremental(spark, url, "events", "ts", "2024-01-10", "event_id", preferTimestampNTZ="true").toDF("event_id", "user_id", "event_type", "ts")
+
+
 @query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderdate >= DATE '1998-07-01' - INTERVAL 365 DAY")
 def lookback_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extractions.lookback_filter(table(spark, sf_dir, "orders"), "o_orderdate", dt.date(1998, 7, 1), 365).select("o_orderkey", "o_custkey")
@@ -156,7 +173,7 @@ def cdc_full_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"WITH {DELTAS_SQL} SELECT {CHANGE} FROM delta_changes")
 def cdc_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = h.order_deltas(spark, sf_dir).drop("s")
-    return cdc.cdc_delta(rows, h.files_of(rows), KEY, loaded_at(), "updated", ("updated", "source_code"))
+    return cdc.cdc_delta(rows, h.files_of(spark), KEY, loaded_at(), "updated", ("updated", "source_code"))
 
 
 @query(
@@ -171,12 +188,12 @@ def cdc_delta_full_refresh(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = h.order_deltas(spark, sf_dir).drop("s")
     stored = h.order_changes(spark, sf_dir).filter("valid_from <= timestamp_ntz '2024-03-01 12:00:00'")
     newest = h.order_snapshots(spark, sf_dir).filter(F.col("s") == h.SNAPSHOTS)
-    return cdc.cdc_delta_full_refresh(rows, h.files_of(rows), stored, newest, KEY, loaded_at(), "updated", ("updated", "source_code"))
+    return cdc.cdc_delta_full_refresh(rows, h.files_of(spark), stored, newest, KEY, loaded_at(), "updated", ("updated", "source_code"))
 
 
 @query(f"WITH {SNAPSHOTS_SQL} SELECT src_file, valid_from, previous_file, previous_from, TIMESTAMP '{LOADED_AT}' AS loaded_at FROM files WHERE next_file IS NULL")
 def bookmark_update(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return cdc.bookmark(h.files_of(h.order_snapshots(spark, sf_dir)), loaded_at())
+    return cdc.bookmark(h.files_of(spark), loaded_at())
 
 
 @query(f"WITH {CHANGES_SQL} SELECT {CHANGE} FROM changes WHERE src_file >= (SELECT previous_file FROM files WHERE next_file IS NULL)")
@@ -239,18 +256,48 @@ def schema_evolution_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sinks.read_table(spark, path)
 
 
+ORDERS = Entity("orders", "TPC", "o_orderkey", False, "updated", ORDER_SCHEMA, ("updated", "source_code"))
+
+
 @query(f"WITH {CHANGES_SQL} SELECT {CHANGE} FROM changes")
 def incremental_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Runs after the third and the fourth extraction, and a replay: each reads the bookmark, appends and then moves it."""
-    path, state = h.scratch(spark), h.scratch(spark)
-    rows = h.order_snapshots(spark, sf_dir)
-    for newest in (3, 4, 4):
-        so_far = rows.filter(F.col("s") <= newest).drop("s")
-        files = h.files_of(so_far)
-        changes = cdc.cdc_full_snapshot(so_far, files, KEY, loaded_at(), "updated", ("updated", "source_code"))
-        sinks.append_new_versions(cdc.since_bookmark(changes, sinks.read_bookmark(spark, state)), path, KEY)
-        sinks.overwrite_table(cdc.bookmark(files, loaded_at()), state)
-    return sinks.read_table(spark, path)
+    """Daily runs over landed extractions: after the first two, after the third, after the fourth, and a replay. Each reads the newest
+    extraction of the last one, the new ones and a row a key, whatever the history's length."""
+    folder = h.scratch(spark)
+    table = ChangeTable(ORDERS, f"{folder}/silver")
+    for first, last in ((1, 2), (3, 3), (4, 4)):
+        table.run(spark, land(spark, sf_dir, folder, first, last), loaded_at())
+    table.run(spark, f"{folder}/orders/orders_*.json*", loaded_at())
+    return table.changes(spark).select(*[c.strip() for c in CHANGE.split(",")])
+
+
+@query(f"WITH {DELTAS_SQL} SELECT {CHANGE} FROM delta_changes")
+def incremental_delta_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for extractions of changed rows only, run one by one, then rebuilt from scratch."""
+    folder = h.scratch(spark)
+    table = ChangeTable(replace(ORDERS, delta=True), f"{folder}/silver")
+    glob = f"{folder}/orders/orders_*.json*"
+    rows = h.order_deltas(spark, sf_dir).withColumn("_dlt_load_id", F.col("s"))
+    for s in range(1, h.SNAPSHOTS + 1):
+        sinks.land_snapshots(rows.filter(F.col("s") == s).drop("s", "source_code"), folder, "orders")
+        table.run(spark, glob, loaded_at())
+    table.refresh(spark, glob, loaded_at())
+    return table.changes(spark).select(*[c.strip() for c in CHANGE.split(",")])
+
+
+def keyed_orders(spark: SparkSession, sf_dir: str) -> sinks.KeyedTable:
+    """The change log stored by key, in two appends of which the second brings a new column."""
+    table = sinks.KeyedTable(spark, f"silver_orders_{uuid.uuid4().hex}", KEY, sinks.buckets(spark), h.scratch(spark))
+    changes = h.order_changes(spark, sf_dir)
+    table.append(changes.filter(STORED))
+    table.append(changes.filter(f"not {STORED}").withColumn("tier", F.col("o_custkey") % 7))
+    return table
+
+
+@query(f"WITH {CHANGES_SQL} SELECT {CHANGE}, CASE WHEN valid_from > TIMESTAMP '2024-03-01 12:00:00' THEN o_custkey % 7 END AS tier FROM current_rows")
+def keyed_current_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Current versions of a log that is stored by key: the last step shuffles nothing."""
+    return cdc.current_version(keyed_orders(spark, sf_dir).read(), KEY)
 
 
 @query(f"WITH {CHANGES_SQL} SELECT o_orderkey, valid_from, op, row_number() OVER (ORDER BY o_orderkey, valid_from) AS row_id FROM changes")
@@ -393,6 +440,26 @@ def fact_resolve_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("l_orderkey", "l_linenumber", "order_key", "part_key", "supplier_key", F.to_date("l_shipdate").alias("date_day"), F.lit(1).alias("line_count"))
 
 
+def keyed_lines(spark: SparkSession, sf_dir: str) -> sinks.KeyedTable:
+    table_ = sinks.KeyedTable(spark, f"silver_lines_{uuid.uuid4().hex}", ["l_orderkey"], sinks.buckets(spark), h.scratch(spark))
+    table_.append(table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber"))
+    return table_
+
+
+def fact_lookup(orders: sinks.KeyedTable, lines: sinks.KeyedTable) -> DataFrame:
+    versions = dimensions.scd2_dimension(orders.read(), "o_orderkey", {"order_id": F.col("o_orderkey")}, portable_key, "order")
+    newest = relational.latest(versions, ["order_id"], ["valid_from"]).select("order_id", "order_key", "version")
+    found = lines.read().join(newest, F.col("l_orderkey") == F.col("order_id"), "left")
+    return found.select("l_orderkey", "l_linenumber", F.coalesce("order_key", F.lit(0).cast("long")).alias("order_key"), F.coalesce("version", F.lit(0)).alias("n_versions"))
+
+
+@query(f"WITH {SCD2_SQL} SELECT l_orderkey, l_linenumber, coalesce(order_key, 0) AS order_key, coalesce(version, 0) AS n_versions FROM lineitem LEFT JOIN (SELECT * FROM dim QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY valid_from DESC) = 1) ON order_id = l_orderkey")
+def keyed_fact_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines with the newest key of their order: the type-2 windows, the newest version and the lookup keep the one partitioning of
+    the stored tables and shuffle nothing."""
+    return fact_lookup(keyed_orders(spark, sf_dir), keyed_lines(spark, sf_dir))
+
+
 def _calendar_sql() -> str:
     """The calendar's columns in SQL, in its own terms."""
     cols = ["CAST(year(d) AS INTEGER) AS date_year", "CAST(isoyear(d) AS INTEGER) AS iso_year", "CAST(quarter(d) AS INTEGER) AS date_quarter", "CAST(month(d) AS INTEGER) AS date_month", "CAST(weekofyear(d) AS INTEGER) AS date_week", "CAST(weekofyear(d) AS INTEGER) AS iso_week_of_year", "CAST(isoyear(d) * 100 + weekofyear(d) AS INTEGER) AS iso_week_year_number"]

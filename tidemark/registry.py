@@ -14,7 +14,8 @@ class Entity:
     key: str
     delta: bool  # each extraction has changed rows only, not all rows
     date_col: str | None = None  # dates a row's first appearance; none: the extraction's time does
-    schema: StructType | None = None
+    schema: StructType | str | None = None
+    unhashed: tuple[str, ...] = ()  # columns whose change alone is no change
 
 
 #: Entity names, keys and date columns of the two known sources.

@@ -5,15 +5,22 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import redacted
 
 
-def exists(spark: SparkSession, path: str) -> bool:
+def file_system(spark: SparkSession, path: str):
+    """(file system, path) as Hadoop's own objects."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, at = file_system(spark, path)
+    return fs.exists(at)
 
 
 def land_snapshot(df: DataFrame, folder: str, entity: str, at: dt.datetime) -> str:
@@ -23,12 +30,43 @@ def land_snapshot(df: DataFrame, folder: str, entity: str, at: dt.datetime) -> s
     return path
 
 
+def land_snapshots(df: DataFrame, folder: str, entity: str, name: str = "src_file") -> list[str]:
+    """Writes many extractions in one job: rows go to the extraction that `name` says. Returns their paths.
+
+    Each is written below a folder of its own first and renamed at the end, so that a reader never sees half of one.
+    """
+    spark, root = df.sparkSession, f"{folder.rstrip('/')}/{entity}"
+    fs, at = file_system(spark, f"{root}/_landing")
+    df.write.option("compression", "none").option("ignoreNullFields", "false").partitionBy(name).json(str(at))
+    out = []
+    for part in fs.globStatus(file_system(spark, f"{root}/_landing/{name}=*")[1]) or []:
+        path = f"{root}/{part.getPath().getName().split('=', 1)[1]}"
+        fs.rename(part.getPath(), file_system(spark, path)[1])
+        out.append(path)
+    fs.delete(at, True)
+    return sorted(out)
+
+
 def new_versions(df: DataFrame, stored: DataFrame, key: list[str], valid_from: str = "valid_from") -> DataFrame:
     """Rows whose (key, valid_from) isn't stored yet; only those columns of the stored table are read."""
     on = [*key, valid_from]
     return df.join(stored.select(on), on, "left_anti").select(df.columns)
 
 
+def append_rows(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()) -> int:
+    """Appends rows, with new columns; none leave no file behind. What the first look computes is kept on the executors' disks for
+    the write, so nothing is evaluated twice."""
+    held = df.persist(StorageLevel.DISK_ONLY)
+    try:
+        if held.isEmpty():
+            return 0
+        seen = Observation()
+        held.observe(seen, F.count(F.lit(1)).alias("n")).write.format(fmt).mode("append").option("mergeSchema", "true").partitionBy(*partition_by).save(path)
+        return seen.get["n"]
+    finally:
+        held.unpersist()
+
+
 def append_new_versions(df: DataFrame, path: str, key: list[str], valid_from: str = "valid_from", fmt: str = "parquet") -> int:
     """Appends what is new, with new columns; creates the table if there is none; writes nothing if nothing is new.
 
@@ -36,12 +74,7 @@ def append_new_versions(df: DataFrame, path: str, key: list[str], valid_from: st
     spark = df.sparkSession
     if not exists(spark, path):
         return overwrite_table(df, path, fmt)
-    fresh = new_versions(df, read_table(spark, path, fmt), key, valid_from)
-    if fresh.isEmpty():
-        return 0
-    seen = Observation()
-    fresh.observe(seen, F.count(F.lit(1)).alias("n")).write.format(fmt).mode("append").option("mergeSchema", "true").save(path)
-    return seen.get["n"]
+    return append_rows(new_versions(df, read_table(spark, path, fmt), key, valid_from), path, fmt)
 
 
 def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet") -> int:
@@ -56,12 +89,71 @@ def read_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFram
     return spark.read.format(fmt).option("mergeSchema", "true").load(path)
 
 
-def read_bookmark(spark: SparkSession, path: str, fmt: str = "parquet") -> str | None:
-    """The extraction before the newest one of the last run; None before the first run."""
-    row = read_table(spark, path, fmt).select("previous_file").first() if exists(spark, path) else None
+def state_records(spark: SparkSession, path: str) -> list[str]:
+    """Paths of the complete records of a state log, the oldest first. A record that a crash cut off lacks its mark of success."""
+    fs, at = file_system(spark, f"{path}/*/_SUCCESS")
+    return sorted(f.getPath().getParent().toString() for f in fs.globStatus(at) or [])
+
+
+def write_state(record: DataFrame, path: str, keep: int = 20) -> None:
+    """Appends a record (one row, or none for no state) to a state log. Nothing that counts is deleted or replaced before it is
+    complete; older records than the last `keep` go afterwards. One writer at a time."""
+    spark = record.sparkSession
+    done = state_records(spark, path)
+    n = int(done[-1].rsplit("/", 1)[-1]) + 1 if done else 0
+    record.coalesce(1).write.mode("overwrite").parquet(f"{path}/{n:012d}")
+    for old in done[: max(0, len(done) + 1 - keep)]:
+        fs, at = file_system(spark, old)
+        fs.delete(at, True)
+
+
+def read_state(spark: SparkSession, path: str) -> Row | None:
+    """The newest complete record of a state log; None if there is none or it says that there is no state."""
+    done = state_records(spark, path)
+    return spark.read.parquet(done[-1]).first() if done else None
+
+
+def drop_state(spark: SparkSession, path: str) -> None:
+    """Forgets the state, by a record without a row: a crash before it is complete leaves the state as it was."""
+    write_state(spark.range(0), path)
+
+
+def read_bookmark(spark: SparkSession, path: str) -> str | None:
+    """The extraction before the newest one of the last run, from the state log of bookmarks; None before the first run."""
+    row = read_state(spark, path)
     return row.previous_file if row else None
 
 
+def buckets(spark: SparkSession) -> int:
+    """Buckets of a stored table by default: as many as a shuffle has parts, so that the two go together."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+class KeyedTable:
+    """A table stored in buckets by key: windows, aggregations and joins on the key read it without a shuffle.
+
+    An append shuffles its own rows, so that each of its tasks writes one file of one bucket. Tables of the same number of buckets join
+    bucket by bucket.
+    """
+
+    def __init__(self, spark: SparkSession, name: str, key: list[str], n: int, path: str | None = None):
+        self.spark, self.name, self.key, self.n, self.path = spark, name, key, n, path
+
+    def append(self, df: DataFrame) -> None:
+        """Adds rows; columns new to the table are null in older rows, columns that df lacks in these."""
+        if self.spark.catalog.tableExists(self.name):
+            stored = self.spark.table(self.name).schema
+            more = [f for f in df.schema if f.name not in stored.names]
+            if more:
+                self.spark.sql(f"ALTER TABLE {self.name} ADD COLUMNS ({', '.join(f'`{f.name}` {f.dataType.simpleString()}' for f in more)})")
+            df = df.select(*[F.col(f.name) if f.name in df.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in (*stored, *more)])
+        out = df.repartition(self.n, *self.key).write.format("parquet").bucketBy(self.n, *self.key).sortBy(*self.key).mode("append")
+        (out.option("path", self.path) if self.path else out).saveAsTable(self.name)
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+
 def publish(df: DataFrame, name: str, path: str | None = None, fmt: str = "parquet") -> DataFrame:
     """Gives a layer its name: as a view, or with a path as a table written there. Returns it as later layers read it."""
     if path is not None:
