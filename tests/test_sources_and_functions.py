@@ -67,9 +67,9 @@ def test_land_snapshot_and_listing_of_empty_files(spark, tmp_path):
 def test_exports_are_all_tried_and_failures_told_together(spark, tmp_path):
     df = spark.range(3)
     with pytest.raises(RuntimeError, match="bad: boom"):
-        sinks.export_all({"bad": lambda: (_ for _ in ()).throw(ValueError("boom")), "good": lambda: sinks.overwrite_table(df, f"{tmp_path}/good")})
+        sinks.export_all(spark, {"bad": lambda: (_ for _ in ()).throw(ValueError("boom")), "good": lambda: sinks.overwrite_table(df, f"{tmp_path}/good")})
     assert spark.read.parquet(f"{tmp_path}/good").count() == 3
-    assert sinks.export_all({"again": lambda: sinks.overwrite_table(df, f"{tmp_path}/good")}) == {"again": 3}
+    assert sinks.export_all(spark, {"again": lambda: sinks.overwrite_table(df, f"{tmp_path}/good")}) == {"again": 3}
 
 
 def test_run_log_is_written_on_failure_and_redacts(spark, tmp_path):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import hhmm_key
 
-PLANNED, DONE, FAILED, RUN_FAILED = "PLANNED", "MATERIALIZATION", "STEP_FAILURE", "RUN_FAILURE"
+PLANNED, DONE, FAILED, RUN_FAILED, SKIPPED = "PLANNED", "MATERIALIZATION", "STEP_FAILURE", "RUN_FAILURE", "STEP_SKIPPED"
 #: Labels of metadata entries that become columns.
 LABELS = {
     "records_written": "records_written_raw", "destination_file": "destination_file", "destination_path": "destination_path", "duration_seconds": "duration_seconds_raw", "pipeline_status": "ingestion_status",
@@ -72,14 +72,29 @@ def run_fact(runs: DataFrame, flat: DataFrame, key) -> DataFrame:
     )
 
 
+def paired(events: DataFrame, message: str = "$.user_message") -> DataFrame:
+    """Materialisations with planned_at and run_error_message, by one exchange of the events by run.
+
+    planned_at: the last plan of the same run, step and asset up to the materialisation, else the first one after it; null
+    where a part of that triple is null. run_error_message: of the run's last failure. A second plan or failure repeats no row.
+    """
+    some = events.filter(F.col("kind").isin(PLANNED, DONE, RUN_FAILED)).select(
+        "id", "run_id", "step_key", "asset_key", "ts", "kind", "partition", F.when(F.col("kind") == DONE, F.col("event")).alias("event"), F.when(F.col("kind") == RUN_FAILED, F.get_json_object("event", message)).alias("_message")
+    )
+    # by run first: what is dealt out by run is also dealt out by run, step and asset
+    in_run = Window.partitionBy("run_id").orderBy(F.col("_message").isNull().desc(), "ts", "id").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    same = Window.partitionBy("run_id", "step_key", "asset_key").orderBy("ts")
+    plan = F.when(F.col("kind") == PLANNED, F.col("ts"))
+    planned = F.coalesce(F.max(plan).over(same.rangeBetween(Window.unboundedPreceding, Window.currentRow)), F.min(plan).over(same.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    told = some.withColumn("run_error_message", F.when(F.col("run_id").isNotNull(), F.last("_message").over(in_run)))
+    whole = F.col("run_id").isNotNull() & F.col("step_key").isNotNull() & F.col("asset_key").isNotNull()
+    return told.withColumn("planned_at", F.when(whole, planned)).filter(F.col("kind") == DONE).drop("_message", "kind")
+
+
 def materialization_fact(events: DataFrame, runs: DataFrame, key, name: str = "$.pipeline_name", rows: tuple[str, ...] = ("$.materialization.metadata['row_count'].value", "$.materialization.metadata_entries[0].entry_data.value"), message: str = "$.user_message") -> DataFrame:
     """One row a materialisation: the plan it answers (by run, step and asset, so that a step's assets don't multiply), its
-    duration, the first row count that can be read, and the run's outcome. A second plan for one triple repeats the row."""
-    plan = events.filter((F.col("kind") == PLANNED) & F.col("step_key").isNotNull()).select("run_id", "step_key", "asset_key", F.col("ts").alias("planned_at"))
-    done = events.filter(F.col("kind") == DONE)
-    outcome = runs.select("run_id", "run_status")
-    failed = events.filter(F.col("kind") == RUN_FAILED).select("run_id", F.get_json_object("event", message).alias("run_error_message"))
-    all_ = done.join(plan, ["run_id", "step_key", "asset_key"], "left").join(outcome, "run_id", "left").join(failed, "run_id", "left")
+    duration, the first row count that can be read, and the run's outcome. The events are exchanged once, by run; see paired."""
+    all_ = paired(events, message).join(runs.select("run_id", "run_status"), "run_id", "left")
     micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
     return all_.select(
         key(F.col("asset_key")).alias("asset_sk"), key(F.col("run_id")).alias("run_sk"), key(F.get_json_object("event", name)).alias("job_sk"), F.to_date("planned_at").alias("start_date_sk"), hhmm_key("planned_at").alias("start_time_sk"),
@@ -89,11 +104,15 @@ def materialization_fact(events: DataFrame, runs: DataFrame, key, name: str = "$
 
 
 def step_failures(events: DataFrame, runs: DataFrame, key, error_class: str = "$.error.cls_name", message: str = "$.error.message") -> DataFrame:
-    """One row a failed step and asset that was planned for it (a null asset if none was)."""
-    failed = events.filter(F.col("kind") == FAILED).select("run_id", "step_key", F.col("ts").alias("failed_at"), F.get_json_object("event", error_class).alias("error_class"), F.get_json_object("event", message).alias("error_message"))
-    planned = events.filter((F.col("kind") == PLANNED) & F.col("asset_key").isNotNull()).select("run_id", "step_key", "asset_key").distinct()
-    jobs = runs.select("run_id", "job_name")
-    all_ = failed.join(planned, ["run_id", "step_key"], "left").join(jobs, "run_id", "left")
+    """One row a failed step and asset that was planned for it (a null asset if none was). Failures and plans are exchanged once, by
+    run and step."""
+    some = events.filter((F.col("kind") == FAILED) | ((F.col("kind") == PLANNED) & F.col("asset_key").isNotNull()))
+    slim = some.select("run_id", "step_key", "kind", F.col("ts").alias("failed_at"), F.when(F.col("kind") == PLANNED, F.col("asset_key")).alias("_plan"), F.when(F.col("kind") == FAILED, F.col("event")).alias("event"))
+    assets = F.when(F.col("run_id").isNotNull() & F.col("step_key").isNotNull(), F.collect_set("_plan").over(Window.partitionBy("run_id", "step_key")))
+    failed = slim.withColumn("_assets", assets).filter(F.col("kind") == FAILED).select(
+        "run_id", "step_key", "failed_at", F.get_json_object("event", error_class).alias("error_class"), F.get_json_object("event", message).alias("error_message"), F.explode_outer(F.when(F.size("_assets") > 0, F.array_sort("_assets"))).alias("asset_key")
+    )
+    all_ = failed.join(runs.select("run_id", "job_name"), "run_id", "left")
     return all_.select(key(F.concat("run_id", "step_key")).alias("failure_sk"), key(F.col("asset_key")).alias("asset_sk"), key(F.col("run_id")).alias("run_sk"), key(F.col("job_name")).alias("job_sk"), F.to_date("failed_at").alias("date_sk"), hhmm_key("failed_at").alias("time_sk"), "run_id", "step_key", "asset_key", "error_class", "error_message", "failed_at")
 
 
@@ -122,8 +141,19 @@ def unmet_assets(events: DataFrame, runs: DataFrame) -> DataFrame:
 
 
 def run_summary(events: DataFrame) -> DataFrame:
-    """Steps of every run: how many, how many failed, and their names with seconds, in order of name."""
-    step = events.filter(F.col("step_key").isNotNull()).groupBy("run_id", "step_key").agg(F.max((F.col("kind") == FAILED).cast("int")).alias("failed"), F.min("ts").alias("first"), F.max("ts").alias("last"))
-    seconds = F.floor((F.unix_micros(F.col("last").cast("timestamp")) - F.unix_micros(F.col("first").cast("timestamp"))) / 1_000_000)
-    text = F.concat("step_key", F.lit(":"), seconds.cast("string"))
-    return step.withColumn("text", text).groupBy("run_id").agg(F.count("*").alias("steps_total"), F.sum(1 - F.col("failed")).alias("steps_succeeded"), F.sum("failed").alias("steps_failed"), F.array_join(F.sort_array(F.collect_list("text")), ",").alias("steps"))
+    """Steps of every run: how many, how many of them succeeded, failed and were skipped, and one struct a step (step_key, status,
+    duration_seconds) in order of name.
+
+    A step is FAILURE if it failed at any time, else SUCCESS if it materialised something, else SKIPPED if it was skipped, else
+    unknown, which counts as none of the three. It lasts from its first event to its last success or failure, to a thousandth of a
+    second; null while it hasn't ended. Failures of a whole run belong to no step.
+    """
+    step_events = events.filter(F.col("step_key").isNotNull() & (F.col("kind") != RUN_FAILED))
+    had = lambda kind: F.max((F.col("kind") == kind).cast("int")) == 1
+    ended = F.max(F.when(F.col("kind").isin(DONE, FAILED), F.col("ts")))
+    status = F.when(had(FAILED), "FAILURE").when(had(DONE), "SUCCESS").when(had(SKIPPED), "SKIPPED").otherwise("unknown")
+    step = step_events.groupBy("run_id", "step_key").agg(status.alias("status"), F.min("ts").alias("first"), ended.alias("last"))
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    one = F.struct("step_key", "status", F.round((micros("last") - micros("first")) / 1e6, 3).alias("duration_seconds"))
+    count = lambda s: F.sum((F.col("status") == s).cast("long"))
+    return step.groupBy("run_id").agg(F.count("*").alias("steps_total"), count("SUCCESS").alias("steps_succeeded"), count("FAILURE").alias("steps_failed"), count("SKIPPED").alias("steps_skipped"), F.sort_array(F.collect_list(one)).alias("steps"))

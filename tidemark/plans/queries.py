@@ -6,17 +6,19 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import business_key, iso_text, lenient_date, markup_field, portable_key, redacted, row_hash, translated
+from tidemark.functions.scalars import business_key, entity_file_name, iso_text, lenient_date, markup_field, portable_key, redacted, row_hash, translated
 from tidemark.operators import cdc, dimensions, facts, observability, quality, relational
 from tidemark.operators.incremental import ChangeTable
 from tidemark.plans import history as h
 from tidemark.plans.history import AS_OF, CHANGES_SQL, DELTAS_SQL, EVENTS_SQL, LOADED_AT, SNAPSHOTS_SQL, key_sql, loaded_at, table
 from tidemark.registry import Entity
 from tidemark.sources import extractions, sinks
+from tidemark.streaming.ingest import EventFiles
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -556,12 +558,16 @@ def obs_run(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 MATERIALIZATION_SQL = f"""{EVENTS_SQL},
     plan AS (SELECT run_id, step_key, asset_key, ts AS planned_at FROM log WHERE kind = 'PLANNED'),
-    bad AS (SELECT run_id, 'run failed with ' || k AS run_error_message FROM log WHERE kind = 'RUN_FAILURE'),
+    bad AS (SELECT run_id, last('run failed with ' || k ORDER BY ts, id) AS run_error_message FROM log WHERE kind = 'RUN_FAILURE' GROUP BY 1),
+    answered AS (
+        SELECT e.id, coalesce(max(CASE WHEN p.planned_at <= e.ts THEN p.planned_at END), min(p.planned_at)) AS planned_at
+        FROM log e JOIN plan p ON e.run_id = p.run_id AND e.step_key = p.step_key AND e.asset_key = p.asset_key WHERE e.kind = 'MATERIALIZATION' GROUP BY e.id
+    ),
     fact AS (
         SELECT {key_sql("e.asset_key")} AS asset_sk, {key_sql("e.run_id")} AS run_sk, {key_sql("e.job_name")} AS job_sk, planned_at::DATE AS start_date_sk, {HHMM.format("planned_at")} AS start_time_sk, e.ts::DATE AS end_date_sk, {HHMM.format("e.ts")} AS end_time_sk,
                e.id AS materialization_id, e.run_id, e.asset_key, e.step_key, CAST(NULL AS VARCHAR) AS partition_key, planned_at AS step_planned_at, e.ts AS materialized_at, round(CAST(epoch_us(e.ts) - epoch_us(planned_at) AS DOUBLE) / 1e6, 1) AS duration_seconds,
                CAST(e.k AS BIGINT) AS rows_processed, r.run_status, b.run_error_message
-        FROM log e LEFT JOIN plan p ON e.run_id = p.run_id AND e.step_key = p.step_key AND e.asset_key = p.asset_key LEFT JOIN runs r ON e.run_id = r.run_id LEFT JOIN bad b ON e.run_id = b.run_id
+        FROM log e LEFT JOIN answered p ON e.id = p.id LEFT JOIN runs r ON e.run_id = r.run_id LEFT JOIN bad b ON e.run_id = b.run_id
         WHERE e.kind = 'MATERIALIZATION'
     )"""
 
@@ -624,11 +630,39 @@ def obs_unmet_assets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    f"""WITH {EVENTS_SQL}, step AS (SELECT run_id, step_key, CAST(max(CASE WHEN kind = 'STEP_FAILURE' THEN 1 ELSE 0 END) AS BIGINT) AS failed, step_key || ':' || ((epoch_us(max(ts)) - epoch_us(min(ts))) // 1000000) AS text FROM log GROUP BY 1, 2)
-    SELECT run_id, count(*) AS steps_total, CAST(sum(1 - failed) AS BIGINT) AS steps_succeeded, CAST(sum(failed) AS BIGINT) AS steps_failed, string_agg(text, ',' ORDER BY text) AS steps FROM step GROUP BY 1"""
+    f"""WITH {EVENTS_SQL}, ended AS (
+        SELECT run_id, step_key, min(ts) AS first, max(ts) FILTER (WHERE kind IN ('MATERIALIZATION', 'STEP_FAILURE')) AS last, CASE WHEN bool_or(kind = 'STEP_FAILURE') THEN 'FAILURE' WHEN bool_or(kind = 'MATERIALIZATION') THEN 'SUCCESS' ELSE 'unknown' END AS status
+        FROM log WHERE kind <> 'RUN_FAILURE' GROUP BY 1, 2
+    )
+    SELECT run_id, count(*) OVER w AS steps_total, count(*) FILTER (WHERE status = 'SUCCESS') OVER w AS steps_succeeded, count(*) FILTER (WHERE status = 'FAILURE') OVER w AS steps_failed, CAST(0 AS BIGINT) AS steps_skipped,
+           CAST(row_number() OVER (PARTITION BY run_id ORDER BY step_key) AS INTEGER) AS place, step_key, status, round(CAST(epoch_us(last) - epoch_us(first) AS DOUBLE) / 1e6, 3) AS duration_seconds
+    FROM ended WINDOW w AS (PARTITION BY run_id)"""
 )
 def run_log_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return observability.run_summary(h.event_log(spark, sf_dir))
+    """Every run's summary, a row a step."""
+    runs = observability.run_summary(h.event_log(spark, sf_dir))
+    steps = runs.select("run_id", "steps_total", "steps_succeeded", "steps_failed", "steps_skipped", F.posexplode("steps").alias("place", "step"))
+    return steps.select("run_id", "steps_total", "steps_succeeded", "steps_failed", "steps_skipped", (F.col("place") + 1).alias("place"), "step.*")
+
+
+@query(
+    f"""WITH {EVENTS_SQL}, planned AS (SELECT DISTINCT run_id, step_key, asset_key FROM log WHERE kind = 'PLANNED')
+    SELECT {key_sql("f.run_id || f.step_key")} AS failure_sk, {key_sql("p.asset_key")} AS asset_sk, {key_sql("f.run_id")} AS run_sk, {key_sql("f.job_name")} AS job_sk, f.ts::DATE AS date_sk, {HHMM.format("f.ts")} AS time_sk, f.run_id, f.step_key, p.asset_key, 'Error' || (f.k % 4) AS error_class, 'code ' || f.k AS error_message, f.ts AS failed_at
+    FROM log f LEFT JOIN planned p ON f.run_id = p.run_id AND f.step_key = p.step_key WHERE f.kind = 'STEP_FAILURE'"""
+)
+def obs_step_failures_from_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Step failures of events that come from log files, taken in by two runs; a file that is no log, an index and a broken line are
+    among them."""
+    folder, log = h.scratch(spark), h.event_log(spark, sf_dir)
+    inbox = EventFiles(f"{folder}/in", "id long, run_id string, user_id long, asset_key string, step_key string, partition string, ts timestamp_ntz, kind string, event string", f"{folder}/out")
+    parts = log.withColumns({"ts": F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), "_name": F.concat(F.lit("runs_"), (F.col("user_id") % 16).cast("string"), F.lit(".jsonl"))})
+    for late in (False, True):
+        sinks.land_snapshots(parts.filter((F.col("user_id") % 2 == 1) == late), folder, "in", "_name")
+        spark.createDataFrame([("{broken",)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/in/{'late' if late else 'early'}_broken.jsonl")
+        spark.createDataFrame([('{"id": 1, "kind": "STEP_FAILURE"}',)], "value string").coalesce(1).write.mode("overwrite").text(f"{folder}/in/index.jsonl")
+        inbox.ingest(spark)
+    events = inbox.events(spark)
+    return observability.step_failures(events, observability.pipeline_runs(h.run_table(events)), portable_key)
 
 
 @query("SELECT event_id, '***' AS api_token, '***' AS db_password, event_type AS kind FROM events")
@@ -685,3 +719,43 @@ def dq_unique_combination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT max(CAST(ts AS TIMESTAMP)) AS newest, date_sub('second', max(CAST(ts AS TIMESTAMP)), TIMESTAMP '2024-06-15 00:00:00') AS age_seconds, CASE WHEN date_sub('second', max(CAST(ts AS TIMESTAMP)), TIMESTAMP '2024-06-15 00:00:00') > 7 * 86400 THEN 'error' WHEN date_sub('second', max(CAST(ts AS TIMESTAMP)), TIMESTAMP '2024-06-15 00:00:00') > 2 * 86400 THEN 'warn' ELSE 'pass' END AS status FROM events")
 def dq_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.freshness(table(spark, sf_dir, "events"), "ts", dt.datetime.combine(AS_OF, dt.time()))
+
+
+@query(
+    """WITH e AS (SELECT event_id, CASE WHEN event_id % 11 <> 0 THEN user_id END AS user_id, event_type, props FROM events)
+    SELECT 'user_id not null' AS rule, CAST(to_json([CAST(event_id AS VARCHAR)]) AS VARCHAR) AS key, CAST(NULL AS VARCHAR) AS value, CAST(1 AS BIGINT) AS n_rows FROM e WHERE user_id IS NULL
+    UNION ALL SELECT 'event_type accepted', CAST(to_json([CAST(event_id AS VARCHAR)]) AS VARCHAR), event_type, 1 FROM e WHERE event_type NOT IN ('signup', 'view', 'click') AND user_id > 10
+    UNION ALL SELECT 'event_type length', CAST(to_json([CAST(event_id AS VARCHAR)]) AS VARCHAR), event_type, 1 FROM e WHERE length(event_type) <> 5
+    UNION ALL SELECT 'props matches', CAST(to_json([CAST(event_id AS VARCHAR)]) AS VARCHAR), props, 1 FROM e WHERE NOT regexp_matches(props, ': *[0-8][0-9]*}$')
+    UNION ALL SELECT 'event_id unique', NULL, CAST(to_json([CAST(event_id AS VARCHAR)]) AS VARCHAR), count(*) FROM e GROUP BY event_id HAVING count(*) > 1
+    UNION ALL SELECT 'user_id, event_type unique', NULL, CAST(to_json([CAST(user_id AS VARCHAR), event_type]) AS VARCHAR), count(*) FROM e GROUP BY user_id, event_type HAVING count(*) > 1
+    UNION ALL SELECT 'rows between', NULL, NULL, count(*) FROM e HAVING count(*) NOT BETWEEN 1 AND 100
+    UNION ALL SELECT 'event_id type', NULL, 'bigint', NULL"""
+)
+def dq_rules_in_one_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Eight rules on a table in one scan, with what breaks each."""
+    e = table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_id") % 11 != 0, F.col("user_id")).alias("user_id"), "event_type", "props")
+    rules = [
+        quality.must_not_be_null("user_id"), quality.must_be_among("event_type", ["signup", "view", "click"], F.col("user_id") > 10), quality.must_have_length("event_type", 5), quality.must_match("props", ": *[0-8][0-9]*}$"),
+        quality.must_be_unique("event_id"), quality.must_be_unique("user_id", "event_type"), quality.must_have_rows(1, 100), quality.must_have_type(e, "event_id", "int"),
+    ]
+    return quality.violations(e, ["event_id"], rules)
+
+
+@query(
+    """SELECT 'region' AS table_name, r_regionkey AS key, r_name AS name FROM region UNION ALL SELECT 'nation', n_nationkey, n_name FROM nation UNION ALL SELECT 'customer', c_custkey, c_name FROM customer
+    UNION ALL SELECT 'supplier', s_suppkey, s_name FROM supplier UNION ALL SELECT 'part', p_partkey, p_name FROM part"""
+)
+def exports_side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five tables exported four at a time, and read back."""
+    folder = h.scratch(spark)
+    columns = {"region": ("r_regionkey", "r_name"), "nation": ("n_nationkey", "n_name"), "customer": ("c_custkey", "c_name"), "supplier": ("s_suppkey", "s_name"), "part": ("p_partkey", "p_name")}
+    tables = {t: table(spark, sf_dir, t).select(F.lit(t).alias("table_name"), F.col(k).cast("long").alias("key"), F.col(n).alias("name")) for t, (k, n) in columns.items()}
+    sinks.export_all(spark, {t: (lambda t=t: sinks.overwrite_table(tables[t], f"{folder}/{t}")) for t in tables})
+    return reduce(DataFrame.unionByName, [sinks.read_table(spark, f"{folder}/{t}") for t in tables])
+
+
+@query("SELECT c_custkey, lower(replace(replace(translate(c_name, 'o', 'ø') || ' ÆØÅ æ', 'ø', 'oe'), 'æ', 'ae')) AS file_name FROM customer")
+def entity_file_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    name = F.concat(F.translate("c_name", "o", "ø"), F.lit(" ÆØÅ æ"))
+    return table(spark, sf_dir, "customer").select("c_custkey", entity_file_name(name).alias("file_name"))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
@@ -168,16 +169,31 @@ def append_evolving(stored: DataFrame, new: DataFrame) -> DataFrame:
     return stored.unionByName(new, allowMissingColumns=True)
 
 
-def export_all(jobs: dict[str, Callable[[], int]]) -> dict[str, int]:
-    """Runs every export; failures are collected and raised together at the end."""
-    done, failed = {}, {}
-    for name, job in jobs.items():
+def export_all(spark: SparkSession, jobs: dict[str, Callable[[], int]], at_once: int = 4) -> dict[str, int]:
+    """Runs every export, `at_once` side by side; failures are collected and raised together at the end.
+
+    Each runs in a thread with the caller's settings and in a scheduler pool of its own, so that under FAIR scheduling a long export
+    doesn't hold up the others' tasks.
+    """
+
+    def run(name: str, job: Callable[[], int]) -> int:
+        spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"export-{name}")
         try:
-            done[name] = job()
-        except Exception as e:  # the other tables are still exported
-            failed[name] = e
+            return job()
+        finally:
+            spark.sparkContext.setLocalProperty("spark.scheduler.pool", None)
+
+    done, failed = {}, {}
+    with ThreadPoolExecutor(at_once) as pool:
+        started = {name: pool.submit(inheritable_thread_target(spark)(run), name, job) for name, job in jobs.items()}
+    for name, future in started.items():
+        error = future.exception()
+        if error is None:
+            done[name] = future.result()
+        else:
+            failed[name] = error
     if failed:
-        raise RuntimeError("exports failed: " + "; ".join(f"{k}: {v}" for k, v in failed.items()))
+        raise RuntimeError("exports failed: " + "; ".join(f"{k}: {v}" for k, v in failed.items())) from next(iter(failed.values()))
     return done
 
 
