@@ -80,6 +80,19 @@ def markup_field(text: Column, tag: str) -> Column:
     return F.when(F.instr(text, f"<{tag}>") > 0, F.when(F.instr(text, f"</{tag}>") > 0, found))
 
 
+def with_markup(df: DataFrame, text: str, fields: dict[str, str]) -> DataFrame:
+    """Adds the contents of several tags (tag: name of its column), from one structured parse of the text.
+
+    The parse finds every opening tag of interest together with what stands before its first closing tag, nested or not; of a
+    tag that occurs more than once the first counts. A tag that is missing or never closed gives null, an empty one an empty text.
+    """
+    pattern = rf"(?s)<({'|'.join(fields)})>(?=(.*?)</\1>)"
+    tokens = F.arrays_zip(*[F.regexp_extract_all(text, F.lit(pattern), F.lit(i)).alias(n) for i, n in ((1, "tag"), (2, "content"))])
+    parsed = df.withColumn("_tokens", tokens)
+    first = lambda tag: F.try_element_at(F.filter("_tokens", lambda t: t["tag"] == tag), F.lit(1))["content"]
+    return parsed.withColumns({name: first(tag) for tag, name in fields.items()}).drop("_tokens")
+
+
 def lenient_date(text: Column, form: str = "dd-MM-yyyy") -> Column:
     """A date, or null where the text is none."""
     return F.try_to_timestamp(text, F.lit(form)).cast("date")

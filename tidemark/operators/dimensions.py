@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import business_key
+from tidemark.functions.scalars import business_key, lenient_date, with_markup
 from tidemark.operators.relational import latest
 
 #: Bounds of validity, and key, name and source of the row that facts without a partner point to.
@@ -56,6 +57,50 @@ def with_parent(child: DataFrame, parent: DataFrame, on: Column, columns: dict[s
     return child.join(chosen, on, "left")
 
 
+@dataclass(frozen=True)
+class Parent:
+    """The current version of a dimension that another one points to: its business key, the child's column with that key's id, the
+    columns that the child takes over (name there: name here) and what they are in the child's Unknown row."""
+
+    rows: DataFrame
+    bk: str
+    child: str
+    columns: dict[str, str]
+    unknown: dict[str, object] = field(default_factory=dict)
+
+
+def child_dimension(changes: DataFrame, key: str, attributes: dict[str, Column], parents: list[Parent], surrogate, name: str, open_only: bool = False) -> DataFrame:
+    """A type-2 dimension with keys and labels of any number of parents, and an Unknown row.
+
+    open_only: versions that haven't ended, picked before the parents are joined; they keep their version number and start. Of a
+    parent only its key and the columns taken over are moved; Spark broadcasts those that its size threshold allows.
+    """
+    links = {f"_link_{i}": business_key("source_code", p.child) for i, p in enumerate(parents)}
+    dim = scd2_dimension(changes, key, attributes | links, surrogate, name)
+    dim = open_versions(dim) if open_only else dim
+    unknown: dict[str, object] = {}
+    for i, p in enumerate(parents):
+        dim = with_parent(dim, p.rows, F.col(f"_link_{i}") == F.col(f"_bk_{i}"), {p.bk: f"_bk_{i}", **p.columns}).drop(f"_link_{i}", f"_bk_{i}")
+        unknown |= p.unknown
+    return with_unknown(dim, name, unknown)
+
+
+#: Tags of a person's biography and the columns they become, and English names of the sexes it states.
+PERSON_TAGS = {"sex": "gender", "born": "birth_text", "died": "death_text", "party": "party_name", "partyShortname": "party_short_name"}
+GENDERS = {"Mand": "Male", "Kvinde": "Female"}
+
+
+def person_dimension(changes: DataFrame, types: Parent, surrogate, key: str = "id", biography: str = "biography", attributes: dict[str, Column] | None = None) -> DataFrame:
+    """Persons with what their biography states in tags: gender (as stated, and in English where it is known, else as stated), birth_date
+    and death_date (null where the text is no date), party_name and party_short_name; with their type and an Unknown row."""
+    parsed = with_markup(changes, biography, PERSON_TAGS)
+    english = F.col("gender")
+    for stated, name in GENDERS.items():
+        english = F.when(F.col("gender") == stated, name).otherwise(english)
+    stated = {"biography": F.col(biography), "gender": F.col("gender"), "gender_english": english, "birth_date": lenient_date(F.col("birth_text")), "death_date": lenient_date(F.col("death_text")), "party_name": F.col("party_name"), "party_short_name": F.col("party_short_name")}
+    return child_dimension(parsed, key, (attributes or {}) | stated, [types], surrogate, "person")
+
+
 def open_versions(dim: DataFrame) -> DataFrame:
     """The versions that haven't ended."""
     return dim.filter(F.col("valid_to") == stamp(END))

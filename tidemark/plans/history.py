@@ -155,6 +155,31 @@ def run_table(events: DataFrame) -> DataFrame:
     return g.select("run_id", F.concat(F.lit("job_"), (F.col("user_id") % 10).cast("string")).alias("pipeline_name"), F.when(F.col("bad") == 1, "FAILURE").when(F.col("done") == 1, "SUCCESS").otherwise("STARTED").alias("status"), F.col("first").alias("created_at"), epoch(F.col("first")).alias("start_time"), F.when(F.col("done") == 1, epoch(F.col("last"))).alias("end_time"))
 
 
+def person_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A change log of persons, up to two versions each: every page is one, with a biography in tags before its markup; a seventh
+    has no tags, some dates are none, some types don't exist."""
+    i, s, text = F.col("page_id"), F.col("s"), lambda c: c.cast("string")
+    two = lambda c: F.lpad(text(c), 2, "0")
+    sex = F.when(i % 3 == 0, "Mand").when(i % 3 == 1, "Kvinde").otherwise("Andet")
+    died = F.when(i % 4 == 0, F.concat(F.lit("<died>01-"), two(s), F.lit("-2020</died>"))).otherwise("")
+    tags = F.concat(F.lit("<member><sex>"), sex, F.lit("</sex><born>"), two(i % 33), F.lit("-"), two(i % 14), F.lit("-"), text(1930 + i % 70), F.lit("</born>"), died, F.lit("<party>Party "), text((i + s) % 5), F.lit("</party><partyShortname>P"), text((i + s) % 5), F.lit("</partyShortname></member>"))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html").withColumn("s", F.explode(F.array(F.lit(1), F.lit(2)))).filter((i + s) % 5 != 0)
+    return pages.select(
+        i.alias("id"), (i % 6).alias("type_id"), F.concat(F.lit("G"), text(i % 9)).alias("group_short_name"), F.col("url").alias("full_name"), F.concat(F.when(i % 7 != 0, tags).otherwise(""), "html").alias("biography"),
+        F.lit("2023-01-01").cast("timestamp_ntz").alias("first_seen"), F.concat(F.lit("2024-0"), text(s), F.lit("-01 12:00:00")).cast("timestamp_ntz").alias("valid_from"), F.lit("TPC").alias("source_code"),
+    )
+
+
+PERSONS_SQL = """
+    tagged AS (
+        SELECT page_id AS id, page_id % 6 AS type_id, 'G' || (page_id % 9) AS group_short_name, url AS full_name, TIMESTAMP '2023-01-01' AS first_seen, CAST('2024-0' || s || '-01 12:00:00' AS TIMESTAMP) AS began,
+               CASE WHEN page_id % 7 = 0 THEN '' ELSE '<member><sex>' || ['Mand', 'Kvinde', 'Andet'][page_id % 3 + 1] || '</sex><born>' || lpad(CAST(page_id % 33 AS VARCHAR), 2, '0') || '-' || lpad(CAST(page_id % 14 AS VARCHAR), 2, '0') || '-' || (1930 + page_id % 70) || '</born>'
+               || CASE WHEN page_id % 4 = 0 THEN '<died>01-0' || s || '-2020</died>' ELSE '' END || '<party>Party ' || ((page_id + s) % 5) || '</party><partyShortname>P' || ((page_id + s) % 5) || '</partyShortname></member>' END || html AS biography
+        FROM pages, (SELECT unnest([1, 2]) AS s) WHERE (page_id + s) % 5 <> 0
+    ),
+    persons AS (SELECT *, lead(began) OVER w AS next_from, CAST(row_number() OVER w AS INTEGER) AS version FROM tagged WINDOW w AS (PARTITION BY id ORDER BY began))
+"""
+
 EVENTS_SQL = """
     base AS (SELECT *, CAST(json_extract_string(props, '$.k') AS INTEGER) AS k FROM events WHERE event_type IN ('signup', 'purchase', 'error')),
     log AS (

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import re
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -141,7 +141,3 @@ def read_event_files(spark: SparkSession, path: str, schema: StructType | str, s
     whole = StructType([*fields, StructField("_corrupt_record", StringType())])
     df = spark.read.schema(whole).option("ignoreCorruptFiles", "true").option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record").json(path)
     return df.filter(~F.col("_metadata.file_name").rlike(f"^{skip}$"))
-
-
-def as_of_literal(as_of: dt.date) -> Column:
-    return F.lit(as_of.isoformat()).cast("date")
