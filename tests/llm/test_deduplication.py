@@ -223,6 +223,40 @@ def test_structured_words_differ(spark):
     assert got == {1: 1, 2: 2, 3: 3, 4: 4, 5: 3}
 
 
+#: Two words that have one hash at the points of seed 7.
+CLASH = "mmmmmmmmmmmmmmmmmmmmmmmm", "pklmlolpnplkpjkmnnmomlkn"
+
+
+def clash_rows():
+    one, other = CLASH
+    both = f"p q r s {one} t u v w p q r s {other} t u v w"
+    return [(1, f"{both} y0 y1"), (2, f"{both} z0 z1"), (3, f"{one} a b c d e"), (4, f"{other} a b c d e")]
+
+
+def test_words_made_to_clash_are_told_apart(spark):
+    df = spark.createDataFrame(clash_rows(), "doc_id long, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in nj.ngram_jaccard(df).collect()} == {1: (16, 1), 2: (16, 1), 3: (2, 3), 4: (2, 4)}
+
+
+def test_points_at_which_words_clash_are_drawn_again(spark, monkeypatch):
+    drawn = iter([7, 7, 12345])
+    monkeypatch.setattr(nj, "drawn_points", lambda: next(drawn))
+    df = spark.createDataFrame(clash_rows(), "doc_id long, text string")
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in nj.ngram_jaccard(df).collect()} == {1: (16, 1), 2: (16, 1), 3: (2, 3), 4: (2, 4)}
+    assert next(drawn, None) is None
+
+
+def test_a_link_that_the_words_refute_draws_new_points(spark, monkeypatch):
+    """Texts 3 and 4 have one hash at seed 7 and no clash of their own."""
+    one, other = CLASH
+    shared = " ".join(f"w{i}" for i in range(4))
+    rows = [(1, f"{shared} {one} q"), (2, f"{shared} {other} q")]
+    seen = []
+    monkeypatch.setattr(nj, "drawn_points", lambda: seen.append(1) or (7 if len(seen) == 1 else 99))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in nj.ngram_jaccard(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (2, 1), 2: (2, 2)} == {i: x for i, x in brute_jaccard(rows)[0].items()}
+
+
 def test_components_of_many_tasks(spark, monkeypatch):
     monkeypatch.setattr(common, "EDGES_A_TASK", 3)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100, x) for x in range(101, 120)] + [(7, 7), (300, 200), (200, 300)]

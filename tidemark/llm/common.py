@@ -86,8 +86,9 @@ SAFE_SUM = 1 << 22
 class WordHasher:
     """Hashes of all words of a text buffer from prefix sums; no loop over words.
 
-    A word is a polynomial in its bytes, taken at one secret point of each of two prime fields: two different words of n
-    bytes agree in both with a chance of at most (n / 2 ** 31) ** 2, whatever their structure.
+    A word is a polynomial in its bytes, taken at one point of each of two prime fields. Two different words of n bytes agree
+    at points drawn at random with a chance of at most (n / 2 ** 31) ** 2, whatever their structure; at points that are known
+    (a fixed seed) such words can be made.
     """
 
     def __init__(self, seed: int):

@@ -1,6 +1,7 @@
 """N-gram Jaccard join on size-banded tiles with hashed bitmap signatures.
 
-1. Every text becomes a sorted array of 64-bit shingle hashes. Texts with the same words in the same order (a 128-bit digest of
+1. Every text becomes a sorted array of 64-bit shingle hashes, at points that are drawn anew for every run, so that no text can be
+   made to clash. A run in which two words of a text clash, or the words refute a link, is begun again at other points. Texts with the same words in the same order (a 128-bit digest of
    the words) are one class, under the smallest id.
 2. Two sets that link share a shingle among the first quarter of either, in any one order of all shingles, with enough of both
    sets after it. The order puts shingles of crowded hash cells last (as a rarity order does), then goes by hash. A key is one
@@ -19,6 +20,7 @@
 from __future__ import annotations
 
 import hashlib
+import secrets
 from collections.abc import Iterator
 
 import numpy as np
@@ -37,17 +39,20 @@ BROADCAST_ROWS = 1_000_000
 GROUP_MEMBERS, BLOCK, BLOCK_SHINGLES = 512, 1024, 1 << 20
 #: Leaders of leaders that are followed to name a cluster; few, so that chains of unlike texts stay short.
 LEADERS_UP = 3
-_HASH = WordHasher(7)
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 
-def shingle_sets(texts: pa.Array, k: int = SHINGLE) -> list[np.ndarray]:
-    """Sorted distinct shingle hashes of every text."""
+def hashed_words(texts: pa.Array, hasher: WordHasher) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes, first): text i has the words first[i]..first[i + 1] - 1, A-Z in lower case."""
     buf, offsets = text_buffer(texts)
     buf = _LOWER[buf]
     starts, ends, first = word_bounds(buf, offsets)
-    h = _HASH(buf, starts, ends)
+    return hasher(buf, starts, ends), first
+
+
+def shingles(h: np.ndarray, first: np.ndarray, k: int = SHINGLE) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of every text."""
     runs = rolled(h, k, 0xD6E8FEB86659FD93)
     out = []
     for i, j in zip(first[:-1].tolist(), first[1:].tolist(), strict=True):
@@ -61,6 +66,10 @@ def shingle_sets(texts: pa.Array, k: int = SHINGLE) -> list[np.ndarray]:
     return out
 
 
+def shingle_sets(texts: pa.Array, hasher: WordHasher) -> list[np.ndarray]:
+    return shingles(*hashed_words(texts, hasher))
+
+
 def lowered_words(texts: pa.Array) -> list[list[bytes]]:
     """The words of every text, A-Z in lower case."""
     buf, offsets = text_buffer(texts)
@@ -112,7 +121,7 @@ def linked(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     return 100 * both >= percent * (na + nb - both)
 
 
-def crowded_levels(docs: DataFrame) -> np.ndarray:
+def crowded_levels(docs: DataFrame, hasher: WordHasher) -> np.ndarray:
     """A level for every hash cell of shingles: eight times the binary logarithm of its count.
 
     Every task sums dense counts and sends them in blocks; blocks are added by key. It only orders shingles, so it decides
@@ -124,7 +133,7 @@ def crowded_levels(docs: DataFrame) -> np.ndarray:
         held = np.zeros(1 << CELL_BITS, np.int32)
         for whole in batches:
             for batch in slices(whole, "text"):
-                sets = shingle_sets(batch.column("text"))
+                sets = shingle_sets(batch.column("text"), hasher)
                 if sets:
                     np.add.at(held, (np.concatenate(sets) >> np.uint64(64 - CELL_BITS)).astype(np.int64), 1)
         blocks = [held[i * size : (i + 1) * size] for i in range(CELL_BLOCKS)]
@@ -174,7 +183,7 @@ def may_link(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
     return met.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(test, "a long, b long")
 
 
-def compare(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
+def compare(docs: DataFrame, pairs: DataFrame, percent: int, hasher: WordHasher) -> DataFrame:
     """The pairs (a, b) whose texts link, on the words. Texts of a's members meet a's text; a group of any size is dealt out
     in parts."""
     pairs = staged(pairs, "pairs")
@@ -188,7 +197,7 @@ def compare(docs: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
         for whole in batches:
             for batch in slices(whole, "text"):
                 out, texts = [], batch.column("text")
-                rows = zip(batch.column("a").to_pylist(), batch.column("part").to_pylist(), batch.column("id").to_pylist(), batch.column("lead").to_pylist(), shingle_sets(texts), lowered_words(texts), strict=True)
+                rows = zip(batch.column("a").to_pylist(), batch.column("part").to_pylist(), batch.column("id").to_pylist(), batch.column("lead").to_pylist(), shingle_sets(texts, hasher), lowered_words(texts), strict=True)
                 for a, part, b, lead, s, words in rows:
                     if now != (a, part):
                         now, leaders = (a, part), []
@@ -321,7 +330,7 @@ def tiles(open_rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     return placed, staged(meet.select(F.monotonically_increasing_id().alias("pair"), "block1", "block2"), "meet")
 
 
-def tile_links(base: DataFrame, signs: DataFrame, open_rows: DataFrame, percent: int) -> DataFrame:
+def tile_links(base: DataFrame, signs: DataFrame, open_rows: DataFrame, percent: int, hasher: WordHasher) -> DataFrame:
     """Links (a, b) between classes of different groups that share a key, enough of them to join all that link."""
     placed, meet = tiles(open_rows, percent)
     tasks = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -344,7 +353,7 @@ def tile_links(base: DataFrame, signs: DataFrame, open_rows: DataFrame, percent:
     def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text"):
-                sets = shingle_sets(batch.column("text"))
+                sets = shingle_sets(batch.column("text"), hasher)
                 ends = np.cumsum([0, *map(len, sets)])
                 lists = pa.LargeListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets).view(np.int64))).cast(pa.list_(pa.int64()))
                 yield pa.RecordBatch.from_arrays([batch.column("id"), lists], names=["c", "set"])
@@ -374,14 +383,27 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Returns doc_id, n_shingles long, class_id (smallest id with the same words) and component_id.
     """
     base = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    spark = docs.sparkSession
-    levels = spark.sparkContext.broadcast(crowded_levels(base))
+    while (found := joined_at(base, percent, WordHasher(drawn_points()))) is None:
+        pass
+    names = {"id": id_col, "n": "n_shingles", "class": "class_id", "component": "component_id"}
+    return found.select(*[F.col(c).alias(name) for c, name in names.items()])
+
+
+def drawn_points() -> int:
+    return secrets.randbits(64)
+
+
+def joined_at(base: DataFrame, percent: int, hasher: WordHasher) -> DataFrame | None:
+    """(id, n, class, component) of every row of base (id, text); None if hashes at these points clash."""
+    levels = base.sparkSession.sparkContext.broadcast(crowded_levels(base, hasher))
 
     def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text"):
-                sets, first = shingle_sets(batch.column("text")), []
-                digest = [hashlib.blake2b(b" ".join(w), digest_size=16).digest() for w in lowered_words(batch.column("text"))]
+                h, bounds = hashed_words(batch.column("text"), hasher)
+                words, sets, first = lowered_words(batch.column("text")), shingles(h, bounds), []
+                digest = [hashlib.blake2b(b" ".join(w), digest_size=16).digest() for w in words]
+                clash = [len(set(w)) != len(np.unique(h[i:j])) for w, i, j in zip(words, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
                 signs = [signature(s, signature_bits(len(s))).tobytes() for s in sets]
                 for s in sets:
                     n = len(s)
@@ -392,9 +414,11 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                 sizes = np.fromiter(map(len, first), np.int64, len(first))
                 flat = np.concatenate(first) if first else np.zeros(0, np.int64)
                 lists = pa.LargeListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes)))), pa.array(flat)).cast(pa.list_(pa.int64()))
-                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()), pa.array(signs, pa.binary()), lists], names=["id", "n", "digest", "sign", "first"])
+                yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([len(s) for s in sets], pa.int64()), pa.array(digest, pa.binary()), pa.array(signs, pa.binary()), lists, pa.array(clash, pa.bool_())], names=["id", "n", "digest", "sign", "first", "clash"])
 
-    summary = staged(base.mapInArrow(summarise, "id long, n long, digest binary, sign binary, first array<long>"), "summary")
+    summary = staged(base.mapInArrow(summarise, "id long, n long, digest binary, sign binary, first array<long>, clash boolean"), "summary")
+    if not summary.filter("clash").isEmpty():
+        return None
     known = summary.filter("id is not null and n > 0")
     classes = staged(known.groupBy("digest").agg(F.min("id").alias("class")), "classes")
     kept = known.join(classes.withColumnRenamed("class", "id"), ["id", "digest"], "left_semi")
@@ -413,7 +437,7 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     # one leader a class: the mate that it meets most often
     met = shared.filter("lead <> c").groupBy("c", "lead").agg(F.count("*").alias("times"))
     stars = staged(met.groupBy("c").agg(F.max(F.struct("times", (-F.col("lead")).alias("a")))["a"].alias("a")).select((-F.col("a")).alias("a"), F.col("c").alias("b")), "stars")
-    links = compare(base, may_link(stars, signs, percent), percent)
+    links = compare(base, may_link(stars, signs, percent), percent, hasher)
     joined = staged(components(links), "joined")
     cluster = stars.select(F.col("b").alias("c"), F.least("a", "b").alias("cluster"))
     for _ in range(LEADERS_UP):
@@ -422,9 +446,14 @@ def ngram_jaccard(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     placed = shared.drop("lead").join(about, "c", "left").select("key", "c", "n", "rest", F.coalesce("component", "c").alias("comp"), F.coalesce("cluster", "c").alias("cluster"))
     placed = staged(placed, "placed")
     several = placed.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1").select("key")
-    more = compare(base, tile_links(base, signs, placed.join(several, "key", "left_semi"), percent), percent)
+    # a link between groups stands for others of the two, so it must be one on the words too
+    asked = staged(tile_links(base, signs, placed.join(several, "key", "left_semi"), percent, hasher), "asked")
+    more = compare(base, asked, percent, hasher)
+    if more.count() < asked.count():
+        return None
     found = staged(components(links.union(more)), "found")
 
     out = summary.join(classes, "digest", "left").withColumn("class", F.when(F.col("n") > 0, F.col("class")).otherwise(F.col("id")))
     out = out.join(found.withColumnRenamed("id", "class"), "class", "left")
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.col("class")).alias("class_id"), F.when(F.col("id").isNotNull(), F.coalesce("component", "class")).alias("component_id"))
+    known = F.col("id").isNotNull()
+    return out.select("id", "n", F.when(known, F.col("class")).alias("class"), F.when(known, F.coalesce("component", "class")).alias("component"))
