@@ -64,3 +64,28 @@ def test_what_only_looks_like_a_secret():
 def test_two_tokens_in_two_lines():
     wrapped = base64.b64encode(TOKEN.encode()).decode().rstrip("=")
     assert [k for _, k, _ in ss.confirmed_spans(f"{wrapped}\n{wrapped}\n")] == [5, 5]
+
+
+@pytest.mark.parametrize("code", [lambda d: base64.b64encode(d).decode(), bytes.hex])
+@pytest.mark.parametrize("more", [1, 2, 60, 61])
+def test_a_span_ends_with_the_key(code, more):
+    alone, text = code(RSA).rstrip("="), "k " + code(RSA + b"\xff" * more)
+    (start, k, end), = ss.confirmed_spans(text)
+    assert ss.KINDS[k] in ("key_der", "key_hex") and start == 2 and end - start == len(alone)
+
+
+def test_a_key_inside_a_run_is_found_at_its_own_digits():
+    body = base64.urlsafe_b64encode(RSA).decode().rstrip("=")
+    for before in ("", "A-", "AB_", "ABC-", "ABCD-"):
+        text = f"x {before}{body}-tail"
+        assert [(ss.KINDS[k], text[s:e]) for s, k, e in ss.confirmed_spans(text)] == [("key_der", body)]
+
+
+@pytest.mark.parametrize("line", ["MIIEpAIBAAKCAQEA" + "A" * 48, "MIL/AIBAAIAAgACAAIAAgAC" + "AgACAAIA" * 5, "-ZXlK" * 12, "_LS0tLS1CRUdJTi" * 4, "b3BlbnNzaC1rZXktdjEAAAAABG5vbmU" + "A" * 33, "3082ffff0201000282010100" + "00" * 20])
+def test_hostile_texts_take_linear_time(line):
+    import time
+
+    text = (line + "\n") * (5_000_000 // len(line))
+    began = time.perf_counter()
+    ss.confirmed_spans(text)
+    assert time.perf_counter() - began < 30

@@ -11,6 +11,7 @@ from __future__ import annotations
 import base64
 import json
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -28,7 +29,11 @@ VALUE_CHARS, ACCESS_CHARS = 6, 20
 #: Digits of a run by base64 (either alphabet) or hex, and what may lie between two lines of one.
 DIGITS = {64: re.compile(r"[A-Za-z0-9+/_-]++"), 16: re.compile(r"[0-9A-Fa-f]++")}
 JOINT = re.compile(r"""[\x20\t\r"',;]*+(?:\+[\x20\t\r]*+)?+\n(?:[\x20\t\r\n"',;>|*\#]|\+(?=[\x20\t\r]*+\n))*+""")
+#: The end of a PEM text after its key.
+PEM_END = re.compile(r"\s*+(?:-----END[A-Z0-9\x20]++-----\s?)?")
 ESCAPED, MARK = re.compile(r"(?<!\\)\\++[nrt]"), re.compile(r"-----[A-Z0-9\x20]++-----")
+#: No key or algorithm has more items than this at one level.
+MOST_PARTS = 16
 #: How a DER sequence (0x30), an OpenSSH key, a signed token and a PEM mark begin in base64 and in hex.
 MAGIC = b"openssh-key-v1\0"
 START = {
@@ -67,39 +72,43 @@ def der_item(data: bytes, at: int, end: int) -> tuple[int, int, int] | None:
     return (tag, at, at + n) if at + n <= end else None
 
 
-def der_items(data: bytes, at: int, end: int) -> list[tuple[int, int, int]] | None:
-    """The items that fill at..end exactly, or None."""
+def der_items(data: bytes, at: int, end: int, most: int) -> list[tuple[int, int, int]] | None:
+    """The items that fill at..end exactly; None if they don't or are more than `most`."""
     out = []
     while at < end:
         item = der_item(data, at, end)
-        if item is None:
+        if item is None or len(out) == most:
             return None
         out.append(item)
         at = item[2]
     return out
 
 
-def is_key(data: bytes) -> bool:
-    """A DER sequence in the shape of a private key: RSA or DSA integers, an EC key, or an algorithm with a wrapped key."""
-    top = der_item(data, 0, len(data))
+def is_key(data: bytes, at: int = 0, end: int | None = None) -> int | None:
+    """Where a private key that begins at `at` ends; None unless a DER sequence there has the shape of one: RSA (nine integers,
+    perhaps with further primes) or DSA (six), an EC key, or an algorithm with a wrapped key."""
+    top = der_item(data, at, len(data) if end is None else end)
     if top is None or top[0] != 0x30:
-        return False
-    parts = der_items(data, top[1], top[2])
+        return None
+    parts = der_items(data, top[1], top[2], MOST_PARTS)
     if not parts:
-        return False
+        return None
     tags = [p[0] for p in parts]
+
+    def algorithm(part: tuple[int, int, int]) -> bool:
+        inner = der_items(data, part[1], part[2], MOST_PARTS)
+        return bool(inner) and inner[0][0] == 0x06
+
+    fits = False
     if tags[0] == 0x02 and parts[0][2] - parts[0][1] == 1:  # the version
-        if len(tags) >= 6 and all(t == 0x02 for t in tags):
-            return True
-        if tags[1:2] == [0x04] and parts[1][2] - parts[1][1] >= 16 and all(t in (0xA0, 0xA1) for t in tags[2:]):
-            return True
-        if tags[1:3] == [0x30, 0x04]:
-            algorithm = der_items(data, parts[1][1], parts[1][2])
-            return bool(algorithm) and algorithm[0][0] == 0x06
-    if tags == [0x30, 0x04]:  # an encrypted key
-        algorithm = der_items(data, parts[0][1], parts[0][2])
-        return bool(algorithm) and algorithm[0][0] == 0x06
-    return False
+        fits = tags in ([0x02] * 6, [0x02] * 9, [0x02] * 9 + [0x30])
+        if tags[1:2] == [0x04]:
+            fits = parts[1][2] - parts[1][1] >= 16 and all(t in (0xA0, 0xA1) for t in tags[2:])
+        elif tags[1:3] == [0x30, 0x04]:
+            fits = algorithm(parts[1])
+    elif tags == [0x30, 0x04]:  # an encrypted key
+        fits = algorithm(parts[0])
+    return top[2] if fits else None
 
 
 def is_signed_token(header: str) -> bool:
@@ -111,27 +120,39 @@ def is_signed_token(header: str) -> bool:
     return isinstance(found, dict) and isinstance(found.get("alg"), str)
 
 
-def openssh_end(data: bytes) -> int | None:
-    """Where an OpenSSH private key ends: names of cipher and derivation, options, public keys and the private part, each
-    after its length. None unless all lengths fit."""
-    if not data.startswith(MAGIC):
+def openssh_end(data: bytes, at: int = 0, end: int | None = None) -> int | None:
+    """Where an OpenSSH private key that begins at `at` ends: names of cipher and derivation, options, public keys and the private
+    part, each after its length. None unless all lengths fit."""
+    end = len(data) if end is None else end
+    if not data.startswith(MAGIC, at):
         return None
-    at, left = len(MAGIC), 3
-    fields = []
-    while left:
+    fields: list[tuple[int, int]] = []
+
+    def field(at: int) -> int | None:
         size = int.from_bytes(data[at : at + 4], "big")
-        if at + 4 + size > len(data):
+        if at + 4 + size > end:
             return None
-        fields.append(data[at + 4 : at + 4 + size])
-        at, left = at + 4 + size, left - 1
-        if len(fields) == 3:
-            left = int.from_bytes(data[at : at + 4], "big") + 1
-            at += 4
-            if left < 2 or 4 * left > len(data) - at:
-                return None
-    named = all(re.fullmatch(rb"[\x21-\x7E]+", x) for x in fields[:2])
-    typed = all(0 < int.from_bytes(x[:4], "big") <= len(x) - 4 for x in fields[3:-1])
-    return at if named and typed and fields[-1] else None
+        fields.append((at + 4, at + 4 + size))
+        return at + 4 + size
+
+    at += len(MAGIC)
+    for _ in range(3):
+        if (at := field(at)) is None:
+            return None
+        if len(fields) < 3 and not re.compile(rb"[\x21-\x7E]+").fullmatch(data, *fields[-1]):
+            return None
+    keys = int.from_bytes(data[at : at + 4], "big")
+    at += 4
+    if keys < 1 or 4 * (keys + 1) > end - at:
+        return None
+    for _ in range(keys):
+        if (at := field(at)) is None:
+            return None
+        start, stop = fields[-1]
+        if not 0 < int.from_bytes(data[start : start + 4], "big") <= stop - start - 4:
+            return None
+    at = field(at)
+    return at if at is not None and fields[-1][0] < fields[-1][1] else None
 
 
 def decoded(digits: str, base: int) -> bytes:
@@ -142,63 +163,105 @@ def decoded(digits: str, base: int) -> bytes:
     return base64.b64decode(digits.replace("-", "+").replace("_", "/") + "=" * (-len(digits) % 4))
 
 
-def pieces(text: str, at: int, base: int, need: int | None, start: str) -> list[tuple[int, int]]:
-    """Bounds of the lines of a run from `at` on: as many as hold `need` digits, or, without such a number, all up to one
-    that begins with `start`."""
-    out, have = [], 0
-    while m := DIGITS[base].match(text, at):
-        if out and need is None and m[0].startswith(start):
-            break
-        out.append(m.span())
-        have += m.end() - m.start()
-        gap = JOINT.match(text, m.end())
-        if (need is not None and have >= need) or not gap:
-            break
-        at = gap.end()
-    return out
+class Run:
+    """The lines of digits from one place of a text on, as far as joints connect them. What they decode to is kept for each of the few
+    offsets that a candidate in it can have, so a run is decoded no more often than that, however many candidates it holds."""
 
+    def __init__(self, text: str, at: int, base: int):
+        self.base, self.lines, self.before = base, [], [0]
+        while m := DIGITS[base].match(text, at):
+            self.lines.append(m.span())
+            self.before.append(self.before[-1] + m.end() - m.start())
+            gap = JOINT.match(text, m.end())
+            if not gap:
+                break
+            at = gap.end()
+        self.starts = [s for s, _ in self.lines]
+        self.end = self.lines[-1][1]
+        self.digits = "".join(text[s:e] for s, e in self.lines)
+        self._bytes: dict[int, bytes] = {}
+        self._inner: dict[int, tuple[str, list[tuple[int, int, int]]]] = {}
+        self._openings: dict[str, list[int]] = {}
+
+    def digit(self, place: int) -> int:
+        """The number of the digit at a place of the text."""
+        i = bisect_right(self.starts, place) - 1
+        return self.before[i] + place - self.starts[i]
+
+    def place_after(self, digits: int) -> int:
+        """The place behind so many digits."""
+        i = bisect_right(self.before, digits - 1) - 1
+        return self.starts[i] + digits - self.before[i]
+
+    def bytes_from(self, digit: int) -> tuple[bytes, int]:
+        """(bytes, place among them) at a digit."""
+        shift = digit % (4 if self.base == 64 else 2)
+        if shift not in self._bytes:
+            self._bytes[shift] = decoded(self.digits[shift:], self.base)
+        return self._bytes[shift], (digit - shift) * 3 // 4 if self.base == 64 else (digit - shift) // 2
+
+    def text_from(self, digit: int) -> tuple[str, int, list[tuple[int, int, int]]]:
+        """(text, place in it, spans confirmed in all of it) at a digit, a character a byte."""
+        data, at = self.bytes_from(digit)
+        shift = digit % (4 if self.base == 64 else 2)
+        if shift not in self._inner:
+            inner = data.decode("latin-1")
+            self._inner[shift] = (inner, sorted(confirmed_spans(inner, True)) if "-----B" in inner else [])
+        return self._inner[shift][0], at, self._inner[shift][1]
 
-def encoded_spans(text: str, base: int, nested: bool) -> list[tuple[int, int, int]]:
-    """Spans of keys in base64 or hex and, unless this is such a text already, of tokens and PEM texts in it."""
-    out, past = [], 0
+    def next_like(self, digit: int, opening: str) -> int:
+        """The digit at which a later line begins with `opening`; the number of digits if none does."""
+        if opening not in self._openings:
+            self._openings[opening] = [b for b in self.before[:-1] if self.digits.startswith(opening, b)]
+        found = self._openings[opening]
+        i = bisect_right(found, digit)
+        return found[i] if i < len(found) else len(self.digits)
 
-    def digits_of(count: int) -> int:
-        return 2 * count if base == 16 else -(-4 * count // 3)
 
+def encoded_spans(text: str, base: int, nested: bool) -> list[tuple[int, int, int]]:
+    """Spans of keys in base64 or hex and, unless this is such a text already, of tokens and PEM texts in it.
+
+    A span ends with the last digit (and padding) of the key, token or PEM text itself, whatever follows it in the run.
+    """
+    out, past, run = [], 0, None
+    each = 4 if base == 16 else 6  # bits of a digit
     for m in START[base].finditer(text):
         if m.start() < past:
             continue
-        need = None
-        if m[1]:
+        if m[1]:  # the length that it claims, before anything is read
             head = decoded(m[0], base)
             # a short length, or one of so many bytes; what follows it, if it is here, is a version or a sequence
             skip = 2 + (head[1] & 0x7F if head[1] >= 0x80 else 0)
             if not 2 <= skip <= 6 or head[1] == 0x80 or head[skip : skip + 1] not in (b"", b"\x02", b"\x30"):
                 continue
-            need = digits_of(skip + (int.from_bytes(head[2:skip], "big") if skip > 2 else head[1]))
-            if need > len(text) - m.start():
+            need = skip + (int.from_bytes(head[2:skip], "big") if skip > 2 else head[1])
+            if -(-8 * need // each) > len(text) - m.start():
                 continue
-        lines = pieces(text, m.start(), base, need, m[0])
-        data, kind, count = decoded("".join(text[s:e] for s, e in lines), base), None, None
+        if run is None or m.start() >= run.end:
+            run = Run(text, m.start(), base)
+        first = run.digit(m.start())
+        last = len(run.digits) if m[1] else run.next_like(first, m[0])
+        data, at = run.bytes_from(first)
+        end = min(len(data), at + (last - first) * each // 8)
+        kind = stop = None
         if m[1]:
-            kind, count = (3 if base == 64 else 4) if is_key(data) else None, need
-        elif data.startswith(MAGIC[:-1]):
-            end = openssh_end(data)
-            kind, count = (None, None) if end is None else (6, digits_of(end))
+            kind, stop = 3 if base == 64 else 4, is_key(data, at, end)
+        elif data.startswith(MAGIC[:-1], at):
+            kind, stop = 6, openssh_end(data, at, end)
         elif not nested:
-            inner = data.decode("latin-1")
-            token = SIGNED.match(inner)
+            inner, at, found = run.text_from(first)
+            token = SIGNED.match(inner, at, end)
             if token:
-                kind, count = (5 if is_signed_token(token[1]) else None), digits_of(token.end())
-            elif inner.startswith("-----B"):
-                found = confirmed_spans(inner, True)
-                kind, count = (found[0][1], digits_of(len(inner))) if found else (None, None)
-        if kind is None:
+                kind, stop = 5, token.end() if is_signed_token(token[1]) else None
+            elif inner.startswith("-----B", at):
+                i = bisect_right(found, (at, -1, -1))
+                again = inner.find("-----B", at + 1, end)
+                if i < len(found) and found[i][2] <= (end if again < 0 else again):
+                    close = PEM_END.match(inner, found[i][2], end)
+                    kind, stop = found[i][1], close.end() if close else found[i][2]
+        if stop is None:
             continue
-        for s, e in lines:
-            past, count = e, count - (e - s)
-            if count <= 0:
-                break
+        past = run.place_after(first + -(-8 * (stop - at) // each))
         while base == 64 and text[past : past + 1] == "=":
             past += 1
         out.append((m.start(), kind, past))
@@ -237,7 +300,8 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
     docs: any table with id_col (any type, null allowed) and text_col; other columns are ignored, whatever their names. A
     null text counts as empty and has no spans. Repeated rows each give a row; an empty table gives none. Long texts are
-    scanned whole, in time linear in their length, but for texts with many lines that each claim to begin a long key.
+    scanned whole, in time linear in their length. A key is confirmed if its own nested lengths fit; bytes that follow it in the
+    same run aren't part of its span.
 
     Returns id_col, spans array<struct<kind, start, end>> (code points, end exclusive; by start, then kind as listed in
     KINDS) and base array of the same type without the confirmed kinds.
