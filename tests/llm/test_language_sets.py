@@ -47,3 +47,34 @@ def test_every_language_pays_its_penalty(made_up):
     model, text = made_up
     fitted, texts = model(["far", "kin", "main"]), [text({"main": 0.7, "far": 0.3}, 350) for _ in range(20)]
     assert all(set(s) == {"main", "far"} for s in fitted.infer(texts)[2])
+
+
+@pytest.mark.parametrize("share", [0.05, 0.1])
+def test_a_relative_that_is_there_is_found(made_up, share):
+    model, text = made_up
+    fitted = model(["far", "kin", "main"])
+    sets = fitted.infer([text({"main": 1 - share, "kin": share}, 1000) for _ in range(30)])[2]
+    assert sum(set(s) == {"main", "kin"} for s in sets) >= 28
+
+
+def plain_em(p, n, rounds=20_000):
+    """Proportions after so many steps of expectation-maximisation, cell by cell."""
+    pi = np.full(p.shape[1], 1 / p.shape[1])
+    for _ in range(rounds):
+        pi = (n[:, None] * p * pi / (p @ pi)[:, None]).sum(0) / n.sum()
+    return pi, float((n * np.log(p @ pi)).sum())
+
+
+def test_climbing_reaches_what_plain_estimation_does(made_up):
+    model, text = made_up
+    fitted = model(["far", "kin", "main"])
+    texts = [text({"main": 0.9, "kin": 0.1}, 300), text({"main": 1.0}, 50), text({"far": 0.3, "kin": 0.7}, 400), "ab", text({"main": 0.02, "far": 0.98}, 500)]
+    cells = [np.unique(li.trigram_cells(t), return_counts=True) for t in texts]
+    p, n, size = np.concatenate([fitted.p[c] for c, _ in cells]), np.concatenate([k for _, k in cells]).astype(float), np.array([len(c) for c, _ in cells])
+    start = np.full((len(texts), 3), 1 / 3)
+    pi, value = fitted.climb(p, n, size, start, np.full(len(texts), 1e-4), np.full(len(texts), -np.inf))
+    for i, (c, k) in enumerate(cells):
+        want, most = plain_em(fitted.p[c], k.astype(float))
+        assert most - 1e-3 <= value[i] <= most + 1e-3 and np.abs(pi[i] - want).max() < 0.02
+    low = fitted.climb(p, n, size, start, np.full(len(texts), 1e-4), value + 1)[1]
+    assert (low <= value + 1e-3).all()  # refused early, never above the greatest

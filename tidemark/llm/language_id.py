@@ -3,7 +3,8 @@
 A language is a distribution over hashed letter trigrams, counted over all learning rows. A document is a mixture of
 languages: expectation-maximisation estimates its proportions, and a penalised likelihood (half a log of the number of its
 trigrams for each further language) selects the set of languages, grown from the best single one: each step takes the
-language that adds most, of all that are learned, until none adds more than its penalty.
+language that adds most, of all that are learned, until none adds more than its penalty. What a language adds is measured where
+the estimation has converged, or is proven to be too little before.
 """
 
 from __future__ import annotations
@@ -17,13 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import mix, slices
+from tidemark.llm.common import SLICE_BYTES, mix, slices
 
 #: Hash cells of the trigrams. A language model is one row of so many counts, so the model's size is cells x languages.
 CELLS = 1 << 14
 #: More languages than this are refused: the model that is sent to the tasks stays below 64 MB.
 MOST_LANGUAGES = 512
 UND = "und"
+#: A likelihood counts as the greatest when it is this near, in penalties; and text that is worked on at a time, in bytes x languages.
+CLOSE, WORK = 0.01, 1 << 21
 #: Documents whose keys are sorted together (keys fit 31 bits).
 MOST_SORTED = (1 << 31) // CELLS - 1
 _LETTER: np.ndarray | None = None
@@ -93,21 +96,51 @@ class MixtureModel:
         share = (counts + 0.5) / (counts.sum(0) + 0.5 * CELLS)
         return cls([r.lang for r in rows], np.log(share))
 
-    def _em(self, p: np.ndarray, n: np.ndarray, first: np.ndarray, doc: np.ndarray, pi: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-        """Proportions (documents x columns of p) from a start pi and log-likelihoods, for all documents side by side."""
-        total = np.maximum(np.add.reduceat(n, first), 1)[:, None]
-        for _ in range(rounds):
-            part = p * pi[doc]
-            part *= (n / np.maximum(part.sum(1), 1e-300))[:, None]
-            pi = np.add.reduceat(part, first, axis=0) / total
-        mass = np.maximum((p * pi[doc]).sum(1), 1e-300)
-        return pi, np.add.reduceat(n * np.log(mass), first)
-
-    def infer(self, texts: list[str | None], rounds: int = 12) -> tuple[list[str], list[float], list[dict[str, float]]]:
+    @staticmethod
+    def climb(p: np.ndarray, n: np.ndarray, size: np.ndarray, pi: np.ndarray, enough: np.ndarray, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Proportions (documents x columns of p) from a start pi, and log-likelihoods, for all documents side by side.
+
+        Each document's expectation-maximisation, with squared extrapolation over two steps, goes on until its likelihood is
+        proven to be within `enough` of the greatest there is, or the greatest proven not to be above `floor`. The
+        likelihood is concave, so it can't rise by more than the steepest slope from here to a single language.
+        """
+        out, value = pi.copy(), np.full(len(pi), -np.inf)
+        live = np.arange(len(pi))
+        first, doc = np.cumsum(size) - size, np.repeat(np.arange(len(pi)), size)
+        total = np.add.reduceat(n, first)
+
+        def look(pi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            mass = np.maximum(np.einsum("ij,ij->i", p, pi[doc]), 1e-300)
+            return np.add.reduceat(n * np.log(mass), first), np.add.reduceat(p * (n / mass)[:, None], first, axis=0)
+
+        while len(live):
+            like, slope = look(pi)
+            gap = slope.max(1) - total
+            better = like > value[live]
+            value[live[better]], out[live[better]] = like[better], pi[better]
+            # 1e-12: what adding up so many logarithms may round
+            done = (gap <= np.maximum(enough[live], 1e-12 * np.abs(like))) | (like + gap <= floor[live])
+            if done.any():
+                left, rows = ~done, ~done[doc]
+                live, pi, slope, total, p, n, size = live[left], pi[left], slope[left], total[left], p[rows], n[rows], size[left]
+                first, doc = np.cumsum(size) - size, np.repeat(np.arange(len(live)), size)
+                if not len(live):
+                    break
+            one = pi * slope / total[:, None]
+            base, slope = look(one)
+            two = one * slope / total[:, None]
+            step, bend = one - pi, two - one - (one - pi)
+            length = np.sqrt((step**2).sum(1) / np.maximum((bend**2).sum(1), 1e-300))[:, None]
+            far = np.maximum(pi + 2 * np.maximum(length, 1) * step + np.maximum(length, 1) ** 2 * bend, 1e-9)
+            far /= far.sum(1, keepdims=True)
+            pi = np.where((look(far)[0] >= base)[:, None], far, two)
+        return out, value
+
+    def infer(self, texts: list[str | None]) -> tuple[list[str], list[float], list[dict[str, float]]]:
         """(language with the largest share, that share, shares of the selected set) of each text."""
-        return self.infer_fit(texts, rounds)[:3]
+        return self.infer_fit(texts)[:3]
 
-    def infer_fit(self, texts: list[str | None], rounds: int = 12) -> tuple[list[str], list[float], list[dict[str, float]], list[float]]:
+    def infer_fit(self, texts: list[str | None]) -> tuple[list[str], list[float], list[dict[str, float]], list[float]]:
         """What infer gives, and the fit of each text: by how much the mean log-likelihood of its trigrams under the selected
         set is above that under no language, where all cells are equally likely; 0 where there is nothing to fit."""
         cells = [trigram_cells(t) if t else np.zeros(0, np.int64) for t in texts]
@@ -145,8 +178,9 @@ class MixtureModel:
                 keep = (most[:, lang] > penalty[live])[at]
                 sizes = size[live[sub]]
                 begin = np.hstack([now[sub] * (1 - 1 / grown.shape[1]), np.full((len(sub), 1), 1 / grown.shape[1])])
-                new, value = self._em(np.hstack([mine[keep], q[keep, lang : lang + 1]]), m[keep], np.cumsum(sizes) - sizes, np.repeat(np.arange(len(sub)), sizes), begin, rounds)
-                more = value - penalty[live[sub]] - like[live[sub]]
+                dues = penalty[live[sub]]
+                new, value = self.climb(np.hstack([mine[keep], q[keep, lang : lang + 1]]), m[keep], sizes, begin, CLOSE * dues, like[live[sub]] + dues + gain[sub])
+                more = value - dues - like[live[sub]]
                 up = more > gain[sub]
                 added[sub[up]], gain[sub[up]], grown[sub[up]] = lang, more[up], new[up]
             won = np.flatnonzero(added >= 0)
@@ -185,7 +219,7 @@ def language_id(docs: DataFrame, model: MixtureModel, text_col: str = "text", ou
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in slices(whole, "text"):
+            for batch in slices(whole, "text", max(1, min(SLICE_BYTES, WORK // max(1, len(sent.value.langs))))):
                 names, scores, sets, fits = sent.value.infer_fit(batch.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("rest"), pa.array(names), pa.array(scores, pa.float64()), pa.array([list(s.items()) for s in sets], pa.map_(pa.string(), pa.float64())), pa.array(fits, pa.float64())],
