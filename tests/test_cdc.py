@@ -123,3 +123,15 @@ def test_row_hash_tells_null_from_text_and_skips_the_key(spark):
     got = [r[0] for r in df.select(row_hash(df, ["id"])).collect()]
     assert len(set(got)) == 2  # the stand-in text itself is the one text that equals null
     assert got[0] == got[1] != got[2]
+
+
+def test_latest_thins_rows_before_the_shuffle_and_breaks_ties_by_value(spark, tmp_path):
+    from tidemark.operators.relational import latest
+
+    spark.createDataFrame([(i % 5, i % 7, f"v{i}", {"k": i}) for i in range(200)], "k int, o int, v string, m map<string,int>").write.parquet(f"{tmp_path}/t")
+    df = spark.read.parquet(f"{tmp_path}/t")
+    out = latest(df, ["k"], ["o"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and plan.count("WindowGroupLimit") == 2 and plan.count("Exchange") == 1
+    rows = [(i % 5, i % 7, f"v{i}") for i in range(200)]
+    assert sorted((r.k, r.o, r.v) for r in out.collect()) == sorted(max(r for r in rows if r[0] == k) for k in range(5))

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import cdc
-from tidemark.operators.incremental import ChangeTable
+from tidemark.operators.incremental import ChangeTable, daily, extract_jdbc
 from tidemark.plans import history as h
 from tidemark.plans import queries
 from tidemark.registry import Entity
@@ -200,3 +200,62 @@ def test_jdbc_read_is_cut_in_ranges_and_filtered_by_the_database(spark, data):
     whole = extractions.read_jdbc_incremental(spark, url, "t", rows_a_task=50, range_col="id")
     assert whole.count() == len(rows)
     assert extractions.read_jdbc_incremental(spark, url, "t", "changed", "2030-01-01", "id").count() == 0
+
+
+def test_exports_read_only_what_may_be_new(spark, tmp_path, monkeypatch):
+    (tmp_path / "in").mkdir()
+    glob, table, target = f"{tmp_path}/in/thing_*.json*", ChangeTable(THING, f"file://{tmp_path}/silver"), f"file://{tmp_path}/gold/thing"
+    counts = []
+    for m in range(1, 5):
+        land(tmp_path / "in", f"thing_2024{m:02d}01_120000.json", [(k, str(m), "2024-01-01T00:00:00") for k in range(5)])
+        table.run(spark, glob, now())
+        if m == 3:  # lost between the rows and the mark
+            with monkeypatch.context() as patch:
+                patch.setattr(sinks, "write_state", lambda *a, **k: 1 / 0)
+                with pytest.raises(ZeroDivisionError):
+                    table.export(spark, target)
+        counts.append(table.export(spark, target))
+    assert counts == [5, 5, 0, 5] and table.export(spark, target) == 0
+    assert shown(sinks.read_table(spark, target)) == shown(table.changes(spark))
+
+
+def test_a_day_of_several_entities(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    land(tmp_path / "in", "thing_20240101_120000.json", [(1, "a", "2024-01-01T00:00:00"), (2, "b", "2024-01-01T00:00:00")])
+    (tmp_path / "in" / "bad_20240101_120000.json").write_text("{}\n")
+    good, bad = f"{tmp_path}/in/thing_*.json*", f"{tmp_path}/in/bad_*.json*"
+    out, gold = f"file://{tmp_path}/silver", f"file://{tmp_path}/gold"
+    appended, broken = daily(spark, {THING: good}, out, gold, now())
+    assert appended == {"thing": 2} and broken.collect() == []
+    wrong = Entity("bad", "S", "nosuchkey", False, None, "id long")
+    with pytest.raises(RuntimeError, match="bad: "):
+        daily(spark, {wrong: bad, THING: good}, out, gold, now())
+    logs = spark.read.json(f"{tmp_path}/silver/runs/*")
+    assert sorted((r.level, r.pipeline_type) for r in logs.collect()) == [("ERROR", "changes"), ("INFO", "changes"), ("INFO", "changes"), ("INFO", "export"), ("INFO", "export")]
+    spoiled = ChangeTable(THING, f"{out}/thing")
+    spoiled.changes(spark).limit(1).withColumn("op", F.lit("X")).write.mode("append").partitionBy("src_file").parquet(spoiled.log)
+    assert sorted(r.rule for r in spoiled.violations(spark).collect()) == ["id, valid_from unique", "op accepted"]
+
+
+def test_an_entity_without_rows(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    land(tmp_path / "in", "thing_20240101_120000.json", [])
+    appended, broken = daily(spark, {THING: f"{tmp_path}/in/thing_*.json*"}, f"file://{tmp_path}/silver", f"file://{tmp_path}/gold", now())
+    assert appended == {"thing": 0} and broken.collect() == []
+    land(tmp_path / "in", "thing_20240201_120000.json", [(1, "a", "2024-01-01T00:00:00")])
+    assert daily(spark, {THING: f"{tmp_path}/in/thing_*.json*"}, f"file://{tmp_path}/silver", f"file://{tmp_path}/gold", now())[0] == {"thing": 1}
+    assert sinks.read_table(spark, f"file://{tmp_path}/gold/thing").count() == 1
+
+
+def test_from_a_database_to_a_change_log(spark, tmp_path):
+    url = h.embedded_database(spark)
+    entity = Entity("parts", "S", "id", True, "day", SCHEMA, ("day",))
+    rows = [(i, f"v{i}", dt.datetime(2024, 1, 1) + dt.timedelta(days=i)) for i in range(60)]
+    spark.createDataFrame(rows, SCHEMA).write.format("jdbc").options(url=url, dbtable="parts", createTableColumnTypes="v VARCHAR(20)").save()
+    folder, table = f"file://{tmp_path}/in", ChangeTable(entity, f"file://{tmp_path}/silver")
+    extract_jdbc(spark, url, entity, folder, dt.datetime(2024, 2, 1, 12), date="2024-01-01", range_col="id", preferTimestampNTZ="true")
+    extract_jdbc(spark, url, entity, folder, dt.datetime(2024, 3, 1, 12), preferTimestampNTZ="true")  # 31 days back
+    run = table.run(spark, f"{folder}/parts/parts_*.json*", now())
+    assert run.read == ["parts_20240201_120000.json", "parts_20240301_120000.json"] and run.appended == 60
+    second = spark.read.schema(SCHEMA).json(f"{folder}/parts/parts_20240301_120000.json")
+    assert sorted(r.id for r in second.collect()) == list(range(30, 60))

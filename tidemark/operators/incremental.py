@@ -8,18 +8,24 @@ appended already is found again and not appended twice.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.operators import cdc
-from tidemark.registry import Entity
+from tidemark.operators import cdc, quality
+from tidemark.registry import LOOKBACK_DAYS, Entity
 from tidemark.sources import sinks
-from tidemark.sources.extractions import list_paths, read_extractions, timeline
+from tidemark.sources.extractions import list_paths, lookback_start, read_extractions, read_jdbc_incremental, timeline
 
 MARK = "src_file string, previous_file string, state_path string"
+VIOLATIONS = "table_name string, rule string, key string, value string, n_rows long"
+#: Days that an extraction of changed rows looks back where its source has no number of its own.
+LOOKBACK = 31
 
 
 @dataclass(frozen=True)
@@ -90,3 +96,64 @@ class ChangeTable:
             known = names[-2]
         sinks.write_state(spark.createDataFrame([(names[-1], known, state)], MARK), self.bookmarks)
         return Run(names, appended, names[-1])
+
+    def export(self, spark: SparkSession, target: str) -> int:
+        """Appends to a table elsewhere what it lacks of this log; returns the number of rows.
+
+        Only the log's partitions from the newest of the last export on are read, here and there: that one may have grown. The mark
+        of the last export is written after the rows, so a crash in between repeats none.
+        """
+        if not sinks.exists(spark, self.log):
+            return 0
+        marks = f"{self.folder}/exports/{uuid.uuid5(uuid.NAMESPACE_URL, target).hex}"
+        mark = sinks.read_state(spark, marks)
+        rows = self.changes(spark)
+        if mark:
+            rows = rows.filter(F.col("src_file") >= mark.src_file)
+        newest = rows.agg(F.max("src_file")).first()[0]
+        if newest is None:
+            return 0
+        if sinks.exists(spark, target):
+            there = sinks.read_table(spark, target)
+            rows = sinks.new_versions(rows, there.filter(F.col("src_file") >= mark.src_file) if mark else there, [self.entity.key])
+        exported = sinks.append_rows(rows, target, partition_by=("src_file",))
+        sinks.write_state(spark.createDataFrame([(newest,)], "src_file string"), marks)
+        return exported
+
+    def violations(self, spark: SparkSession) -> DataFrame:
+        """What breaks the rules of every change log: table_name, and quality.violations."""
+        key = self.entity.key
+        if not sinks.exists(spark, self.log):  # nothing has ever changed
+            return spark.createDataFrame([], VIOLATIONS)
+        rows = self.changes(spark)
+        rules = [
+            quality.must_not_be_null(key), quality.must_not_be_null("valid_from"), quality.must_be_among("op", ["I", "U", "D"]), quality.must_have_length("row_hash", 64), quality.must_be_unique(key, "valid_from"),
+        ]
+        return quality.violations(rows, [key, "valid_from"], rules).select(F.lit(self.entity.name).alias("table_name"), "*")
+
+
+def extract_jdbc(spark: SparkSession, url: str, entity: Entity, folder: str, at: dt.datetime, date: str | None = None, table: str | None = None, **options: str) -> str:
+    """Reads an entity's table from a database and lands it as one extraction; returns its path. An entity of changed rows is read
+    from a date on: the one given, else so many days before `at` as its source looks back; others are read whole."""
+    since = lookback_start(at.date(), LOOKBACK_DAYS.get(entity.source, LOOKBACK), date).isoformat() if entity.delta and entity.date_col else None
+    rows = read_jdbc_incremental(spark, url, table or entity.name, entity.date_col if since else None, since, **options)
+    return sinks.land_snapshot(rows, folder, entity.name, at)
+
+
+def daily(spark: SparkSession, extractions: Mapping[Entity, str], folder: str, exports: str, loaded_at: Column, at_once: int = 4) -> tuple[dict[str, int], DataFrame]:
+    """A day's run over many entities (entity: glob of its extractions), `at_once` side by side: changes, then their export.
+
+    Every step of every entity leaves a record in folder/runs/<entity>; all are tried, and failures are raised together at the end.
+    Returns the number of rows that each entity appended, and what breaks the rules of the logs.
+    """
+    tables = {e.name: ChangeTable(e, f"{folder}/{e.name}") for e in extractions}
+
+    def step(e: Entity) -> int:
+        log, table = f"{folder}/runs/{e.name}", tables[e.name]
+        params = {"entity": e.name, "extractions": extractions[e]}
+        done = sinks.append_run_log(spark, log, "changes", params, lambda: table.run(spark, extractions[e], loaded_at))
+        sinks.append_run_log(spark, log, "export", params, lambda: table.export(spark, f"{exports}/{e.name}"))
+        return done.appended
+
+    appended = sinks.export_all(spark, {e.name: (lambda e=e: step(e)) for e in extractions}, at_once)
+    return appended, reduce(DataFrame.unionByName, [t.violations(spark) for t in tables.values()])

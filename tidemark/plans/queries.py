@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import business_key, entity_file_name, iso_text, lenient_date, markup_field, portable_key, redacted, row_hash, translated
 from tidemark.operators import cdc, dimensions, facts, observability, quality, relational
-from tidemark.operators.incremental import ChangeTable
+from tidemark.operators.incremental import ChangeTable, daily
 from tidemark.plans import history as h
 from tidemark.plans.history import AS_OF, CHANGES_SQL, DELTAS_SQL, EVENTS_SQL, LOADED_AT, SNAPSHOTS_SQL, key_sql, loaded_at, table
 from tidemark.registry import Entity
@@ -287,6 +287,33 @@ def incremental_delta_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table.changes(spark).select(*[c.strip() for c in CHANGE.split(",")])
 
 
+CUSTOMERS = Entity("customers", "TPC", "c_custkey", True, None, "c_custkey long, c_name string, c_mktsegment string", ("source_code",))
+
+
+@query(
+    f"""WITH {CHANGES_SQL}
+    SELECT 'orders' AS table_name, src_file, op, count(*) AS n_rows FROM changes GROUP BY src_file, op
+    UNION ALL SELECT 'customers', 'customers_20240101_120000.json', 'I', count(*) FROM customer
+    UNION ALL SELECT 'customers', 'customers_20240201_120000.json', 'U', count(*) FROM customer WHERE c_custkey % 6 = 0 HAVING count(*) > 0"""
+)
+def daily_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Three days of two entities, one of whole and one of changed extractions: changes and exports side by side, with run logs and
+    checks; what the exported tables hold in the end."""
+    folder = h.scratch(spark)
+    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    moved = customers.filter("c_custkey % 3 = 0").withColumn("c_mktsegment", F.when(F.col("c_custkey") % 6 == 0, "MOVED").otherwise(F.col("c_mktsegment")))
+    globs = {ORDERS: f"{folder}/orders/orders_*.json*", CUSTOMERS: f"{folder}/customers/customers_*.json*"}
+    for day, ((first, last), rows) in enumerate((((1, 2), customers), ((3, 3), moved), ((4, 4), None))):
+        land(spark, sf_dir, folder, first, last)
+        if rows is not None:
+            sinks.land_snapshot(rows, folder, "customers", dt.datetime(2024, day + 1, 1, 12))
+        _, broken = daily(spark, globs, f"{folder}/silver", f"{folder}/exports", loaded_at())
+        if not broken.isEmpty():
+            raise ValueError("a change log breaks its rules")
+    parts = [sinks.read_table(spark, f"{folder}/exports/{e.name}").select(F.lit(e.name).alias("table_name"), "src_file", "op") for e in globs]
+    return reduce(DataFrame.unionByName, parts).groupBy("table_name", "src_file", "op").agg(F.count("*").alias("n_rows"))
+
+
 def keyed_orders(spark: SparkSession, sf_dir: str) -> sinks.KeyedTable:
     """The change log stored by key, in two appends of which the second brings a new column."""
     table = sinks.KeyedTable(spark, f"silver_orders_{uuid.uuid4().hex}", KEY, sinks.buckets(spark), h.scratch(spark))
