@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import cdc
-from tidemark.operators.incremental import ChangeTable, daily, extract_jdbc
+from tidemark.operators.incremental import ChangeTable, Cursor, daily, extract_jdbc
 from tidemark.plans import history as h
 from tidemark.plans import queries
 from tidemark.registry import Entity
@@ -259,3 +259,17 @@ def test_from_a_database_to_a_change_log(spark, tmp_path):
     assert run.read == ["parts_20240201_120000.json", "parts_20240301_120000.json"] and run.appended == 60
     second = spark.read.schema(SCHEMA).json(f"{folder}/parts/parts_20240301_120000.json")
     assert sorted(r.id for r in second.collect()) == list(range(30, 60))
+
+
+def test_cursor_is_kept_and_can_be_dropped(spark, tmp_path):
+    df = spark.createDataFrame([(i, dt.datetime(2024, 1, 1) + dt.timedelta(hours=8 * i)) for i in range(9)], "id long, day timestamp_ntz")
+    cursor = Cursor(f"file://{tmp_path}/cursor", "day")
+    ids = lambda rows: sorted(r.id for r in rows.collect())
+    assert ids(cursor.rows(df)) == list(range(9))
+    cursor.advance(df.filter("id <= 4"))
+    assert ids(Cursor(cursor.path, "day").rows(df)) == list(range(3, 9))  # from the day on
+    cursor.advance(df.filter("id <= 1"))
+    cursor.advance(df.limit(0))
+    assert ids(cursor.rows(df)) == list(range(3, 9))
+    cursor.drop(spark)
+    assert ids(cursor.rows(df)) == list(range(9))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tidemark.operators import cdc, quality
 from tidemark.registry import LOOKBACK_DAYS, Entity
 from tidemark.sources import sinks
-from tidemark.sources.extractions import list_paths, lookback_start, read_extractions, read_jdbc_incremental, timeline
+from tidemark.sources.extractions import after_watermark, list_paths, lookback_start, read_extractions, read_jdbc_incremental, timeline, watermark
 
 MARK = "src_file string, previous_file string, state_path string"
 VIOLATIONS = "table_name string, rule string, key string, value string, n_rows long"
@@ -132,6 +132,31 @@ class ChangeTable:
         return quality.violations(rows, [key, "valid_from"], rules).select(F.lit(self.entity.name).alias("table_name"), "*")
 
 
+@dataclass(frozen=True)
+class Cursor:
+    """The greatest value of a column that earlier runs have seen, kept in a state log."""
+
+    path: str
+    column: str
+
+    def rows(self, df: DataFrame) -> DataFrame:
+        """Rows from the day of the cursor on, that day included; all rows before the first run or after a drop."""
+        mark = sinks.read_state(df.sparkSession, self.path)
+        return after_watermark(df, self.column, mark.cursor if mark else None)
+
+    def advance(self, rows: DataFrame) -> None:
+        """Moves the cursor to the greatest value of rows, once they are stored; never back, and not at all for none."""
+        spark = rows.sparkSession
+        mark, now = sinks.read_state(spark, self.path), watermark(rows, self.column)
+        found = now.first().cursor
+        if found is not None and (mark is None or found > mark.cursor):
+            sinks.write_state(spark.createDataFrame([(found,)], now.schema), self.path)
+
+    def drop(self, spark: SparkSession) -> None:
+        """Forgets the cursor, so that the next run is a full one."""
+        sinks.drop_state(spark, self.path)
+
+
 def extract_jdbc(spark: SparkSession, url: str, entity: Entity, folder: str, at: dt.datetime, date: str | None = None, table: str | None = None, **options: str) -> str:
     """Reads an entity's table from a database and lands it as one extraction; returns its path. An entity of changed rows is read
     from a date on: the one given, else so many days before `at` as its source looks back; others are read whole."""

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import business_key, entity_file_name, iso_text, lenient_date, markup_field, portable_key, redacted, row_hash, translated
 from tidemark.operators import cdc, dimensions, facts, observability, quality, relational
-from tidemark.operators.incremental import ChangeTable, daily
+from tidemark.operators.incremental import ChangeTable, Cursor, daily
 from tidemark.plans import history as h
 from tidemark.plans.history import AS_OF, CHANGES_SQL, DELTAS_SQL, EVENTS_SQL, LOADED_AT, SNAPSHOTS_SQL, key_sql, loaded_at, table
 from tidemark.registry import Entity
@@ -128,12 +128,12 @@ def lookback_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id, event_type FROM events WHERE ts >= (SELECT date_trunc('day', max(ts)) FROM events WHERE ts < (SELECT min(ts) + INTERVAL 10 DAY FROM events))")
 def watermark_cursor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A first run leaves its cursor behind as a one-row table; the next one starts at the cursor's day."""
+    """A first run leaves its cursor behind in a state log; the next one starts at the cursor's day."""
     events = table(spark, sf_dir, "events").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
     first = events.agg(F.min("ts").alias("first"))
-    run = events.join(first, F.col("ts") < F.col("first") + F.expr("INTERVAL 10 DAY"))  # a one-row aggregate
-    cursor = extractions.watermark(run, "ts").first().cursor
-    return extractions.after_watermark(events, "ts", cursor).select("event_id", "event_type")
+    cursor = Cursor(h.scratch(spark), "ts")
+    cursor.advance(cursor.rows(events).join(first, F.col("ts") < F.col("first") + F.expr("INTERVAL 10 DAY")))  # a one-row aggregate
+    return cursor.rows(events).select("event_id", "event_type")
 
 
 @query("SELECT event_id, user_id, event_type, props FROM events")
@@ -339,7 +339,10 @@ def global_row_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def layer_as_view_or_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver is published as a view, gold as a table that is made from it."""
     silver = sinks.publish(h.order_changes(spark, sf_dir), "silver_orders")
-    return sinks.publish(cdc.current_version(silver, KEY).select("o_orderkey", "status", "op"), "gold_orders", h.scratch(spark))
+    gold = sinks.publish(cdc.current_version(silver, KEY).select("o_orderkey", "status", "op"), "gold_orders", h.scratch(spark))
+    for name in ("silver_orders", "gold_orders"):  # the plan at hand has no need of the names
+        spark.catalog.dropTempView(name)
+    return gold
 
 
 @query("SELECT event_id, strftime(ts, '%Y-%m-%dT%H:%M:%S') || CASE WHEN epoch_us(ts) % 1000000 <> 0 THEN strftime(ts, '.%f') ELSE '' END AS ts_text, strftime(ts, '%Y-%m-%d') AS day_text FROM events")
