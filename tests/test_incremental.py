@@ -8,10 +8,10 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import cdc
-from tidemark.operators.incremental import ChangeTable, Cursor, daily, extract_jdbc
+from tidemark.operators.incremental import ChangeTable, Cursor, daily, extract_jdbc, extract_source
 from tidemark.plans import history as h
 from tidemark.plans import queries
-from tidemark.registry import Entity
+from tidemark.registry import Entity, entities
 from tidemark.sources import extractions, sinks
 
 SCHEMA = "id long, v string, day timestamp_ntz"
@@ -273,3 +273,15 @@ def test_cursor_is_kept_and_can_be_dropped(spark, tmp_path):
     assert ids(cursor.rows(df)) == list(range(3, 9))
     cursor.drop(spark)
     assert ids(cursor.rows(df)) == list(range(9))
+
+
+def test_every_entity_of_a_source_from_its_database_to_exports(spark, tmp_path):
+    url, folder = h.embedded_database(spark), f"file://{tmp_path}/in"
+    for n, e in enumerate(entities("RFAM")):
+        rows = [(f"k{i}", f"v{i}", dt.datetime(2024, 1, 1)) for i in range(n + 1)]
+        spark.createDataFrame(rows, f"{e.key} string, v string, updated timestamp_ntz").write.format("jdbc").options(url=url, dbtable=e.name, createTableColumnTypes=f"{e.key} VARCHAR(20), v VARCHAR(20)").save()
+    paths = extract_source(spark, url, "RFAM", folder, dt.datetime(2024, 2, 1, 12), preferTimestampNTZ="true")
+    assert sorted(paths) == sorted(e.name for e in entities("RFAM"))
+    globs = {e: f"{folder}/{e.name}/{e.name}_*.json*" for e in entities("RFAM")}
+    appended, broken = daily(spark, globs, f"file://{tmp_path}/silver", f"file://{tmp_path}/gold", now())
+    assert appended == {e.name: n + 1 for n, e in enumerate(entities("RFAM"))} and broken.collect() == []

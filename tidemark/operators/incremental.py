@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import cdc, quality
-from tidemark.registry import LOOKBACK_DAYS, Entity
+from tidemark.registry import LOOKBACK_DAYS, Entity, entities
 from tidemark.sources import sinks
 from tidemark.sources.extractions import after_watermark, list_paths, lookback_start, read_extractions, read_jdbc_incremental, timeline, watermark
 
@@ -165,6 +165,12 @@ def extract_jdbc(spark: SparkSession, url: str, entity: Entity, folder: str, at:
     return sinks.land_snapshot(rows, folder, entity.name, at)
 
 
+def extract_source(spark: SparkSession, url: str, source: str, folder: str, at: dt.datetime, date: str | None = None, at_once: int = 4, **options: str) -> dict[str, str]:
+    """Lands an extraction of every registered entity of a source, `at_once` side by side; all are tried, and failures are raised
+    together at the end. Returns the path of each."""
+    return sinks.export_all(spark, {e.name: (lambda e=e: extract_jdbc(spark, url, e, folder, at, date, **options)) for e in entities(source)}, at_once)
+
+
 def daily(spark: SparkSession, extractions: Mapping[Entity, str], folder: str, exports: str, loaded_at: Column, at_once: int = 4) -> tuple[dict[str, int], DataFrame]:
     """A day's run over many entities (entity: glob of its extractions), `at_once` side by side: changes, then their export.
 

@@ -1,4 +1,4 @@
-"""The entities that are extracted: how each is keyed, extracted and dated. Operators take an Entity instead of a file each."""
+"""The entities that are extracted: how each is keyed, extracted and dated. operators.incremental takes an Entity instead of a file each."""
 
 from __future__ import annotations
 

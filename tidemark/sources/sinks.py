@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from typing import Any
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
@@ -169,14 +170,14 @@ def append_evolving(stored: DataFrame, new: DataFrame) -> DataFrame:
     return stored.unionByName(new, allowMissingColumns=True)
 
 
-def export_all(spark: SparkSession, jobs: dict[str, Callable[[], int]], at_once: int = 4) -> dict[str, int]:
+def export_all(spark: SparkSession, jobs: dict[str, Callable[[], Any]], at_once: int = 4) -> dict[str, Any]:
     """Runs every export, `at_once` side by side; failures are collected and raised together at the end.
 
     Each runs in a thread with the caller's settings and in a scheduler pool of its own, so that under FAIR scheduling a long export
     doesn't hold up the others' tasks.
     """
 
-    def run(name: str, job: Callable[[], int]) -> int:
+    def run(name: str, job: Callable[[], Any]) -> Any:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", f"export-{name}")
         try:
             return job()
