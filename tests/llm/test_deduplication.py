@@ -8,13 +8,14 @@ from collections import defaultdict
 import pyarrow as pa
 from conftest_llm import roots
 from oracle import check
+from pyspark.sql import functions as F
 
 from tidemark.llm import common
 from tidemark.llm import line_dedup as ld
 from tidemark.llm import ngram_jaccard as nj
 from tidemark.llm import queries
 from tidemark.llm import substring_dedup as sd
-from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.exact_dedup import chunks, exact_dedup
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -42,6 +43,23 @@ def test_exact_dedup(spark, data, docs, rows, null_ids, empty):
     check(spark, data, queries.op5_exact_dedup, queries.oracle_sql()["op5_exact_dedup"])
 
 
+def test_chunks_that_share_an_identifier_are_told_apart(docs, null_ids, empty, monkeypatch):
+    want = {tuple(r) for r in exact_dedup(docs).collect()}
+    monkeypatch.setattr("tidemark.llm.exact_dedup.identifier", lambda c: F.pmod(F.length(c), F.lit(5)).cast("long"))
+    assert {tuple(r) for r in exact_dedup(docs).collect()} == want
+    assert sorted(r.group_size for r in exact_dedup(null_ids).collect()) == [1, 2, 2, 2, 2] and exact_dedup(empty).count() == 0
+
+
+def test_an_edit_moves_the_cuts_near_it_only(spark):
+    rng = random.Random(5)
+    for letters in ("0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"):
+        text = "".join(rng.choice(letters) for _ in range(40_000))
+        cut = spark.createDataFrame([(text,), ("#" + text,), (text[:20_000] + "#" + text[20_000:],)], "t string").select(chunks(F.col("t")).alias("c"))
+        whole, front, middle = (r.c for r in cut.collect())
+        assert "".join(whole) == text and all(256 < len(c) <= 1024 for c in whole[:-1])
+        assert len(set(whole) - set(front)) < 0.2 * len(whole) and len(set(whole) - set(middle)) < 0.2 * len(whole)
+
+
 def brute_substring(rows, n=13):
     first = {}
     split = [(i, WORD.findall(t or "")) for i, t, *_ in rows]

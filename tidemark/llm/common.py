@@ -50,10 +50,15 @@ def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder."""
+    return f"{scratch_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Writes df as Parquet in the shared folder and reads it back: lineage ends there and a lost executor costs no recomputation.
     Nothing reads the job's shuffle files after that, so they go when the table is written."""
-    path = f"{scratch_dir(df.sparkSession).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = scratch_path(df.sparkSession, name)
     with setting(df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true"):
         df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -1,7 +1,8 @@
 """Exact dedup by content-defined chunk recipes, in DataFrame operations only.
 
-A text is cut where its own content says so (after the first sentence mark past a least length), so a text's chunks depend
-on nothing else. Distinct chunks are grouped by their characters, which verifies the 64-bit identifiers: one that stands for
+A text is cut where its own content says so: after the first sentence mark past a least length, or, where none comes in time,
+after the first window of four characters past it whose codes meet a mask. An edit moves the cuts near it only, in texts
+without marks (digits, encoded data) too. Distinct chunks are grouped by their characters, which verifies the 64-bit identifiers: one that stands for
 two different chunks is found there and widened. Documents are then compared by their ordered lists of identifiers alone;
 the texts themselves are moved once, as distinct chunks.
 """
@@ -13,19 +14,27 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.common import SPACE_CLASS, staged
 
-#: A chunk has this many characters at least (but for a text's last) and at most, and ends with a mark if one comes in time.
+#: A chunk has this many characters at least (but for a text's last) and at most, unless neither a mark nor a window comes in time.
 LEAST, MOST = 256, 1024
 CUT = r"[.!?:;|。।]"
+#: Windows that are looked for where no mark comes: four characters whose codes end with two zero bits (one place in some 300, whatever
+#: ASCII alphabet the text has), then, for other scripts, three to five of which the first is the last as well.
+WINDOWS = "[" + "".join(rf"\x{c:02x}" for c in range(48, 127, 4)) + "]{4}", r"(.)(?:.|..|...)\1"
 #: Copies of one text from which they are dealt out to several tasks, PART to each; at most so many texts are dealt out.
 HOT_COPIES, PART, MOST_HOT = 1000, 256, 100_000
 
 
 def chunks(text: F.Column) -> F.Column:
     """The chunks of a text, in order; none of an empty text."""
-    pattern = rf"(?s).{{{LEAST},{MOST - 1}}}?{CUT}|.{{1,{MOST}}}"
+    pattern = rf"(?s).{{{LEAST},{MOST - 1}}}?{CUT}|.{{{LEAST},{MOST - 5}}}?{WINDOWS[0]}|.{{{LEAST},{MOST - 5}}}?{WINDOWS[1]}|.{{1,{MOST}}}"
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
 
+def identifier(chunk: F.Column) -> F.Column:
+    """64 bits for a chunk."""
+    return F.xxhash64(chunk)
+
+
 def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Groups rows whose texts are identical after all of space and \\t..\\r is deleted.
 
@@ -43,10 +52,10 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.regexp_replace(F.coalesce(F.col(text_col).cast("string"), F.lit("")), SPACE_CLASS + "+", "").alias("text"),
     )
     # identifiers: distinct chunks by their characters; an identifier with two of them is no identifier
-    distinct = base.select(F.explode(chunks(F.col("text"))).alias("chunk")).select(F.xxhash64("chunk").alias("h"), "chunk").groupBy("h", "chunk").agg(F.lit(1).alias("one"))
+    distinct = base.select(F.explode(chunks(F.col("text"))).alias("chunk")).select(identifier(F.col("chunk")).alias("h"), "chunk").groupBy("h", "chunk").agg(F.lit(1).alias("one"))
     unsafe = staged(distinct.groupBy("h").count().filter("count > 1").select("h"), "unsafe")
     recipes = base.select(
-        "id", "points", F.sha2("text", 256).alias("text_sha256"), F.transform(chunks(F.col("text")), lambda c: F.xxhash64(c)).alias("recipe"), *([F.transform(chunks(F.col("text")), lambda c: F.sha2(c, 256)).alias("wide")] if unsafe.limit(1).count() else [])
+        "id", "points", F.sha2("text", 256).alias("text_sha256"), F.transform(chunks(F.col("text")), identifier).alias("recipe"), *([F.transform(chunks(F.col("text")), lambda c: F.sha2(c, 256)).alias("wide")] if unsafe.limit(1).count() else [])
     )
     if "wide" in recipes.columns:  # two chunks share an identifier somewhere: those recipes take digests for it as well
         hit = recipes.withColumn("row", F.monotonically_increasing_id())

@@ -48,8 +48,9 @@ def token_set(line: Column) -> Column:
 
 
 def token_hashes(line: Column) -> Column:
-    """Distinct 64-bit hashes of the words of a line that spaced() made. They only choose what is compared on the words."""
-    return F.array_distinct(F.transform(F.array_remove(F.split(line, " ", -1), ""), lambda w: F.xxhash64(w)))
+    """A 64-bit hash for every distinct word of a line that spaced() made: words of one hash count twice, so sizes are those of the
+    words, and no filter loses a pair that shares more hashes than words. Hashes only choose what is compared on the words."""
+    return F.transform(token_set(line), lambda w: F.xxhash64(w))
 
 
 def rarity_levels(texts: DataFrame) -> Column:

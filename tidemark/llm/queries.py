@@ -110,6 +110,26 @@ def oracle_sql() -> dict[str, str]:
             SELECT vec_id, (SELECT count(*) FROM links WHERE links.a = vec_id) AS n_links, min(r.b) AS component_id, vec_id = min(r.b) AS kept
             FROM embeddings JOIN reach r ON r.a = vec_id GROUP BY vec_id
         """,
+        "op2_line_dedup": r"""
+            WITH line AS (
+                SELECT doc_id, unnest(ls) AS line, unnest(range(len(ls))) AS i FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL)
+            ),
+            placed AS (SELECT *, CAST(doc_id AS HUGEINT) * 4294967296 + i AS spot, list_sort(list_distinct(regexp_extract_all(line, '[^\x20\x09-\x0D]+'))) AS ws FROM line),
+            sets AS (SELECT ws, len(ws) AS n, min(spot) AS spot, row_number() OVER (ORDER BY min(spot)) AS c FROM placed WHERE len(ws) > 0 GROUP BY ws),
+            token AS (SELECT c, n, unnest(ws) AS w FROM sets),
+            rarity AS (SELECT w, row_number() OVER (ORDER BY count(*), w) AS r FROM token GROUP BY w),
+            prefix AS (SELECT c, n, r FROM token JOIN rarity USING (w) QUALIFY row_number() OVER (PARTITION BY c ORDER BY r) <= n - ceil(0.75 * n) + 1),
+            near AS (SELECT DISTINCT a.c AS a, b.c AS b FROM prefix a JOIN prefix b ON a.r = b.r AND a.c < b.c AND 100 * a.n >= 75 * b.n AND 100 * b.n >= 75 * a.n),
+            earlier AS (
+                SELECT b AS c, min(x.spot) AS first FROM near JOIN sets x ON x.c = a JOIN sets y ON y.c = b
+                WHERE 100 * len(list_intersect(x.ws, y.ws)) >= 75 * (x.n + y.n - len(list_intersect(x.ws, y.ws))) GROUP BY b
+            ),
+            judged AS (
+                SELECT p.doc_id, p.line, p.i, s.c IS NOT NULL AND p.spot > least(s.spot, coalesce(e.first, s.spot)) AS gone FROM placed p LEFT JOIN sets s ON p.ws = s.ws LEFT JOIN earlier e ON e.c = s.c
+            ),
+            kept AS (SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_removed, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '') AS text FROM judged GROUP BY doc_id)
+            SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, sha256(kept.text) AS kept_sha256 FROM documents LEFT JOIN kept USING (doc_id)
+        """,
         "op3_substring_dedup": r"""
             WITH w AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents),
             win AS (SELECT doc_id, i, array_to_string(ws[i : i + 12], ' ') AS k FROM (SELECT doc_id, ws, unnest(generate_series(1, len(ws) - 12)) AS i FROM w)),
@@ -136,6 +156,44 @@ def oracle_sql() -> dict[str, str]:
             SELECT w.doc_id, coalesce(size.n, 0) AS n_shingles, min(reach.b) AS component_id
             FROM w LEFT JOIN size USING (doc_id) JOIN reach ON reach.a = w.doc_id GROUP BY w.doc_id, size.n
         """,
+        "op8_source_mixing": r"""
+            WITH base AS (
+                SELECT doc_id, coalesce('=' || source, '') AS source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size, md5(concat_ws(':', doc_id, text)) AS place FROM documents
+            ),
+            src AS (
+                SELECT *, [5.0, 2.0, 1.0][CAST((row_number() OVER (ORDER BY source = '', source) - 1) % 3 + 1 AS INTEGER)]::DOUBLE AS weight, 2.0::DOUBLE * source_size AS cap
+                FROM (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, max(size) AS largest FROM base GROUP BY source)
+            ),
+            -- sources are held in order of cap / weight; the level is that of all not yet held
+            levels AS (
+                SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(cap) OVER before, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+                FROM src WINDOW before AS (ORDER BY cap / weight, source = '', source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+            ),
+            targets AS (
+                SELECT *, CASE WHEN weight * level >= cap THEN cap ELSE weight * (SELECT arg_min(level, cap / weight) FROM levels WHERE weight * level < cap) END AS target FROM levels
+            ),
+            rates AS (
+                SELECT source, source_size, target, largest / greatest(source_size, 1) / 8 AS reach, CASE WHEN target > 0 AND source_size > 0 THEN round(target / source_size, 9) ELSE 0.0::DOUBLE END AS rate FROM targets
+            ),
+            classes AS (
+                SELECT *, round(rate - floor(rate), 9) AS f, CAST(coalesce(sum(n) OVER (PARTITION BY source ORDER BY size DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS before
+                FROM (SELECT source, size, count(*) AS n FROM base GROUP BY ALL) JOIN rates USING (source)
+            ),
+            choices AS (SELECT (i + 0.5::DOUBLE) / 16 AS phase, j AS nudge FROM range(16) a(i), range(-8, 9) b(j)),
+            fractions AS (
+                SELECT source, phase, nudge, target, rate, CASE WHEN f = 0 THEN 0.0::DOUBLE ELSE round(least(1.0::DOUBLE, greatest(0.0::DOUBLE, f + nudge * reach)), 9) END AS g
+                FROM (SELECT DISTINCT source, target, rate, f, reach FROM classes), choices
+            ),
+            tried AS (
+                SELECT source, phase, nudge, g, abs(sum(size * (n * floor(c.rate) + floor((before + n) * g + phase) - floor(before * g + phase))) - any_value(c.target)) AS off
+                FROM classes c JOIN fractions USING (source) WHERE size > 0 GROUP BY source, phase, nudge, g
+            ),
+            best AS (SELECT * FROM tried QUALIFY row_number() OVER (PARTITION BY source ORDER BY off, abs(nudge), phase, nudge) = 1),
+            numbered AS (SELECT *, row_number() OVER (PARTITION BY source, size ORDER BY place) AS k FROM base)
+            SELECT doc_id, size, source_size, target,
+                CAST(size * CASE WHEN size = 0 THEN 0 ELSE least(2, floor(rate) + floor((before + k) * g + phase) - floor((before + k - 1) * g + phase)) END AS BIGINT) AS taken
+            FROM numbered JOIN classes USING (source, size) LEFT JOIN best USING (source)
+        """,
         "op11_hard_negatives": r"""
             WITH v AS (
                 SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, [floor(256 * x) FOR x IN CAST(embedding AS DOUBLE[])] AS e FROM embeddings
