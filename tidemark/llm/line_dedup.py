@@ -24,7 +24,7 @@ from tidemark.llm.common import fresh, setting, staged
 #: Similarity in hundredths.
 PERCENT = 75
 #: Token counts are kept for so many hash cells (a power of two): the rarity order is a table of fixed size.
-CELL_BITS = 16
+CELL_BITS = 18
 #: Tokens of a prefix with the lowest hashes, and with the highest, any two of which find an earlier class to be held against at first.
 DRAWN = 4
 #: Rows of fixed width (16 to 40 bytes), and lines listed in them (4 bytes each), up to which a table is broadcast; beyond that
@@ -48,9 +48,9 @@ def token_set(line: Column) -> Column:
 
 
 def token_hashes(line: Column) -> Column:
-    """A 64-bit hash for every distinct word of a line that spaced() made: words of one hash count twice, so sizes are those of the
+    """A 32-bit hash for every distinct word of a line that spaced() made: words of one hash count twice, so sizes are those of the
     words, and no filter loses a pair that shares more hashes than words. Hashes only choose what is compared on the words."""
-    return F.transform(token_set(line), lambda w: F.xxhash64(w))
+    return F.transform(token_set(line), lambda w: F.hash(w))
 
 
 def rarity_levels(texts: DataFrame) -> Column:
@@ -60,7 +60,7 @@ def rarity_levels(texts: DataFrame) -> Column:
     input. Any order of tokens gives right results; this one puts frequent tokens last.
     """
     words = texts.select(F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ", -1)).alias("w"))
-    counts = words.groupBy(F.xxhash64("w").bitwiseAND(F.lit((1 << CELL_BITS) - 1)).cast("int").alias("cell")).count()
+    counts = words.groupBy(F.hash("w").bitwiseAND(F.lit((1 << CELL_BITS) - 1)).alias("cell")).count()
     every = texts.sparkSession.range(1 << CELL_BITS).select(F.col("id").cast("int").alias("cell")).join(counts, "cell", "left")
     level = F.least(F.lit(63), F.floor(2 * F.log2(F.coalesce("count", F.lit(0)) + 1))).cast("string")
     listed = F.transform(F.sort_array(F.collect_list(F.struct("cell", level.alias("level")))), lambda x: x["level"])
@@ -77,15 +77,15 @@ def line_classes(lines: DataFrame, levels: Column, percent: int) -> DataFrame:
     """digest, doc, at (the earliest line), copies, n (distinct tokens), first (hashes of the prefix), all_bits and high_bits."""
     some = lines.select("doc", "at", line_digest(F.col("text")).alias("digest"), token_hashes(F.col("text")).alias("hashes")).filter("digest is not null")
     cell = F.lit((1 << CELL_BITS) - 1)
-    # a token's place in the order: the level of its cell, then 57 bits of its hash
-    places = F.transform("hashes", lambda h: F.shiftleft(F.coalesce(F.get(levels, h.bitwiseAND(cell).cast("int")), F.lit(0)), 57).bitwiseOR(F.shiftrightunsigned(h, 7)))
-    placed = some.select("doc", "at", "digest", F.size("hashes").alias("n"), F.sort_array(places).alias("places"))
-    # bits of the parity of tokens: two of these differ in no more bits than there are tokens in one set only
-    parity = "aggregate(places, 0L, (a, x) -> a ^ shiftleft({}, cast(x & 63L as int)))"
-    every, high = (F.expr(parity.format(one)) for one in ("1L", "shiftrightunsigned(x, 6) & 1L"))
+    # a token's place in the order: the level of its cell, then its hash
+    places = F.transform("hashes", lambda h: F.shiftleft(F.get(levels, h.bitwiseAND(cell)), 32) + h)
+    # bits of the parity of tokens (a shift takes the low six bits of its width): two of these differ in no more bits than there are
+    # tokens in one set only
+    every, high = (F.expr(f"aggregate(hashes, 0L, (a, h) -> a ^ shiftleft({one}, h))") for one in ("1L", "shiftrightunsigned(h, 31) + 0L"))
+    placed = some.select("doc", "at", "digest", F.size("hashes").alias("n"), F.sort_array(places).alias("places"), every.alias("all_bits"), high.alias("high_bits"))
     prefix = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
     first = F.transform(F.slice("places", 1, prefix), lambda x: F.hash(x))
-    lines = placed.select("digest", F.struct("doc", "at", "n", first.alias("first"), every.alias("all_bits"), high.alias("high_bits")).alias("c"))
+    lines = placed.select("digest", F.struct("doc", "at", "n", first.alias("first"), "all_bits", "high_bits").alias("c"))
     return lines.groupBy("digest").agg(F.min("c").alias("c"), F.count("*").alias("copies")).select("digest", "c.*", "copies")
 
 
@@ -156,10 +156,11 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     ends = [(F.lit(i), F.lit(j)) for i, j in combinations(range(DRAWN), 2)]
     ends += [(F.col("m") - 1 - j, F.col("m") - 1 - i) for i, j in ends]
     two_of = [F.when(F.greatest(i, j) < F.col("m"), F.hash(F.get("drawn", i), F.get("drawn", j))) for i, j in ends]
-    rare = drawn.select("doc", "at", F.explode(F.array_distinct(F.array_compact(F.array(*two_of)))).alias("key"))
-    lead = rare.groupBy("key").agg(F.min(F.struct("doc", "at")).alias("lead"), F.count("*").alias("sharers")).filter("sharers > 1")
-    lead = bounded(staged(lead.select("key", F.col("lead.doc").alias("doc1"), F.col("lead.at").alias("at1")), "leads"))
-    led = rare.select("key", F.col("doc").alias("doc2"), F.col("at").alias("at2")).join(lead, "key").filter("doc1 <> doc2 or at1 <> at2")
+    rare = drawn.select("doc", "at", F.explode(F.array_distinct(F.array(*two_of))).alias("key")).filter("key is not null")
+    # of several lines of the earliest document any one leads; these aggregates are kept in a hash table, a least pair would be sorted
+    lead = rare.groupBy("key").agg(F.min("doc").alias("doc1"), F.min_by("at", "doc").alias("at1"), F.count("*").alias("sharers")).filter("sharers > 1")
+    lead = bounded(staged(lead.select("key", "doc1", "at1"), "leads"))
+    led = rare.select("key", F.col("doc").alias("doc2"), F.col("at").alias("at2")).join(lead, "key").filter("doc1 < doc2 or doc1 = doc2 and at1 < at2")
     led = staged(led.select("doc1", "at1", "doc2", "at2").distinct(), "led")
     for k in (1, 2):
         led = led.join(classes.select(*[F.col(c).alias(f"{c}{k}") for c in who]), [f"doc{k}", f"at{k}"])
