@@ -135,3 +135,53 @@ def test_latest_thins_rows_before_the_shuffle_and_breaks_ties_by_value(spark, tm
     assert "SortAggregate" not in plan and plan.count("WindowGroupLimit") == 2 and plan.count("Exchange") == 1
     rows = [(i % 5, i % 7, f"v{i}") for i in range(200)]
     assert sorted((r.k, r.o, r.v) for r in out.collect()) == sorted(max(r for r in rows if r[0] == k) for k in range(5))
+
+
+def shuffles(df):
+    """Exchanges of the plan before it runs: (number, plan)."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return plan.count("Exchange hashpartitioning"), plan
+
+
+def test_changes_are_shuffled_once_without_their_hash_and_stay_where_they_are(spark, tmp_path):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    path = land(tmp_path, FILES)
+    rows = spark.read.schema(SCHEMA).json(path).select("*", F.lit("thing_20240101_120000.json").alias("src_file"), F.lit("DDD").alias("source_code"))
+    log = cdc.cdc_full_snapshot(rows, extractions.list_extractions(spark, path), ["id"], now(), "opdateringsdato")
+    number, plan = shuffles(log)
+    assert number == 1 and "sha2(" in plan and "sha2(" not in plan[plan.index("Exchange hashpartitioning") :]
+    log.limit(0).write.parquet(f"{tmp_path}/stored")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:  # one shuffle of the rows, one of the stored keys
+        assert shuffles(sinks.new_versions(log, spark.read.parquet(f"{tmp_path}/stored"), ["id"]))[0] == 2
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_new_versions_meet_by_key_and_time_and_keep_nulls(spark):
+    df = spark.createDataFrame([(1, dt.datetime(2024, 1, 1)), (1, dt.datetime(2024, 2, 1)), (None, dt.datetime(2024, 1, 1)), (2, None)], "id long, valid_from timestamp_ntz").withColumn("p", F.lit("a"))
+    stored = spark.createDataFrame([(1, dt.datetime(2024, 2, 1)), (None, dt.datetime(2024, 1, 1))], "id long, valid_from timestamp_ntz").withColumn("p", F.lit("a"))
+    left = {(1, dt.datetime(2024, 1, 1)), (None, dt.datetime(2024, 1, 1)), (2, None)}
+    assert {(r.id, r.valid_from) for r in sinks.new_versions(df, stored, ["id"]).collect()} == left
+    assert {(r.id, r.valid_from) for r in sinks.new_parts(df, stored, ["id"], "p").collect()} == left
+    assert sinks.new_parts(df, stored.withColumn("p", F.lit("b")), ["id"], "p").count() == 4
+    assert sinks.new_parts(df.filter("valid_from = timestamp_ntz '2024-02-01'"), stored, ["id"], "p").count() == 0
+
+
+def test_extractions_are_landed_compressed(spark, tmp_path):
+    path = sinks.land_snapshot(spark.range(9), str(tmp_path), "e", dt.datetime(2024, 1, 1))
+    assert spark.read.json(path).count() == 9 and all(f.endswith(".gz") for f in spark.read.json(path).inputFiles())
+
+
+@pytest.mark.parametrize("delta", [False, True])
+def test_changes_and_state_come_from_one_shuffle_with_repeats_left_out(spark, delta):
+    files = ["t_20240101_120000.json", "t_20240201_120000.json", "t_20240301_120000.json"]
+    data = [(1, "a", files[0]), (1, "a", files[0]), (2, "b", files[0]), (1, "c", files[1]), (3, "d", files[2]), (3, "d", files[2])]
+    rows = spark.createDataFrame([(*r, "S") for r in data], "id long, name string, src_file string, source_code string")
+    line = extractions.timeline(spark.createDataFrame([(f,) for f in files], "src_file string"))
+    out = cdc.cdc_run(rows, line, ["id"], now(), delta=delta)
+    assert shuffles(out)[0] == 1
+    find = cdc.cdc_delta if delta else cdc.cdc_full_snapshot
+    changes = out.filter("op is not null").drop("present")
+    assert sorted(map(str, changes.collect())) == sorted(map(str, find(rows.dropDuplicates(), line, ["id"], now()).collect()))
+    assert sorted((r.id, r.name, r.src_file, r.present) for r in out.filter("op is null").collect()) == [(1, "c", files[1], True), (2, "b", files[0], False)]

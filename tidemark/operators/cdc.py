@@ -14,6 +14,8 @@ from tidemark.functions.scalars import row_hash
 from tidemark.operators.relational import latest
 
 OWN = ("src_file", "row_hash", "first_seen", "valid_from", "loaded_at", "op", "deleted")
+#: Stands for the name of an extraction in the rows of a state.
+BEFORE = ""
 
 
 def first_seen(key: list[str], date_col: str | None) -> Column:
@@ -25,24 +27,34 @@ def seen_at(date_col: str | None) -> Column:
     return F.col(date_col or "valid_from").cast("timestamp_ntz")
 
 
-def placed(bronze: DataFrame, files: DataFrame, key: list[str], date_col: str | None, exclude: tuple[str, ...], before: DataFrame | None) -> DataFrame:
-    """Bronze with its extraction's place in the timeline (which has a row an extraction and is broadcast), its hash and the date at
-    which it was seen; with `before`, the state of the keys at the extraction before the first of `files`, at ordinal 0.
+def placed(bronze: DataFrame, files: DataFrame, key: list[str], date_col: str | None, exclude: tuple[str, ...], before: DataFrame | None, distinct: bool = False) -> DataFrame:
+    """Bronze dealt out by key, with its extraction's place in the timeline (which has a row an extraction and is broadcast), its hash and
+    the date at which it was seen; with `before`, the state of the keys at the extraction before the first of `files`, at ordinal 0.
 
-    The hash is taken of both in one, over the columns of either, so that a column that only new rows have counts as null in old ones.
+    The rows are shuffled first, as narrow as they come: the place and the hash, which doesn't compress, are added after it. The hash is
+    taken of both in one, over the columns of either, so that a column that only new rows have counts as null in old ones.
+    distinct: exact repeats within an extraction are left out, after the same shuffle.
     """
-    rows = bronze.join(F.broadcast(files), "src_file").withColumns({"_seen": seen_at(date_col), "_present": F.lit(True)})
+    rows, held = bronze, F.col("ordinal") == 0
+    files = files.select("src_file", "valid_from", "next_file", "next_from", "ordinal", "last_ordinal")
+    seen, present = seen_at(date_col), F.lit(True)
     if before is not None:
-        first = files.filter("ordinal = 1").select(F.col("src_file").alias("next_file"), F.col("valid_from").alias("next_from"), "last_ordinal")
-        held = before.drop("src_file").withColumnsRenamed({"first_seen": "_seen", "present": "_present"})
-        rows = rows.unionByName(held.join(F.broadcast(first)).withColumn("ordinal", F.lit(0)), allowMissingColumns=True)  # one row
+        state = before.withColumnsRenamed({"first_seen": "_seen", "present": "_present"}).withColumn("src_file", F.lit(BEFORE))
+        rows = bronze.unionByName(state, allowMissingColumns=True)
+        first = files.filter("ordinal = 1").select(F.lit(BEFORE).alias("src_file"), F.lit(None).cast("timestamp_ntz").alias("valid_from"), F.col("src_file").alias("next_file"), F.col("valid_from").alias("next_from"), F.lit(0).alias("ordinal"), "last_ordinal")
+        files = files.unionByName(first)
+        seen, present = F.when(held, F.col("_seen")).otherwise(seen), F.when(held, F.col("_present")).otherwise(present)
+    rows = rows.repartition(*key).join(F.broadcast(files), "src_file").withColumns({"_seen": seen, "_present": present, "src_file": F.when(~held, F.col("src_file"))})
     data = [c for c in rows.columns if c in bronze.columns or (before is not None and c in before.columns)]
+    if distinct:  # sorted by key and ordinal first, as what looks at a key's rows needs them
+        copies = Window.partitionBy(*key, "ordinal", *[c for c in data if c not in key and c != "src_file"]).orderBy("ordinal")
+        rows = rows.withColumn("_copy", F.row_number().over(copies)).filter("_copy = 1").drop("_copy")
     return rows.withColumn("row_hash", row_hash(rows.select(data), key, (*OWN, *exclude)))
 
 
-def change_columns(bronze: DataFrame) -> list[str]:
-    """What a change log's rows have, in order."""
-    return [c for c in bronze.columns if c not in OWN] + ["row_hash", "first_seen", "src_file", "valid_from", "loaded_at", "op"]
+def change_columns(columns: list[str]) -> list[str]:
+    """What a change log's rows have, in order, of bronze rows with these columns."""
+    return [c for c in columns if c not in OWN] + ["row_hash", "first_seen", "src_file", "valid_from", "loaded_at", "op"]
 
 
 def over_key(key: list[str]) -> dict[str, Column]:
@@ -54,6 +66,30 @@ def over_key(key: list[str]) -> dict[str, Column]:
     }
 
 
+def snapshot_changes() -> list[Column]:
+    """The change that a row of complete extractions is, and the deletion that follows it, each null if there is none."""
+    there = F.coalesce((F.col("_before") == F.col("ordinal") - 1) & F.col("_there"), F.lit(False))
+    kind = F.when(F.col("ordinal") == 0, None).when(~there, "I").when(F.col("row_hash") != F.col("_hash"), "U")
+    gone = F.col("_present") & (F.col("ordinal") < F.col("last_ordinal")) & (F.col("_after").isNull() | (F.col("_after") > F.col("ordinal") + 1))
+    delete = F.when(gone, F.struct(F.lit("D").alias("op"), F.col("next_file").alias("src_file"), F.col("next_from").alias("valid_from")))
+    return [own_change(kind), delete]
+
+
+def delta_changes() -> list[Column]:
+    """The change that a row of extractions of changed rows is, null if it is none."""
+    return [own_change(F.when(F.col("ordinal") == 0, None).when(F.col("_hash").isNull(), "I").when(F.col("row_hash") != F.col("_hash"), "U"))]
+
+
+def own_change(kind: Column) -> Column:
+    return F.when(kind.isNotNull(), F.struct(kind.alias("op"), F.col("src_file").alias("src_file"), F.col("valid_from").alias("valid_from")))
+
+
+def exploded(seen: DataFrame, changes: list[Column]) -> DataFrame:
+    """A row for each change of a row, without a second pass over the rows."""
+    found = seen.withColumn("_change", F.explode(F.array_compact(F.array(*changes)))).drop("src_file", "valid_from")
+    return found.select("*", "_change.*")
+
+
 def cdc_full_snapshot(bronze: DataFrame, files: DataFrame, key: list[str], loaded_at: Column, date_col: str | None = None, exclude: tuple[str, ...] = (), before: DataFrame | None = None) -> DataFrame:
     """Changes of complete extractions, with one shuffle by key and one sort: each row looks at the key's row before and after it.
 
@@ -61,17 +97,10 @@ def cdc_full_snapshot(bronze: DataFrame, files: DataFrame, key: list[str], loade
     the next extraction is deleted there, with its last values. A key that returns is inserted again. `files` must come from
     the folder listing: an empty extraction deletes every key.
 
-    before: the keys' state (cdc_state) at the extraction before the first of `files`; older extractions aren't needed then.
+    before: the keys' state (cdc_run) at the extraction before the first of `files`; older extractions aren't needed then.
     """
     seen = placed(bronze, files, key, date_col, exclude, before).withColumns(over_key(key))
-    there = F.coalesce((F.col("_before") == F.col("ordinal") - 1) & F.col("_there"), F.lit(False))
-    kind = F.when(F.col("ordinal") == 0, None).when(~there, "I").when(F.col("row_hash") != F.col("_hash"), "U")
-    gone = F.col("_present") & (F.col("ordinal") < F.col("last_ordinal")) & (F.col("_after").isNull() | (F.col("_after") > F.col("ordinal") + 1))
-    change = F.when(kind.isNotNull(), F.struct(kind.alias("op"), F.col("src_file").alias("src_file"), F.col("valid_from").alias("valid_from")))
-    delete = F.when(gone, F.struct(F.lit("D").alias("op"), F.col("next_file").alias("src_file"), F.col("next_from").alias("valid_from")))
-    # at most two changes a row, without a second pass over the rows
-    found = seen.withColumn("_change", F.explode(F.array_compact(F.array(change, delete)))).drop("src_file", "valid_from")
-    return found.select("*", "_change.*").withColumn("loaded_at", loaded_at).select(change_columns(bronze if before is None else seen.select(data_columns(bronze, before))))
+    return exploded(seen, snapshot_changes()).withColumn("loaded_at", loaded_at).select(change_columns(data_columns(bronze, before)))
 
 
 def data_columns(bronze: DataFrame, before: DataFrame | None) -> list[str]:
@@ -84,19 +113,29 @@ def cdc_delta(bronze: DataFrame, files: DataFrame, key: list[str], loaded_at: Co
     key's last is an update, others are dropped. Deletes can't be seen. A key that was deleted by a refresh and returns with
     unchanged values gives no row. before: as in cdc_full_snapshot."""
     seen = placed(bronze, files, key, date_col, exclude, before).withColumns(over_key(key))
-    op = F.when(F.col("_hash").isNull(), "I").when(F.col("row_hash") != F.col("_hash"), "U")
-    changed = seen.withColumn("op", op).filter("op is not null and ordinal > 0").withColumn("loaded_at", loaded_at)
-    return changed.select(change_columns(seen.select(data_columns(bronze, before))))
+    return exploded(seen, delta_changes()).withColumn("loaded_at", loaded_at).select(change_columns(data_columns(bronze, before)))
 
 
-def cdc_state(bronze: DataFrame, files: DataFrame, key: list[str], upto: str, date_col: str | None = None, before: DataFrame | None = None) -> DataFrame:
-    """One row a key ever seen up to an extraction: its last values, src_file, first_seen, and whether that extraction has it (present;
-    of no meaning for extractions of changed rows only). It is what the next changes need of all extractions so far."""
-    rows = placed(bronze, files, key, date_col, (), before).filter(F.coalesce(F.col("src_file") <= upto, F.lit(True)))
-    w = Window.partitionBy(*key).orderBy(F.desc("ordinal"))
-    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    last = rows.withColumns({"_n": F.row_number().over(w), "first_seen": F.min("_seen").over(whole)}).filter("_n = 1")
-    return last.select(*data_columns(bronze, before), "first_seen", F.coalesce(F.col("src_file") == upto, F.lit(False)).alias("present"))
+def cdc_run(bronze: DataFrame, files: DataFrame, key: list[str], loaded_at: Column, date_col: str | None = None, exclude: tuple[str, ...] = (), before: DataFrame | None = None, delta: bool = False) -> DataFrame:
+    """Changes (of cdc_delta or cdc_full_snapshot) and the keys' state at the extraction before the newest, from one shuffle and one sort.
+
+    Bronze may hold exact repeats. Rows of the state have no op and no valid_from: one a key ever seen up to that extraction, with its
+    last values, the src_file they are of, first_seen so far, and whether that extraction has the key (present; of no meaning for
+    extractions of changed rows only). They are what the next changes need of all extractions so far. With one extraction there is no
+    state but what `before` has.
+    """
+    cols = data_columns(bronze, before)
+    so_far = F.min("_seen").over(Window.partitionBy(*key).orderBy("ordinal").rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    seen = placed(bronze, files, key, date_col, exclude, before, True).withColumns({**over_key(key), "_so_far": so_far})
+    last = (F.col("ordinal") < F.col("last_ordinal")) & (F.col("_after").isNull() | (F.col("_after") == F.col("last_ordinal")))
+    none = F.lit(None)
+    state = F.when(last, F.struct(none.cast("string").alias("op"), F.col("src_file").alias("src_file"), none.cast("timestamp_ntz").alias("valid_from")))
+    rows = exploded(seen, [*(delta_changes() if delta else snapshot_changes()), state])
+    change = F.col("op").isNotNull()
+    return rows.withColumns({
+        "row_hash": F.when(change, F.col("row_hash")), "first_seen": F.when(change, F.col("first_seen")).otherwise(F.col("_so_far")), "loaded_at": loaded_at,
+        "present": F.when(~change, F.col("ordinal") == F.col("last_ordinal") - 1),
+    }).select(*change_columns(cols), "present")
 
 
 def cdc_delta_full_refresh(bronze: DataFrame, files: DataFrame, stored: DataFrame, latest_rows: DataFrame, key: list[str], loaded_at: Column, date_col: str | None = None, exclude: tuple[str, ...] = ()) -> DataFrame:

@@ -1,8 +1,8 @@
 """Daily runs of change data capture whose cost doesn't grow with the history.
 
 A run reads the newest extraction of the last run (which may have been landed again since), the new ones, and one row a key that
-stands for all extractions before. It appends the changes that aren't stored, then writes the keys' state at the extraction before
-the newest, and at last the bookmark that names that state. A crash before the bookmark leaves the last run's state in force; what was
+stands for all extractions before. It writes the keys' state at the extraction before the newest, appends the changes that aren't
+stored, and at last writes the bookmark that names that state. A crash before the bookmark leaves the last run's state in force; what was
 appended already is found again and not appended twice.
 """
 
@@ -14,6 +14,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,7 +56,7 @@ class ChangeTable:
     def changes(self, spark: SparkSession) -> DataFrame:
         """The stored log; columns that a row's generation lacked are null there."""
         stored = sinks.read_table(spark, self.log)
-        own = cdc.change_columns(stored)
+        own = cdc.change_columns(stored.columns)
         return stored.select(own)
 
     def refresh(self, spark: SparkSession, glob: str, loaded_at: Column) -> Run:
@@ -78,22 +79,26 @@ class ChangeTable:
         if not names:
             return Run(newest=mark.src_file if mark else None)
         files = timeline(spark.createDataFrame([(n,) for n in names], "src_file string"))
-        rows = read_extractions(spark, [paths[n] for n in names], e.source, e.schema)
+        rows = read_extractions(spark, [paths[n] for n in names], e.source, e.schema, repeats=True)
         before = spark.read.parquet(mark.state_path) if mark and mark.state_path else None
         if before is not None:  # columns that left the source stay in the log
             rows = rows.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in before.schema if f.name not in (*rows.columns, "first_seen", "present")])
-        find = cdc.cdc_delta if e.delta else cdc.cdc_full_snapshot
-        new = find(rows, files, key, loaded_at, e.date_col, e.unhashed, before)
+        found = cdc.cdc_run(rows, files, key, loaded_at, e.date_col, e.unhashed, before, e.delta)
         if sinks.exists(spark, self.log):
-            # only the partitions of these extractions are looked at
-            stored = sinks.read_table(spark, self.log).filter(F.col("src_file") >= names[0])
-            new = sinks.new_versions(new, stored, key)
-        appended = sinks.append_rows(new, self.log, partition_by=("src_file",))
-        state = mark.state_path if mark else None
-        if len(names) > 1:
-            state = f"{self.folder}/states/{names[-2]}-{uuid.uuid4().hex}"
-            cdc.cdc_state(rows, files, key, names[-2], e.date_col, before).write.parquet(state)
-            known = names[-2]
+            # only the partitions of these extractions are looked at; rows of the state have no time and stay
+            found = sinks.new_versions(found, sinks.read_table(spark, self.log).filter(F.col("src_file") >= names[0]), key)
+        # changes and state come from one pass; the state is written first, as Spark drops what it keeps of a table that is written to
+        found = found.persist(StorageLevel.DISK_ONLY)
+        try:
+            state = mark.state_path if mark else None
+            if len(names) > 1:
+                state = f"{self.folder}/states/{names[-2]}-{uuid.uuid4().hex}"
+                columns = cdc.data_columns(rows, before)
+                found.filter("op is null").select(*columns, "first_seen", "present").write.options(**sinks.compressed("parquet")).parquet(state)
+                known = names[-2]
+            appended = sinks.append_rows(found.filter("op is not null").drop("present"), self.log, partition_by=("src_file",), held=True)
+        finally:
+            found.unpersist()
         sinks.write_state(spark.createDataFrame([(names[-1], known, state)], MARK), self.bookmarks)
         return Run(names, appended, names[-1])
 

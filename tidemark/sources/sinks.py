@@ -5,10 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from typing import Any
 
 from pyspark import StorageLevel, inheritable_thread_target
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import redacted
@@ -25,10 +26,14 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(at)
 
 
+#: Extractions are compressed NDJSON in files of so many rows, as one compressed file is read by one task.
+LANDED = {"compression": "gzip", "maxRecordsPerFile": "1000000", "ignoreNullFields": "false"}
+
+
 def land_snapshot(df: DataFrame, folder: str, entity: str, at: dt.datetime) -> str:
     """Writes one extraction as NDJSON: a folder named after entity and time, whose files executors write side by side."""
     path = f"{folder.rstrip('/')}/{entity}/{entity}_{at:%Y%m%d_%H%M%S}.json"
-    df.write.option("compression", "none").option("ignoreNullFields", "false").json(path)
+    df.write.options(**LANDED).json(path)
     return path
 
 
@@ -39,7 +44,7 @@ def land_snapshots(df: DataFrame, folder: str, entity: str, name: str = "src_fil
     """
     spark, root = df.sparkSession, f"{folder.rstrip('/')}/{entity}"
     fs, at = file_system(spark, f"{root}/_landing")
-    df.write.option("compression", "none").option("ignoreNullFields", "false").partitionBy(name).json(str(at))
+    df.write.options(**LANDED).partitionBy(name).json(str(at))
     out = []
     for part in fs.globStatus(file_system(spark, f"{root}/_landing/{name}=*")[1]) or []:
         path = f"{root}/{part.getPath().getName().split('=', 1)[1]}"
@@ -50,23 +55,47 @@ def land_snapshots(df: DataFrame, folder: str, entity: str, name: str = "src_fil
 
 
 def new_versions(df: DataFrame, stored: DataFrame, key: list[str], valid_from: str = "valid_from") -> DataFrame:
-    """Rows whose (key, valid_from) isn't stored yet; only those columns of the stored table are read."""
+    """Rows whose (key, valid_from) isn't stored yet; only those columns of the stored table are read.
+
+    Rows meet by key alone, and times are compared there: rows that are dealt out by key already, as changes are, stay where they are.
+    """
+    names = {c: f"_stored_{i}" for i, c in enumerate([*key, valid_from])}
+    there = stored.select(*[F.col(c).alias(n) for c, n in names.items()])
+    same = reduce(Column.__and__, [F.col(c) == F.col(names[c]) for c in key])
+    at, known = F.col(valid_from), F.col(names[valid_from])
+    return df.join(there, same & (at >= known) & (at <= known), "left_anti").select(df.columns)
+
+
+def new_parts(df: DataFrame, stored: DataFrame, key: list[str], part: str, valid_from: str = "valid_from") -> DataFrame:
+    """The same for two tables partitioned by `part`: rows of parts that the stored table lacks need no look, and of the others only
+    (key, valid_from) are shuffled; whole rows are only where some of those are new."""
     on = [*key, valid_from]
-    return df.join(stored.select(on), on, "left_anti").select(df.columns)
+    both = [r[0] for r in stored.select(part).distinct().collect()]
+    fresh = df.filter(~F.col(part).isin(both)) if both else df
+    again = df.filter(F.col(part).isin(both))
+    if new_versions(again.select(on), stored, key, valid_from).isEmpty():
+        return fresh
+    return fresh.unionByName(new_versions(again, stored, key, valid_from))
+
+
+def compressed(fmt: str) -> dict[str, str]:
+    """Options of a stored table: row hashes are hex digits, which Zstandard packs and the default codec doesn't."""
+    return {"compression": "zstd"} if fmt == "parquet" else {}
 
 
-def append_rows(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()) -> int:
+def append_rows(df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = (), held: bool = False) -> int:
     """Appends rows, with new columns; none leave no file behind. What the first look computes is kept on the executors' disks for
-    the write, so nothing is evaluated twice."""
-    held = df.persist(StorageLevel.DISK_ONLY)
+    the write, so nothing is evaluated twice. held: the caller keeps the rows already."""
+    rows = df if held else df.persist(StorageLevel.DISK_ONLY)
     try:
-        if held.isEmpty():
+        if rows.isEmpty():
             return 0
         seen = Observation()
-        held.observe(seen, F.count(F.lit(1)).alias("n")).write.format(fmt).mode("append").option("mergeSchema", "true").partitionBy(*partition_by).save(path)
+        rows.observe(seen, F.count(F.lit(1)).alias("n")).write.format(fmt).options(**compressed(fmt)).mode("append").option("mergeSchema", "true").partitionBy(*partition_by).save(path)
         return seen.get["n"]
     finally:
-        held.unpersist()
+        if not held:
+            rows.unpersist()
 
 
 def append_new_versions(df: DataFrame, path: str, key: list[str], valid_from: str = "valid_from", fmt: str = "parquet") -> int:
@@ -82,7 +111,7 @@ def append_new_versions(df: DataFrame, path: str, key: list[str], valid_from: st
 def overwrite_table(df: DataFrame, path: str, fmt: str = "parquet") -> int:
     """Replaces a table; the number of rows is counted while they are written."""
     seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.format(fmt).mode("overwrite").option("overwriteSchema", "true").save(path)
+    df.observe(seen, F.count(F.lit(1)).alias("n")).write.format(fmt).options(**compressed(fmt)).mode("overwrite").option("overwriteSchema", "true").save(path)
     return seen.get["n"]
 
 
