@@ -120,7 +120,7 @@ class ChangeTable:
             return 0
         if sinks.exists(spark, target):
             there = sinks.read_table(spark, target)
-            rows = sinks.new_versions(rows, there.filter(F.col("src_file") >= mark.src_file) if mark else there, [self.entity.key])
+            rows = sinks.new_parts(rows, there.filter(F.col("src_file") >= mark.src_file) if mark else there, [self.entity.key], "src_file")
         exported = sinks.append_rows(rows, target, partition_by=("src_file",))
         sinks.write_state(spark.createDataFrame([(newest,)], "src_file string"), marks)
         return exported
