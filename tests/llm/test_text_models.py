@@ -43,6 +43,21 @@ def test_byte_bpe_table(docs, rows, null_ids, empty, tokenizer):
     assert bb.byte_bpe(null_ids, *args, ids=False).count() == 5 and bb.byte_bpe(empty, *args).count() == 0
 
 
+def test_byte_bpe_keeps_its_encoder_and_no_pieces(spark, docs):
+    """A worker that waits for the next job has one encoder, and no dictionary but the encoder's own."""
+    bb.byte_bpe(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN).count()
+
+    def held(batches):
+        import pyarrow as pa
+
+        kept = [x for v in bb._LOADED.values() for x in (v if isinstance(v, tuple) else (v,))]
+        for _ in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([len(kept)]), pa.array([sum(len(x) for x in kept if isinstance(x, dict))])], names=["loaded", "pieces"])
+
+    found = spark.range(0, 64, 1, 16).mapInArrow(held, "loaded long, pieces long").collect()
+    assert any(r.loaded for r in found) and not any(r.pieces for r in found)
+
+
 def test_byte_bpe_pieces(tokenizer):
     own, other = tokenizer
     rng = np.random.RandomState(0)

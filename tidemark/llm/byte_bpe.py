@@ -17,13 +17,13 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import slices
+from tidemark.llm.common import give_back, slices
 
 INF = 1 << 62
 #: Pieces up to this many bytes share a numpy forest; a longer one has a tree of its own.
 FOREST_BYTES = 128
-#: Entries of a forest, and pieces that a worker remembers before it starts anew.
-FOREST_CELLS, MEMORY = 1 << 17, 250_000
+#: Entries of a forest, and pieces that a task remembers before it forgets those that came in one batch only.
+FOREST_CELLS, MEMORY = 1 << 17, 1 << 17
 #: Bytes of text whose pieces are encoded together.
 BATCH_BYTES = 1 << 20
 
@@ -169,7 +169,15 @@ class ByteBPE:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-_LOADED: dict[tuple[int, str], tuple[ByteBPE, dict]] = {}
+#: Encoders of this worker, by digest of the rank file and pattern.
+_LOADED: dict[tuple[str, str], ByteBPE] = {}
+
+
+def encoder(key: str, data: bytes, pattern: str) -> ByteBPE:
+    """The worker's encoder. (Tasks call it by name, so they share _LOADED; a table named in the task's own function is sent with it, empty.)"""
+    if (key, pattern) not in _LOADED:
+        _LOADED[key, pattern] = ByteBPE.load(data, pattern)
+    return _LOADED[key, pattern]
 
 
 def byte_bpe(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", ids: bool = True) -> DataFrame:
@@ -182,20 +190,19 @@ def byte_bpe(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_i
     Returns id_col, n_tokens long, ids array<int> (if ids), ids_sha256 and decoded_sha256.
     """
     with open(rank_file, "rb") as f:
-        data = docs.sparkSession.sparkContext.broadcast(f.read())
+        ranks = f.read()
+    data, key = docs.sparkSession.sparkContext.broadcast(ranks), hashlib.sha256(ranks).hexdigest()
     kind = docs.schema[id_col].dataType.simpleString()
-    key = hash((rank_file, pattern))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if (key, pattern) not in _LOADED:
-            _LOADED[key, pattern] = ByteBPE.load(data.value, pattern), {}
-        bpe, memory = _LOADED[key, pattern]
+        bpe, memory, again = encoder(key, data.value, pattern), {}, set()
         for whole in batches:
             for batch in slices(whole, "text", BATCH_BYTES):
                 split = [bpe.split(t or "") for t in batch.column("text").to_pylist()]
                 new = {p for pieces in split for p in pieces}
+                again |= new & memory.keys()
                 if len(memory) + len(new) > MEMORY:
-                    memory.clear()
+                    memory, again = {p: memory[p] for p in again if len(again) + len(new) <= MEMORY}, set()
                 for piece, found in bpe.encode_pieces([p for p in new if p not in memory]).items():
                     memory[piece] = (" ".join(map(str, found)), bpe.decode(found), len(found))
                 cols: dict[str, list] = {"n": [], "ids": [], "text": [], "sha": []}
@@ -210,6 +217,8 @@ def byte_bpe(docs: DataFrame, rank_file: str, pattern: str, id_col: str = "doc_i
                 out = [batch.column("id"), pa.array(cols["n"], pa.int64())]
                 out += [pa.array(cols["ids"], pa.list_(pa.int32()))] * ids
                 yield pa.RecordBatch.from_arrays([*out, pa.array(cols["text"]), pa.array(cols["sha"])], names=["id", "n_tokens", *["ids"] * ids, "ids_sha256", "decoded_sha256"])
+        whole = batch = split = new = cols = out = memory = again = None
+        give_back()
 
     schema = f"id {kind}, n_tokens long, " + "ids array<int>, " * ids + "ids_sha256 string, decoded_sha256 string"
     picked = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
@@ -168,6 +169,13 @@ def slices(batch: pa.RecordBatch, text: str, most: int = SLICE_BYTES) -> Iterato
         i = k
 
 
+def give_back() -> None:
+    """Hands what the C library holds of freed memory back to the system, where it can (glibc): a Python worker waits a minute for its
+    next task, beside an executor that may be busy with something else."""
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
+
+
 def rolled(h: np.ndarray, k: int, base: int) -> np.ndarray:
     """Hash of every run of k consecutive entries of h (len(h) - k + 1 of them)."""
     n = len(h) - k + 1
