@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import SLICE_BYTES, mix, slices
+from tidemark.llm.common import SLICE_BYTES, give_back, mix, slices
 
 #: Hash cells of the trigrams. A language model is one row of so many counts, so the model's size is cells x languages.
 CELLS = 1 << 14
@@ -225,6 +225,8 @@ def language_id(docs: DataFrame, model: MixtureModel, text_col: str = "text", ou
                     [batch.column("rest"), pa.array(names), pa.array(scores, pa.float64()), pa.array([list(s.items()) for s in sets], pa.map_(pa.string(), pa.float64())), pa.array(fits, pa.float64())],
                     names=["rest", "lang", "score", "shares", "fit"],
                 )
+        whole = batch = None
+        give_back()
 
     done = docs.select(struct.alias("rest"), text.alias("text")).mapInArrow(run, f"rest {kind}, lang string, score double, shares map<string,double>, fit double")
     cols = [F.col(f"rest.c{i}").alias(c) for i, c in enumerate(keep)] + [F.col("lang").alias(out), F.col("score").alias(score)]
