@@ -165,6 +165,34 @@ def test_line_dedup_tells_texts_of_one_id_apart(spark):
     assert got in ([("a b c\nd e f", 0), ("a b c\nd e f", 0), ("q r s", 1)], [("d e f", 1), ("d e f", 1), ("q r s\na b c", 0)])
 
 
+def test_line_dedup_with_signatures_of_either_width(spark, monkeypatch):
+    lines = near_lines(240, 11)
+    rows = [(k, "\n".join(lines[k : k + 3])) for k in range(0, 240, 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    for width in (0, 6, 1000):
+        monkeypatch.setattr(ld, "ONE_WORD", width)
+        assert {r.doc_id: (r.text, r.n_removed) for r in ld.line_dedup(df).collect()} == brute_lines(rows)
+
+
+def test_line_dedup_makes_nothing_twice(spark, monkeypatch):
+    seen = {}
+
+    def spy(df, name):
+        seen[name] = df.columns, df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+        return common.staged(df, name)
+
+    monkeypatch.setattr(ld, "staged", spy)
+    df = spark.createDataFrame([(1, "a b c d\ne\tf"), (2, "a b c d\n\ne f"), (3, None)], "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in ld.line_dedup(df).collect()} == {1: 0, 2: 2, 3: 0}
+    for name in ("classes", "gone"):  # a filter or join on what is made of a text would make it again
+        assert not any(x in line for line in seen[name][1] for x in ("Contains(", "sha2(") if "Filter" in line)
+        assert sum("sha2(" in line for line in seen[name][1]) == 1
+    assert seen["lines"][0] == ["doc", "at", "text"]  # texts are moved, not their words
+    join = [line for line in seen["pairs"][1] if "Join Inner" in line]
+    assert len(join) == 1 and "shuffle_hash" in join[0]  # the prefixes aren't sorted
+    assert sum("RepartitionByExpression" in line for line in seen["pairs"][1]) == 2 and not any("isnotnull(band" in line for line in seen["pairs"][1])
+
+
 def test_line_dedup_query(spark, data):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{data}/documents.parquet").collect()]
     want = {i: (n, None if t is None else sha(t)) for i, (t, n) in brute_lines(rows).items()}

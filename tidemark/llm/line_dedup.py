@@ -25,6 +25,8 @@ from tidemark.llm.common import fresh, setting, staged
 PERCENT = 75
 #: Token counts are kept for so many hash cells (a power of two): the rarity order is a table of fixed size.
 CELL_BITS = 18
+#: Sets of no more tokens than this have signatures of 64 bits, larger ones of 128.
+ONE_WORD = 60
 #: Tokens of a prefix with the lowest hashes, and with the highest, any two of which find an earlier class to be held against at first.
 DRAWN = 4
 #: Rows of fixed width (16 to 40 bytes), and lines listed in them (4 bytes each), up to which a table is broadcast; beyond that
@@ -44,7 +46,7 @@ def spaced(text: Column) -> Column:
 
 def token_set(line: Column) -> Column:
     """Distinct words of a line that spaced() made."""
-    return F.array_remove(F.array_distinct(F.split(line, " ", -1)), "")
+    return F.array_except(F.split(line, " ", -1), F.array(F.lit("")))
 
 
 def token_hashes(line: Column) -> Column:
@@ -59,7 +61,7 @@ def rarity_levels(texts: DataFrame) -> Column:
     Tokens are counted by cell in every task before they are shuffled; the table has 2 ** CELL_BITS entries whatever the
     input. Any order of tokens gives right results; this one puts frequent tokens last.
     """
-    words = texts.select(F.explode(F.split(F.replace("text", F.lit("\n"), F.lit(" ")), " ", -1)).alias("w"))
+    words = texts.select(F.explode(F.split(F.replace(spaced(F.col("text")), F.lit("\n"), F.lit(" ")), " ", -1)).alias("w"))
     counts = words.groupBy(F.hash("w").bitwiseAND(F.lit((1 << CELL_BITS) - 1)).alias("cell")).count()
     every = texts.sparkSession.range(1 << CELL_BITS).select(F.col("id").cast("int").alias("cell")).join(counts, "cell", "left")
     level = F.least(F.lit(63), F.floor(2 * F.log2(F.coalesce("count", F.lit(0)) + 1))).cast("string")
@@ -75,14 +77,15 @@ def bounded(table: DataFrame, lines: str | None = None) -> DataFrame:
 
 def line_classes(lines: DataFrame, levels: Column, percent: int) -> DataFrame:
     """digest, doc, at (the earliest line), copies, n (distinct tokens), first (hashes of the prefix), all_bits and high_bits."""
-    some = lines.select("doc", "at", line_digest(F.col("text")).alias("digest"), token_hashes(F.col("text")).alias("hashes")).filter("digest is not null")
+    some = lines.filter(F.trim("text") != "").select("doc", "at", line_digest(F.col("text")).alias("digest"), token_hashes(F.col("text")).alias("hashes"))
     cell = F.lit((1 << CELL_BITS) - 1)
-    # a token's place in the order: the level of its cell, then its hash
-    places = F.transform("hashes", lambda h: F.shiftleft(F.get(levels, h.bitwiseAND(cell)), 32) + h)
+    # a token's place in the order: the level of its cell, then its hash; numbers that can't be null are sorted as such
+    places = F.transform("hashes", lambda h: F.shiftleft(F.coalesce(F.get(levels, h.bitwiseAND(cell)), F.lit(0).cast("bigint")), 32) + h)
     # bits of the parity of tokens (a shift takes the low six bits of its width): two of these differ in no more bits than there are
-    # tokens in one set only
+    # tokens in one set only; of small sets one word of them says enough
     every, high = (F.expr(f"aggregate(hashes, 0L, (a, h) -> a ^ shiftleft({one}, h))") for one in ("1L", "shiftrightunsigned(h, 31) + 0L"))
-    placed = some.select("doc", "at", "digest", F.size("hashes").alias("n"), F.sort_array(places).alias("places"), every.alias("all_bits"), high.alias("high_bits"))
+    n = F.size("hashes")
+    placed = some.select("doc", "at", "digest", n.alias("n"), F.sort_array(places).alias("places"), every.alias("all_bits"), F.when(n > ONE_WORD, high).otherwise(0).alias("high_bits"))
     prefix = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
     first = F.transform(F.slice("places", 1, prefix), lambda x: F.hash(x))
     lines = placed.select("digest", F.struct("doc", "at", "n", first.alias("first"), "all_bits", "high_bits").alias("c"))
@@ -90,14 +93,14 @@ def line_classes(lines: DataFrame, levels: Column, percent: int) -> DataFrame:
 
 
 def line_digest(line: Column) -> Column:
-    """128 bits of the SHA-256 of a line; null for one without a token."""
-    return F.when(F.trim(line) != "", F.unhex(F.left(F.sha2(line, 256), F.lit(32))))
+    """128 bits of the SHA-256 of a line, never null (a join would look for nulls, and make every digest twice)."""
+    return F.coalesce(F.unhex(F.left(F.sha2(line, 256), F.lit(32))), F.lit(b""))
 
 
 def differing() -> Column:
     """Tokens that are in one of two sets only, at least: the bits in which their signatures differ."""
     every = F.col("all_bits1").bitwiseXOR(F.col("all_bits2"))
-    high = F.col("high_bits1").bitwiseXOR(F.col("high_bits2"))
+    high = F.when(F.least("n1", "n2") > ONE_WORD, F.col("high_bits1").bitwiseXOR(F.col("high_bits2"))).otherwise(0)
     return F.bit_count(every.bitwiseXOR(high)) + F.bit_count(high)
 
 
@@ -107,17 +110,18 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
 
 
 def matching(texts: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
-    """(doc, at): the later lines (doc2, at2) of staged pairs of lines whose token sets match. texts has one row a (doc, mark); those
-    without a line in any pair are passed over."""
+    """(doc, at): the later lines (doc2, at2) of staged pairs of lines whose token sets match. texts has one row a (doc, mark), as given;
+    those without a line in any pair are passed over."""
     ends = pairs.select(F.explode(F.array(*[F.struct(F.col(f"doc{k}").alias("doc"), F.col(f"at{k}").alias("at")) for k in (1, 2)])).alias("e")).select("e.*").distinct()
     wanted = ends.groupBy("doc", F.shiftright("at", 32).cast("int").alias("mark")).agg(F.collect_set(F.col("at").bitwiseAND(F.lit((1 << 32) - 1)).cast("int")).alias("lines"))
-    listed = texts.join(bounded(staged(wanted, "wanted"), "lines"), ["doc", "mark"])
+    listed = texts.join(bounded(staged(wanted, "wanted"), "lines"), ["doc", "mark"]).withColumn("text", spaced(F.col("text")))
     split = listed.select("doc", "mark", F.explode(let(F.split("text", "\n", -1), lambda every: F.transform("lines", lambda i: F.struct(i.alias("line"), F.get(every, i).alias("text"))))).alias("x"))
-    tokens = split.select("doc", line_place(F.col("mark"), F.col("x.line")).alias("at"), token_set(F.col("x.text")).alias("tokens"))
-    words = staged(tokens, "words")
-    one, two = (words.select(F.col("doc").alias(f"doc{k}"), F.col("at").alias(f"at{k}"), F.col("tokens").alias(f"tokens{k}")) for k in (1, 2))
-    shared = F.size(F.array_intersect("tokens1", "tokens2"))
-    both = pairs.join(one, ["doc1", "at1"]).join(two, ["doc2", "at2"]).filter(100 * shared >= percent * (F.size("tokens1") + F.size("tokens2") - shared))
+    listed = staged(split.select("doc", line_place(F.col("mark"), F.col("x.line")).alias("at"), "x.text"), "lines")
+    one, two = (listed.select(F.col("doc").alias(f"doc{k}"), F.col("at").alias(f"at{k}"), F.col("text").alias(f"text{k}")) for k in (1, 2))
+    # texts are smaller than their words, so they are what is moved
+    sets = F.struct(token_set(F.col("text1")).alias("a"), token_set(F.col("text2")).alias("b"))
+    shared = let(sets, lambda x: F.struct(F.size(F.array_intersect(x["a"], x["b"])).alias("both"), (F.size(x["a"]) + F.size(x["b"])).alias("all")))
+    both = pairs.join(one, ["doc1", "at1"]).join(two, ["doc2", "at2"]).filter(let(shared, lambda x: 100 * x["both"] >= percent * (x["all"] - x["both"])))
     return both.select(F.col("doc2").alias("doc"), F.col("at2").alias("at")).distinct()
 
 
@@ -144,8 +148,9 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # texts need telling apart by more than their id only if an id repeats
     repeats = not docs.groupBy(doc.alias("doc")).count().filter("count > 1").isEmpty()
     mark = F.hash(text) if repeats else F.lit(0)
-    texts = docs.select(doc.alias("doc"), mark.alias("mark"), spaced(text).alias("text")).filter("text is not null")
-    lines = texts.select("doc", "mark", F.posexplode(F.split("text", "\n", -1)).alias("line", "text")).select("doc", line_place(F.col("mark"), F.col("line")).alias("at"), "text")
+    # nulls go before anything is made of a text: a filter on what is made of it would make it twice
+    texts = docs.filter(text.isNotNull()).select(doc.alias("doc"), mark.alias("mark"), text.alias("text"))
+    lines = texts.select("doc", "mark", F.posexplode(F.split(spaced(F.col("text")), "\n", -1)).alias("line", "text")).select("doc", line_place(F.col("mark"), F.col("line")).alias("at"), "text")
     classes = staged(line_classes(lines, rarity_levels(texts), percent), "classes")
 
     once = texts.dropDuplicates(["doc", "mark"]) if repeats else texts
@@ -181,18 +186,18 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         return F.floor(F.log(size) / math.log(100 / percent + 0.01)).cast("int")
 
     # the shorter side is looked up in the size band of its own, the longer one in those of all sizes that it can match from its place
-    # on; -1 and -2 meet nothing (a filter would be moved below the exchange, and either side get one of its own)
+    # on; null meets nothing (a filter would be moved below the exchange, and either side get one of its own: none is to be inferred)
     n1, n2 = F.col("n1"), F.col("n2")
-    one = one.withColumn("band", F.when((100 + percent) * F.col("rest1") >= 2 * percent * n1, F.coalesce(band(n1), F.lit(-1))).otherwise(-1))
+    one = one.withColumn("band", F.when((100 + percent) * F.col("rest1") >= 2 * percent * n1, band(n1)))
     least, most = F.ceil(percent * n2 / 100), F.least(n2, F.floor((100 + percent) * F.col("rest2") / percent) - n2)
-    two = two.withColumn("bands", F.explode_outer(F.when(most >= least, F.sequence(band(least), band(most))))).withColumn("band", F.coalesce("bands", F.lit(-2)))
+    two = two.withColumn("band", F.explode_outer(F.when(most >= least, F.sequence(band(least), band(most)))))
     before = (F.col("doc1") < F.col("doc2")) | (F.col("doc1") == F.col("doc2")) & (F.col("at1") < F.col("at2"))
     alike = (100 * n1 >= percent * n2) & ((100 + percent) * F.least("rest1", "rest2") >= percent * (n1 + n2)) & ((100 + percent) * differing() <= (100 - percent) * (n1 + n2))
     later_open = F.when(before, F.col("open2")).otherwise(F.col("open1")) == 1
-    found = one.join(two, ["token", "band"]).filter(((n1 < n2) | (n1 == n2) & before) & alike & later_open)
+    found = one.hint("shuffle_hash").join(two, ["token", "band"]).filter(((n1 < n2) | (n1 == n2) & before) & alike & later_open)
     ends = [F.when(before, F.col(f"{c}{k}")).otherwise(F.col(f"{c}{3 - k}")).alias(f"{c}{k}") for k in (1, 2) for c in ("doc", "at")]
     # two sides that are dealt by one of the join's keys aren't dealt anew by both
-    with setting(docs.sparkSession, "spark.sql.requireAllClusterKeysForCoPartition", "false"):
+    with setting(docs.sparkSession, "spark.sql.requireAllClusterKeysForCoPartition", "false"), setting(docs.sparkSession, "spark.sql.constraintPropagation.enabled", "false"):
         pairs = staged(found.select(*ends).distinct(), "pairs")
     late = settled.union(matching(once, pairs, percent))
 
@@ -200,12 +205,12 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     late = staged(late, "late").withColumn("late", F.lit(True))
     told = classes.select("digest", "doc", "at", "copies").join(late, ["doc", "at"], "left").filter("late or copies > 1")
     told = bounded(staged(told.select("digest", F.when(F.col("late").isNull(), F.col("doc")).alias("kept_doc"), F.when(F.col("late").isNull(), F.col("at")).alias("kept_at")), "told"))
-    members = lines.select("doc", "at", line_digest(F.col("text")).alias("digest")).join(told, "digest")
+    members = lines.filter(F.trim("text") != "").select("doc", "at", line_digest(F.col("text")).alias("digest")).join(told, "digest")
     gone = members.filter(~(F.col("doc").eqNullSafe(F.col("kept_doc")) & F.col("at").eqNullSafe(F.col("kept_at"))))
     gone = gone.groupBy(F.col("doc").alias(doc_col), F.shiftright("at", 32).cast("int").alias(mark_col)).agg(F.sort_array(F.collect_set(F.col("at").bitwiseAND(F.lit((1 << 32) - 1)).cast("int"))).alias(gone_col))
     out = docs.withColumns({doc_col: doc, mark_col: mark}).join(bounded(staged(gone, "gone"), gone_col), [doc_col, mark_col], "left")
     kept = F.when(F.col(gone_col).isNull(), text).otherwise(let(F.split(text, "\n", -1), lambda every: kept_lines(every, F.col(gone_col))))
-    count = F.length(text) - F.length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
+    count = F.octet_length(text) - F.octet_length(F.replace(text, F.lit("\n"), F.lit(""))) + 1
     cols = [kept.alias(c) if c == text_col else F.col(c) for c in docs.columns]
     return out.select(*cols, F.coalesce(count.cast("long"), F.lit(0).cast("long")).alias(lines_col), F.coalesce(F.size(gone_col).cast("long"), F.lit(0).cast("long")).alias(removed))
 
