@@ -6,6 +6,7 @@ import re
 from collections import defaultdict
 
 import pyarrow as pa
+import pytest
 from conftest_llm import roots
 from oracle import check
 from pyspark.sql import functions as F
@@ -310,3 +311,65 @@ def test_components_of_many_tasks(spark, monkeypatch):
     want = {i: 0 for i in range(41)} | {i: 100 for i in range(100, 120)} | {200: 200, 300: 200}
     assert got == want
     assert common.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def chance_rows():
+    """60 unlike texts, each two of which share a passage of seven words, among copies with changes."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(60):
+        words = [f"u{i}x{j}" for j in range(20)]
+        for k in range(60):
+            if k != i:
+                words += [f"p{min(i, k)}q{max(i, k)}y{j}" for j in range(7)] if (i + k) % 5 == 0 else [f"u{i}z{k}{rng.random()}"]
+        rows.append((10 * i, " ".join(words)))
+        rows += [(10 * i + 1 + c, " ".join([*words[: len(words) - 5 * c], f"v{i}w{c}"])) for c in range(i % 3)]
+    return rows
+
+
+@pytest.mark.parametrize("few", [128, 0])
+def test_ngram_jaccard_moves_nothing_of_texts_that_meet_by_chance(spark, monkeypatch, few):
+    """Texts that share less than a link needs don't meet in tiles, where whole signatures move; by keys that count as common they do.
+    All cells are equally crowded, as in a large table."""
+    moved, write = {}, nj.staged
+
+    def spy(df, name):
+        out = write(df, name)
+        moved[name] = moved.get(name, 0) + (out.count() if name in ("couples", "members", "meet") else 0)
+        return out
+
+    monkeypatch.setattr(nj, "staged", spy)
+    monkeypatch.setattr(nj, "FEW", few, raising=False)
+    monkeypatch.setattr(nj, "crowded_levels", lambda docs, hasher: nj.np.zeros(1 << nj.CELL_BITS, nj.np.uint8))
+    rows = chance_rows()
+    want, links = brute_jaccard(rows)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in nj.ngram_jaccard(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want and len(links) == 80 and len({c for _, c in want.values()}) == 60
+    assert (moved["couples"] + moved["members"] + moved["meet"] == 0) == (few > 0)
+
+
+def random_sets(seed):
+    """Texts from a small pool of passages, so that sets overlap in any degree, with repeats that share passages of few or many texts."""
+    rng = random.Random(seed)
+    passages = [[f"s{p}t{j}" for j in range(rng.randint(1, 25))] for p in range(25)]
+    rows = []
+    for k in range(150):
+        if rows and rng.random() < 0.6:
+            words = rows[rng.randrange(len(rows))][1].split(" ")
+            for _ in range(rng.randint(0, 3)):
+                at = rng.randrange(len(words))
+                words[at : at + rng.randint(0, 4)] = rng.choice(passages)[: rng.randint(0, 6)]
+        else:
+            words = [w for p in rng.sample(passages, rng.randint(1, 8)) for w in p]
+        rows.append((k, " ".join(words)))
+    return rows
+
+
+@pytest.mark.parametrize(("few", "agree", "up"), [(128, 8, 3), (128, 1, 0), (3, 8, 0), (6, 100, 0), (0, 8, 3)])
+def test_ngram_jaccard_whatever_keys_count_as_common(spark, monkeypatch, few, agree, up):
+    for name, value in (("FEW", few), ("AGREE", agree), ("LEADERS_UP", up), ("BLOCK", 8)):
+        monkeypatch.setattr(nj, name, value, raising=False)
+    rows = random_sets(few + agree)
+    want, links = brute_jaccard(rows)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in nj.ngram_jaccard(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want and len(links) > 50

@@ -8,12 +8,15 @@
    such shingle that more than one class has.
 3. Every class is compared with one leader, the mate that it meets under most keys: a group of near copies is joined by one
    comparison a member. Classes whose leaders, or theirs, are the same are a cluster, whether they link with them or not.
-4. Clusters that share a key and aren't of one group yet are compared by tiles: a cluster is cut by size bands into blocks of a
+4. Classes of different groups that share a key which few classes have are paired one by one, and a pair stays if it shares as many
+   keys as sets of its sizes must to link. A larger input has more keys that unlike texts share by chance; such a pair falls
+   here, before anything of its texts or clusters moves. Where a key has many classes, their clusters are paired instead.
+5. Groups with such pairs, and clusters, are compared by tiles: each is cut by size bands into blocks of a
    thousand classes, blocks of fitting sizes meet, and of a pair of blocks only the classes are compared that no link joins
    so far. Signatures bound the overlap from above: bits in which two signatures differ are no more than the shingles that one
    set has and the other lacks. Only for classes that some signature leaves a partner are the sorted arrays moved and
    intersected.
-5. Links that join groups are confirmed on the words themselves. A tile returns links that join its groups, not all its pairs:
+6. Links that join groups are confirmed on the words themselves. A tile returns links that join its groups, not all its pairs:
    rows grow with blocks and members, not with pairs.
 """
 
@@ -25,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import WordHasher, components, rolled, slices, staged, text_buffer, word_bounds
@@ -39,6 +42,8 @@ BROADCAST_ROWS = 1_000_000
 GROUP_MEMBERS, BLOCK, BLOCK_SHINGLES = 512, 1024, 1 << 20
 #: Leaders of leaders that are followed to name a cluster; few, so that chains of unlike texts stay short.
 LEADERS_UP = 3
+#: Classes of a key up to which they are paired one by one; keys that a pair is asked to share at most (it decides about speed only).
+FEW, AGREE = 128, 8
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
@@ -291,24 +296,66 @@ def joining_links(table: pa.Table, percent: int) -> list[tuple[int, int]]:
     return out
 
 
-def tiles(open_rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
-    """Blocks of classes and the pairs of blocks that can hold links.
+def several() -> Column:
+    """Whether two sets of classes with groups c0..c1 have more than one group."""
+    return (F.col("c01") != F.col("c11")) | (F.col("c02") != F.col("c12")) | (F.col("c01") != F.col("c02"))
+
+
+def fitting(percent: int) -> Column:
+    """Whether some sizes in lo..hi of two sets of classes can link."""
+    return (100 * F.col("hi1") >= percent * F.col("lo2")) & (100 * F.col("hi2") >= percent * F.col("lo1"))
 
-    open_rows: key, c, n, rest (shingles from the key on), comp (group so far), cluster. Returns members (c, n, comp, block) and
-    pairs (pair, b1, b2).
+
+def close_pairs(few: DataFrame, many: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of classes of different groups that share a key of few classes and may link by their keys and signatures.
+
+    few, many: key, c, n, rest (shingles from the key on), comp (group so far). If two sets overlap in m shingles or more, the first i
+    shingles that both have (any i up to m) have m - i more in common after them: the two share i keys with more than m - i shingles
+    from them on, for any i for which these are all among the keys of both. A key of many classes is taken as shared if both have one.
     """
-    by_key = open_rows.groupBy("key", "cluster").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("rest").alias("rest"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
+    x, y = (few.select("key", *[F.col(k).alias(f"{k}{i}") for k in ("c", "n", "rest", "comp")]) for i in (1, 2))
+    sizes = (100 * F.col("n1") >= percent * F.col("n2")) & (100 * F.col("n2") >= percent * F.col("n1"))
+    least = F.expr(f"({percent} * (n1 + n2) + {99 + percent}) div {100 + percent}")
+    agree = F.least(F.lit(AGREE), least - F.expr(f"({percent} * greatest(n1, n2) + 99) div 100") + 1)
+    met = x.join(y, "key").filter((F.col("c1") < F.col("c2")) & (F.col("comp1") != F.col("comp2")) & sizes & (F.least("rest1", "rest2") > least - agree))
+    pairs = met.select(F.col("c1").alias("a"), F.col("c2").alias("b"), agree.cast("int").alias("agree")).groupBy("a", "b").agg(F.count("*").alias("times"), F.max("agree").alias("agree"))
+    held = staged(many.groupBy("c").agg(F.count("*").alias("held")), "held")
+    for i in ("a", "b"):
+        pairs = pairs.join(held.select(F.col("c").alias(i), F.col("held").alias(f"held_{i}")), i, "left")
+    enough = F.col("times") + F.least(F.coalesce("held_a", F.lit(0)), F.coalesce("held_b", F.lit(0))) >= F.col("agree")
+    return staged(may_link(staged(pairs.filter(enough).select("a", "b"), "agreeing"), signs, percent), "near")
+
+
+def met_groups(near: DataFrame, groups: DataFrame, signs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(couples, members) for tiles of the pairs near (a, b): groups that have one, and their classes that are in one.
+    groups: c, comp of the classes that have been joined."""
+    of = staged(near.select(F.explode(F.array("a", "b")).alias("c")).distinct().join(groups, "c", "left").select("c", F.coalesce("comp", "c").alias("comp")), "of")
+    one, two = (of.select(F.col("c").alias(i), F.col("comp").alias(f"comp_{i}")) for i in ("a", "b"))
+    couples = near.join(one, "a").join(two, "b").select(*[F.struct(F.lit(1).alias("kind"), f("comp_a", "comp_b").alias("id")).alias(x) for x, f in (("cluster1", F.least), ("cluster2", F.greatest))])
+    return couples.distinct(), signs.select("c", "n").join(of, "c").select("c", "n", "comp", F.struct(F.lit(1).alias("kind"), F.col("comp").alias("id")).alias("cluster"))
+
+
+def met_clusters(many: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(couples, members) for tiles of clusters that share a key of many classes. many: key, c, n, rest, comp, cluster."""
+    many = many.withColumn("cluster", F.struct(F.lit(2).alias("kind"), F.col("cluster").alias("id")))
+    by_key = many.groupBy("key", "cluster").agg(F.min("n").alias("lo"), F.max("n").alias("hi"), F.max("rest").alias("rest"), F.min("comp").alias("c0"), F.max("comp").alias("c1"))
     by_key = staged(by_key, "by_key")
     a, b = (by_key.select("key", *[F.col(x).alias(f"{x}{k}") for x in ("cluster", "lo", "hi", "rest", "c0", "c1")]) for k in (1, 2))
-    several = (F.col("c01") != F.col("c11")) | (F.col("c02") != F.col("c12")) | (F.col("c01") != F.col("c02"))
-    sizes = (100 * F.col("hi1") >= percent * F.col("lo2")) & (100 * F.col("hi2") >= percent * F.col("lo1"))
     enough = (100 + percent) * F.least("rest1", "rest2") >= percent * (F.col("lo1") + F.col("lo2"))
-    across = a.join(b, "key").filter((F.col("cluster1") < F.col("cluster2")) & several & sizes & enough).select("cluster1", "cluster2")
+    across = a.join(b, "key").filter((F.col("cluster1") < F.col("cluster2")) & several() & fitting(percent) & enough).select("cluster1", "cluster2")
     within = by_key.filter("c0 <> c1").select(F.col("cluster").alias("cluster1"), F.col("cluster").alias("cluster2"))
-    couples = staged(across.union(within).distinct(), "couples")
+    return across.union(within).distinct(), many.select("c", "n", "comp", "cluster").distinct()
+
 
+def tiles(couples: DataFrame, members: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Blocks of classes and the pairs of blocks that can hold links.
+
+    couples: cluster1, cluster2; members: c, n, comp (group so far), cluster. Returns members (c, n, comp, block) and
+    pairs (pair, block1, block2).
+    """
+    couples = staged(couples, "couples")
     some = couples.select(F.explode(F.array("cluster1", "cluster2")).alias("cluster")).distinct()
-    members = staged(open_rows.select("c", "n", "comp", "cluster").distinct().join(some, "cluster"), "members")
+    members = staged(members.join(some, "cluster", "left_semi"), "members")
     # a cluster of one block's size is a block; a larger one is cut by size band, and groups of a block's size stand apart
     band = F.floor(F.log("n") / F.log(F.lit(100.0 / percent + 0.01))).cast("int")
     needed = F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("n") / BLOCK_SHINGLES))
@@ -326,13 +373,18 @@ def tiles(open_rows: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
     blocks = staged(blocks.withColumn("block", F.monotonically_increasing_id()), "blocks")
     placed = staged(dealt.join(blocks.select(*name, "block"), list(name)).select("c", "n", "comp", "block"), "placed")
     x, y = (blocks.select(*[F.col(i).alias(f"{i}{k}") for i in ("cluster", "block", "lo", "hi", "c0", "c1")]) for k in (1, 2))
-    meet = couples.join(x, "cluster1").join(y, "cluster2").filter(several & sizes & ((F.col("cluster1") != F.col("cluster2")) | (F.col("block1") <= F.col("block2"))))
+    meet = couples.join(x, "cluster1").join(y, "cluster2").filter(several() & fitting(percent) & ((F.col("cluster1") != F.col("cluster2")) | (F.col("block1") <= F.col("block2"))))
     return placed, staged(meet.select(F.monotonically_increasing_id().alias("pair"), "block1", "block2"), "meet")
 
 
-def tile_links(base: DataFrame, signs: DataFrame, open_rows: DataFrame, percent: int, hasher: WordHasher) -> DataFrame:
-    """Links (a, b) between classes of different groups that share a key, enough of them to join all that link."""
-    placed, meet = tiles(open_rows, percent)
+def tile_links(base: DataFrame, signs: DataFrame, open_rows: DataFrame, groups: DataFrame, percent: int, hasher: WordHasher) -> DataFrame:
+    """Links (a, b) between classes of different groups that share a key, enough of them to join all that link.
+
+    open_rows: key, c, n, rest, comp, cluster, few (whether few classes have the key), of keys that several groups have.
+    """
+    few, many = open_rows.filter("few"), open_rows.filter("not few")
+    by_pairs, by_keys = met_groups(close_pairs(few, many, signs, percent), groups, signs), met_clusters(many, percent)
+    placed, meet = tiles(by_pairs[0].union(by_keys[0]), by_pairs[1].union(by_keys[1]), percent)
     tasks = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sided = meet.select("pair", F.explode(F.when(F.col("block1") == F.col("block2"), F.array(F.struct(F.col("block1").alias("block"), F.lit(True).alias("one"), F.lit(True).alias("two")))).otherwise(F.array(F.struct(F.col("block1").alias("block"), F.lit(True).alias("one"), F.lit(False).alias("two")), F.struct(F.col("block2").alias("block"), F.lit(False).alias("one"), F.lit(True).alias("two"))))).alias("s")).select("pair", "s.*")
     sides = sided.join(placed.join(signs.select("c", "sign"), "c"), "block").select("pair", "one", "two", "c", "n", "comp", "sign").repartition(tasks, "pair").sortWithinPartitions("pair", "c")
@@ -445,9 +497,11 @@ def joined_at(base: DataFrame, percent: int, hasher: WordHasher) -> DataFrame |
     about = cluster.join(joined.select(F.col("id").alias("c"), "component"), "c", "full")
     placed = shared.drop("lead").join(about, "c", "left").select("key", "c", "n", "rest", F.coalesce("component", "c").alias("comp"), F.coalesce("cluster", "c").alias("cluster"))
     placed = staged(placed, "placed")
-    several = placed.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1")).filter("c0 <> c1").select("key")
+    of_key = placed.groupBy("key").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("sharers")).filter("c0 <> c1")
+    open_rows = staged(placed.join(of_key.select("key", (F.col("sharers") <= FEW).alias("few")), "key"), "open")
+    groups = joined.select(F.col("id").alias("c"), F.col("component").alias("comp"))
     # a link between groups stands for others of the two, so it must be one on the words too
-    asked = staged(tile_links(base, signs, placed.join(several, "key", "left_semi"), percent, hasher), "asked")
+    asked = staged(tile_links(base, signs, open_rows, groups, percent, hasher), "asked")
     more = compare(base, asked, percent, hasher)
     if more.count() < asked.count():
         return None
