@@ -8,7 +8,8 @@ import tiktoken
 from test_deduplication import brute_jaccard, brute_lines
 from test_text_models import check_mix
 
-from tidemark.llm.common import staged
+from tidemark.llm import ngram_jaccard
+from tidemark.llm.common import setting, staged
 
 DOCUMENTS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -64,3 +65,15 @@ def test_stages_take_odd_and_empty_tables(spark, docs, empty):
         for name, stage in corpus_pipeline.STAGES:
             table = staged(stage(spark, table, ""), name)
     assert table.count() == 0
+
+
+def test_texts_stay_where_they_are_when_copies_go(spark, docs, monkeypatch):
+    """Ids that go are counted and broadcast, whatever Spark estimates; beyond the bound the texts are shuffled to meet them, with one result."""
+    kept = {}
+    for rows in (1_000_000, 0):
+        monkeypatch.setattr(ngram_jaccard, "BROADCAST_ROWS", rows)
+        with setting(spark, "spark.sql.autoBroadcastJoinThreshold", "-1"):
+            out = corpus_pipeline.dedup_ngrams(spark, docs.select(DOCUMENTS), "")
+            assert ("Exchange hashpartitioning" in out._jdf.queryExecution().executedPlan().toString()) == (rows == 0)
+            kept[rows] = sorted(map(tuple, out.collect()), key=repr)
+    assert kept[0] == kept[1_000_000] and 0 < len(kept[0]) < docs.count()
